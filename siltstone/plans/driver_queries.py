@@ -1,0 +1,43 @@
+"""Queries over the driver's tables, each with its DuckDB counterpart."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    """Register a function (spark, sf_dir) under its own name, with its DuckDB SQL."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+@query("""
+with firsts as (select *, row_number() over (partition by sha256(text) order by doc_id) n from documents where text is not null and length(trim(text)) > 0),
+s as (select lang, source, case when b < 80 then 'train' when b < 90 then 'val' else 'test' end split
+      from (select *, ('0x' || substr(sha256('7:' || source), 1, 8))::UBIGINT % 100 b from firsts where n = 1))
+select split, lang, count(*) as n_rows, count(distinct source) as n_sources from s group by split, lang
+""")
+def release_split_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents").where("text IS NOT NULL AND length(trim(text)) > 0")
+    # first by fingerprint through an aggregate with map-side combine; a window would gather hot groups
+    firsts = docs.groupBy(F.sha2("text", 256).alias("fp")).agg(F.min(F.struct("doc_id", "lang", "source")).alias("d")).select("d.*")
+    bucket = F.expr("cast(conv(substr(sha2(concat('7:', source), 256), 1, 8), 16, 10) AS BIGINT) % 100")
+    split = F.when(bucket < 80, "train").when(bucket < 90, "val").otherwise("test")
+    return firsts.groupBy(split.alias("split"), "lang").agg(F.count("*").alias("n_rows"), F.countDistinct("source").alias("n_sources"))
