@@ -19,3 +19,24 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_minhash": op1_minhash}
 SQL: dict[str, str] = {}
+
+
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.rules import apply
+
+    return apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES |= {"op2_html": op2_html, "op3_warc": op3_warc, "op6_rules": op6_rules}
