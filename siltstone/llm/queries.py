@@ -40,3 +40,12 @@ def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op2_html": op2_html, "op3_warc": op3_warc, "op6_rules": op6_rules}
+
+
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {"op4_substring": op4_substring}
