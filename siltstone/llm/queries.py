@@ -49,3 +49,12 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op4_substring": op4_substring}
+
+
+def op10_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.ngram import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {"op10_ngram": op10_ngram}
