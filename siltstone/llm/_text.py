@@ -16,6 +16,8 @@ U = np.uint64
 BLOCK = 2 << 20
 _NONWS = np.ones(256, bool)
 _NONWS[[9, 10, 11, 12, 13, 32]] = False
+_ALNUM = np.ones(256, bool)
+_ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -95,13 +97,14 @@ class Words:
         return np.diff(self.rows)
 
 
-def words(column: pa.Array, lower: bool = False, spans: bool = True) -> Words:
-    """All words of every row. lower: A-Z count as a-z."""
+def words(column: pa.Array, lower: bool = False, spans: bool = True, alphanumeric: bool = False) -> Words:
+    """All words of every row. lower: A-Z count as a-z. alphanumeric: ASCII punctuation separates words too."""
     data, off = utf8(column)
+    kept = _ALNUM if alphanumeric else _NONWS
     hashes, starts, ends = [], [], []
     for lo, hi in _cuts(data, off):
         b = data[lo:hi]
-        ok = _NONWS[b]
+        ok = kept[b]
         first, last = ok.copy(), ok.copy()
         first[1:] &= ~ok[:-1]
         last[:-1] &= ~ok[1:]
@@ -174,7 +177,7 @@ class Rolling:
         return mix(x ^ (end - start).astype(U))
 
 
-def slices(batches, most: int = 6 << 20, column: str = "text"):
+def slices(batches, most: int = 3 << 20, column: str = "text"):
     """Cut Arrow batches so that each holds about ``most`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:

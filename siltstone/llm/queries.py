@@ -58,3 +58,20 @@ def op10_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op10_ngram": op10_ngram}
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from siltstone.llm.decontaminate import overlaps
+
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumn("contaminated", F.lit(True))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {"op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing}
