@@ -75,3 +75,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing}
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.quality import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.toxicity import score
+
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES |= {"op5_quality": op5_quality, "op8_toxicity": op8_toxicity}
