@@ -41,3 +41,330 @@ def release_split_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = F.expr("cast(conv(substr(sha2(concat('7:', source), 256), 1, 8), 16, 10) AS BIGINT) % 100")
     split = F.when(bucket < 80, "train").when(bucket < 90, "val").otherwise("test")
     return firsts.groupBy(split.alias("split"), "lang").agg(F.count("*").alias("n_rows"), F.countDistinct("source").alias("n_sources"))
+
+
+@query("select sha256(text) as fp, count(*) as n, min(doc_id) as first_id from documents where text is not null group by 1 having count(*) > 1")
+def exact_duplicate_groups(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").where("text IS NOT NULL")
+    return d.groupBy(F.sha2("text", 256).alias("fp")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+@query("""
+with s as (select sha256(text) fp, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::UBIGINT % 10 b from documents where text is not null)
+select fp, count(distinct case when b < 8 then 'train' when b < 9 then 'val' else 'test' end) as n_splits, count(*) as n from s group by fp having count(*) > 1
+""")
+def cross_split_fingerprints(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").where("text IS NOT NULL")
+    b = F.expr("cast(conv(substr(sha2(concat('7:', doc_id), 256), 1, 8), 16, 10) AS BIGINT) % 10")
+    split = F.when(b < 8, "train").when(b < 9, "val").otherwise("test")
+    return d.groupBy(F.sha2("text", 256).alias("fp")).agg(F.countDistinct(split).alias("n_splits"), F.count("*").alias("n")).where("n > 1")
+
+
+@query("select lang, count(distinct source) as n_sources, min(source) as first_source from documents group by lang having count(distinct source) > 1")
+def group_crosses_partitions(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents")
+    return d.groupBy("lang").agg(F.countDistinct("source").alias("n_sources"), F.min("source").alias("first_source")).where("n_sources > 1")
+
+
+@query("select lang, source, grouping_id(lang, source) as gid, count(*) as n, sum(n_chars) as chars from documents group by grouping sets ((lang), (source), ())")
+def composition_grouping_sets(spark, sf_dir):
+    _t(spark, sf_dir, "documents").createOrReplaceTempView("silt_documents")
+    return spark.sql("SELECT lang, source, grouping_id(lang, source) AS gid, count(*) AS n, sum(n_chars) AS chars FROM silt_documents GROUP BY lang, source GROUPING SETS ((lang), (source), ())")
+
+
+_RULES_SQL = """
+with v as (
+  select doc_id, 'D-01' as rule, 'text' as field, 'error' as severity from documents where text is null or length(trim(text)) = 0
+  union all select doc_id, 'D-02', 'n_chars', 'error' from documents where n_chars <> length(text)
+  union all select doc_id, 'D-03', 'lang', 'error' from documents where lang is null or lang not in ('en', 'de', 'fr', 'es')
+  union all select doc_id, 'D-04', 'text', 'warning' from documents where length(text) < 40
+  union all select doc_id, 'D-05', 'text', 'warning' from documents where text like '%###%'
+  union all select doc_id, 'D-06', 'source', 'error' from documents where not regexp_matches(source, '^src[0-9]+$'))
+"""
+
+
+def _document_violations(spark, sf_dir) -> DataFrame:
+    from siltstone.operators.rules import Rule, violations
+
+    text, source = F.col("text"), F.col("source")
+    rules = [
+        Rule("D-01", "text", "error", text.isNull() | (F.length(F.trim(text)) == 0)),
+        Rule("D-02", "n_chars", "error", F.col("n_chars") != F.length(text)),
+        Rule("D-03", "lang", "error", F.col("lang").isNull() | ~F.col("lang").isin("en", "de", "fr", "es")),
+        Rule("D-04", "text", "warning", F.length(text) < 40),
+        Rule("D-05", "text", "warning", text.contains("###")),
+        Rule("D-06", "source", "error", ~source.rlike("^src[0-9]+$")),
+    ]
+    return violations(_t(spark, sf_dir, "documents"), rules, ["doc_id"])
+
+
+@query(_RULES_SQL + "select doc_id, rule, field, severity from v")
+def rule_violations(spark, sf_dir):
+    return _document_violations(spark, sf_dir).select("doc_id", "rule", "field", "severity")
+
+
+@query(_RULES_SQL + "select rule, severity, count(*) as n from v group by rule, severity")
+def violation_counts(spark, sf_dir):
+    return _document_violations(spark, sf_dir).groupBy("rule", "severity").agg(F.count("*").alias("n"))
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderstatus not in ('O', 'F')")
+def enum_violations(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").where(~F.col("o_orderstatus").isin("O", "F")).select("o_orderkey", "o_orderstatus")
+
+
+@query("select l_orderkey, count(*) as n, min(l_linenumber) as first_line from lineitem group by l_orderkey having count(*) > 1")
+def duplicate_ids(spark, sf_dir):
+    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.min("l_linenumber").alias("first_line")).where("n > 1")
+
+
+@query("select conv_id, string_agg(role, '>' order by turn) as roles from conversations group by conv_id")
+def role_sequence(spark, sf_dir):
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    return _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda x: x["role"]), ">").alias("roles"))
+
+
+@query("""
+select conv_id, count(*) as n_turns, arg_min(role, turn) as first_role, sum(length(text)) as n_chars from conversations group by conv_id having count(*) <> 3
+""")
+def message_shape(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations")
+    return c.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.min_by("role", "turn").alias("first_role"), F.sum(F.length("text")).alias("n_chars")).where("n_turns <> 3")
+
+
+@query("select role, count(*) as n, avg(length(text)) as mean_chars, max(length(text)) as max_chars from conversations group by role")
+def char_length_stats(spark, sf_dir):
+    n = F.length("text")
+    return _t(spark, sf_dir, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.avg(n).alias("mean_chars"), F.max(n).cast("long").alias("max_chars"))
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    d, y = _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels")
+    return d.select("doc_id", "source", "lang", "n_chars").join(y, "doc_id")
+
+
+@query("""
+select source, count(*) as n, avg(quality) as mean_score, median(quality) as median_score, min(quality) as min_score, max(quality) as max_score
+from documents join labels using (doc_id) group by source
+""")
+def score_metrics_by_group(spark, sf_dir):
+    return _scored(spark, sf_dir).groupBy("source").agg(
+        F.count("*").alias("n"), F.avg("quality").alias("mean_score"), F.median("quality").alias("median_score"), F.min("quality").alias("min_score"), F.max("quality").alias("max_score")
+    )
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels)")
+def missing_candidates(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id")
+
+
+@query("""
+with d as (select doc_id from documents where doc_id % 3 <> 0), l as (select doc_id from labels)
+select coalesce(d.doc_id, l.doc_id) as id, case when l.doc_id is null then 'missing' when d.doc_id is null then 'extra' else 'matched' end as status
+from d full outer join l on d.doc_id = l.doc_id
+""")
+def reconcile_status(spark, sf_dir):
+    from siltstone.operators.keys import reconcile
+
+    return reconcile(_t(spark, sf_dir, "documents").where("doc_id % 3 <> 0"), _t(spark, sf_dir, "labels"), "doc_id").withColumnRenamed("doc_id", "id")
+
+
+@query("""
+select source, sum(case when quality = 1 then 1 else 0 end)::BIGINT as n_pass, sum(case when quality = 0 then 1 else 0 end)::BIGINT as n_fail, count(quality) as total,
+  case when count(quality) > 0 then sum(case when quality = 1 then 1 else 0 end) / count(quality)::DOUBLE end as rate
+from documents left join labels using (doc_id) group by source
+""")
+def category_rates(spark, sf_dir):
+    from siltstone.operators.metrics import tri_state_rates
+
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+    return tri_state_rates(d.withColumn("ok", F.col("quality") == 1), "source", "ok")
+
+
+@query("""
+with a as (select user_id, event_type, max(value) > 50 p from events where event_id % 2 = 0 group by 1, 2), b as (select user_id, event_type, max(value) > 50 p from events where event_id % 2 = 1 group by 1, 2)
+select case when b.p then 'improvement' else 'regression' end as kind, count(*) as n from a join b using (user_id, event_type) where a.p <> b.p group by 1
+""")
+def improvements_regressions(spark, sf_dir):
+    from siltstone.operators.metrics import changes
+
+    e = _t(spark, sf_dir, "events")
+    run = lambda k: e.where(f"event_id % 2 = {k}").groupBy("user_id", "event_type").agg((F.max("value") > 50).alias("passed"))
+    return changes(run(0), run(1), ["user_id", "event_type"], "passed").groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("""
+with u as (select distinct event_type, user_id from events)
+select a.event_type as left_type, b.event_type as right_type, count(*) as shared from u a join u b using (user_id) group by 1, 2
+""")
+def pairwise_overlap(spark, sf_dir):
+    u = _t(spark, sf_dir, "events").select("event_type", "user_id").distinct()
+    # a user's distinct event types are a short list, so pairs are made inside the row
+    kinds = u.groupBy("user_id").agg(F.collect_set("event_type").alias("k"))
+    return kinds.select(F.explode("k").alias("left_type"), "k").select("left_type", F.explode("k").alias("right_type")).groupBy("left_type", "right_type").agg(F.count("*").alias("shared"))
+
+
+@query("""
+with r as (select distinct event_type, user_id from events where value > 95), a as (select distinct user_id from r), k as (select distinct event_type from r)
+select k.event_type, a.user_id from k cross join a where not exists (select 1 from r where r.event_type = k.event_type and r.user_id = a.user_id)
+""")
+def missing_by_run(spark, sf_dir):
+    r = _t(spark, sf_dir, "events").where("value > 95").select("event_type", "user_id").distinct()
+    kinds = r.agg(F.collect_set("event_type").alias("kinds"))  # a handful of run names
+    held = r.groupBy("user_id").agg(F.collect_set("event_type").alias("held"))
+    return held.join(F.broadcast(kinds)).select(F.explode(F.array_except("kinds", "held")).alias("event_type"), "user_id")
+
+
+@query("""
+with m as (select user_id, event_type, avg(value) v from events group by 1, 2)
+select user_id, max(v) - min(v) as spread from m group by user_id order by spread desc, user_id limit 20
+""")
+def score_spread(spark, sf_dir):
+    m = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("v"))
+    return m.groupBy("user_id").agg((F.max("v") - F.min("v")).alias("spread")).orderBy(F.desc("spread"), "user_id").limit(20)
+
+
+@query("select doc_id, quality - toxic as score from documents join labels using (doc_id) order by score, doc_id limit 10")
+def weakest_rows(spark, sf_dir):
+    return _scored(spark, sf_dir).select("doc_id", (F.col("quality") - F.col("toxic")).alias("score")).orderBy("score", "doc_id").limit(10)
+
+
+@query("""
+select source, avg(quality) as mean_score, sum(toxic)::BIGINT as failures,
+  row_number() over (order by avg(quality) desc, sum(toxic), source) as place from documents join labels using (doc_id) group by source
+""")
+def leaderboard(spark, sf_dir):
+    m = _scored(spark, sf_dir).groupBy("source").agg(F.avg("quality").alias("mean_score"), F.sum("toxic").alias("failures"))
+    # one row for each run name: a short table
+    return m.withColumn("place", F.row_number().over(Window.orderBy(F.desc("mean_score"), "failures", "source")).cast("long"))
+
+
+@query("""
+with m as (select avg(quality) as mean_quality, avg(toxic) as mean_toxic from labels)
+select 'mean_quality' as gate, mean_quality as value, mean_quality >= 0.8 as passed from m union all select 'mean_toxic', mean_toxic, mean_toxic <= 0.05 from m
+""")
+def acceptance_gates(spark, sf_dir):
+    from siltstone.operators.metrics import gates
+
+    m = _t(spark, sf_dir, "labels").agg(F.avg("quality").alias("mean_quality"), F.avg("toxic").alias("mean_toxic"))
+    return gates(m, {"mean_quality": (">=", 0.8), "mean_toxic": ("<=", 0.05)})
+
+
+@query("""
+select doc_id, (case when lang = 'en' then 2 else 0 end + case when n_chars > 2000 then 3 else 0 end + case when text like '%?%' then 1 else 0 end + case when source in ('src1', 'src2') then 4 else 0 end)::INT as score
+from documents order by score desc, doc_id limit 20
+""")
+def selection_score_topk(spark, sf_dir):
+    add = lambda c, k: F.when(c, k).otherwise(0)
+    score = add(F.col("lang") == "en", 2) + add(F.col("n_chars") > 2000, 3) + add(F.col("text").contains("?"), 1) + add(F.col("source").isin("src1", "src2"), 4)
+    return _t(spark, sf_dir, "documents").select("doc_id", score.alias("score")).orderBy(F.desc("score"), "doc_id").limit(20)
+
+
+@query("""
+select source, doc_id from (select source, doc_id, row_number() over (partition by source order by sha256('11:' || source || ':' || doc_id), doc_id) n from documents) where n <= 3
+""")
+def hash_ranked_sample(spark, sf_dir):
+    from siltstone.operators.split import hash_sample
+
+    return hash_sample(_t(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id", 3, 11)
+
+
+@query("""
+with s as (select doc_id, row_number() over (order by doc_id) - 1 as r from documents order by doc_id limit 300 offset 20)
+select (r - 20) // 25 as batch_index, count(*) as n_rows, min(doc_id) as first_id, max(doc_id) as last_id from s group by 1
+""")
+def batch_windows(spark, sf_dir):
+    from siltstone.operators.split import batches
+
+    b = batches(_t(spark, sf_dir, "documents").select("doc_id"), "doc_id", size=25, start=20, limit=300)
+    return b.groupBy("batch_index").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
+_TIER = "case lang when 'en' then 0 when 'de' then 1 else 2 end"
+
+
+@query(f"""
+with r as (select sha256(text) fp, doc_id, {_TIER} as tier, row_number() over (partition by sha256(text) order by {_TIER}, doc_id) n, count(*) over (partition by sha256(text)) c from documents)
+select fp, doc_id, tier, n = 1 as kept from r where c > 1
+""")
+def priority_dedup(spark, sf_dir):
+    from siltstone.operators.keys import tag_best
+
+    d = _t(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("fp"), "doc_id", F.expr(_TIER).alias("tier"))
+    return tag_best(d, "fp", ["tier", "doc_id"]).where("size > 1").select("fp", "doc_id", "tier", "kept")
+
+
+@query("select doc_id from documents where doc_id % 4 = 1 and doc_id not in (select doc_id from labels)")
+def resume_pending(spark, sf_dir):
+    from siltstone.operators.keys import pending
+
+    return pending(_t(spark, sf_dir, "documents").where("doc_id % 4 = 1").select("doc_id"), _t(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("""
+select doc_id, regexp_matches(lower(text), 'licen[cs]e') as licence, regexp_matches(lower(text), 'permission') as permission,
+  regexp_matches(lower(text), 'licen[cs]e[^.\n]{0,50}permission|permission[^.\n]{0,50}licen[cs]e') as both_near from documents
+""")
+def claim_phrase_flags(spark, sf_dir):
+    t = F.lower("text")
+    near = "licen[cs]e[^.\n]{0,50}permission|permission[^.\n]{0,50}licen[cs]e"
+    return _t(spark, sf_dir, "documents").select("doc_id", t.rlike("licen[cs]e").alias("licence"), t.rlike("permission").alias("permission"), t.rlike(near).alias("both_near"))
+
+
+@query("select doc_id, sha256(regexp_replace(text, '(the|that) (of|and|or|in)', 'it', 'g')) as fp from documents")
+def hedge_rewrite(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(F.regexp_replace("text", "(the|that) (of|and|or|in)", "it"), 256).alias("fp"))
+
+
+@query("select doc_id, len(regexp_extract_all(text, '[A-Z][a-z]+'))::INT as n_tokens from documents")
+def token_counts(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), 0)).alias("n_tokens"))
+
+
+@query("""
+select case when regexp_matches(lower(text), 'license|copyright') then 'legal' when regexp_matches(text, '[#$%&]{3}') then 'symbols' else 'prose' end as family, count(*) as n from documents group by 1
+""")
+def family_classifier(spark, sf_dir):
+    family = F.when(F.lower("text").rlike("license|copyright"), "legal").when(F.col("text").rlike("[#$%&]{3}"), "symbols").otherwise("prose")
+    return _t(spark, sf_dir, "documents").groupBy(family.alias("family")).agg(F.count("*").alias("n"))
+
+
+@query("select doc_id, sha256(substr(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), 1, 120)) as preview from documents")
+def whitespace_preview(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(F.substring(F.regexp_replace("text", "[ \t\n\r]+", " "), 1, 120), 256).alias("preview"))
+
+
+@query("select event_id, json_extract_string(props, '$.k') as k from events")
+def json_field(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@query("select doc_id, item_id from documents join benchmark on instr(documents.text, benchmark.text) > 0")
+def contained_passages(spark, sf_dir):
+    from siltstone.operators.duplicates import contained
+
+    return contained(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"), "doc_id", "item_id")
+
+
+@query("""
+select 'line_without_order' as kind, l_orderkey as key from lineitem where l_orderkey not in (select o_orderkey from orders)
+union select 'order_without_line', o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)
+""")
+def orphan_references(spark, sf_dir):
+    lines, orders = _t(spark, sf_dir, "lineitem").select("l_orderkey").distinct(), _t(spark, sf_dir, "orders").select("o_orderkey")
+    a = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_anti").select(F.lit("line_without_order").alias("kind"), F.col("l_orderkey").alias("key"))
+    b = orders.join(lines, lines.l_orderkey == orders.o_orderkey, "left_anti").select(F.lit("order_without_line").alias("kind"), F.col("o_orderkey").alias("key"))
+    return a.union(b).distinct()
+
+
+@query("""
+with n as (select source, count(*) n from documents group by source),
+p as (select source, n, split, r, floor(n * r / 100)::BIGINT f, (n * r) % 100 rem, o from n cross join (values ('train', 70, 0), ('val', 15, 1), ('test', 15, 2)) t(split, r, o)),
+q as (select *, n - sum(f) over (partition by source) short, row_number() over (partition by source order by rem desc, o) k from p)
+select source, split, (f + case when k <= short then 1 else 0 end)::BIGINT as n_rows from q
+""")
+def ratio_split_sizes(spark, sf_dir):
+    from siltstone.operators.split import largest_remainder
+
+    n = _t(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return largest_remainder(n, "n", [("train", 70), ("val", 15), ("test", 15)]).select("source", "split", "n_rows")
