@@ -28,7 +28,7 @@ from siltstone.scratch import Scratch
 #: Ids are broadcast only up to this many (8 bytes each); beyond, the join is dealt by key.
 BROADCAST_IDS = 1_000_000
 #: Members of one block in the comparison of what pivots leave over.
-BLOCK = 128
+BLOCK = 512
 
 
 def _constants(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +156,9 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
                 h = np.zeros((b.num_rows, bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 for j in range(rows):
                     h = T.mix(h ^ sig[:, :, j])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), bands)), pa.array(T.signed(h.ravel()))], ["rep", "bucket"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), bands)), pa.array(T.signed(h.ravel())), pa.array(np.tile(np.arange(bands, dtype=np.int32), b.num_rows))], ["rep", "bucket", "band"])
 
-    member = scratch.save(classes.select("rep", "sig").mapInArrow(banded, "rep long, bucket long"), "member")
+    member = scratch.save(classes.select("rep", "sig").mapInArrow(banded, "rep long, bucket long, band int"), "member")
     buckets = member.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = scratch.save(buckets, "buckets")
     shared = scratch.save(member.join(buckets, "bucket"), "shared")
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
     links = scratch.save(confirmed(near, docs, shingle, threshold_percent, scratch, "first"), "links")
     found = scratch.save(components(links, scratch, "part"), "found")
 
-    rest = _rest(shared, found, sigs, k, batch, threshold_percent / 100, miss, scratch)
+    rest = _rest(shared, found, sigs, docs, shingle, k, bands, batch, threshold_percent, miss, scratch)
     if rest is not None:
         more = scratch.save(confirmed(rest, docs, shingle, threshold_percent, scratch, "rest"), "more")
         if more.limit(1).count():
@@ -192,10 +192,31 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch, tag: str) -> DataFrame:
-    """The pairs (a, b) of ids whose full shingle sets reach the threshold."""
-    ids = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"ids-{tag}")
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs that ``near_duplicates`` keeps, one for each id, with their columns.
+
+    Only the ids that go are joined with the texts. Rows that repeat an id count as copies of one
+    another; rows without an id stay.
+    """
+    scratch = Scratch(docs.sparkSession, "keep-first")
+    judged = scratch.save(near_duplicates(docs, **options).select("doc_id", "kept"), "judged")
+    gone = scratch.save(judged.where("NOT kept").select("doc_id").distinct(), "gone")
+    twice = scratch.save(judged.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    out = docs.join(bounded(gone), "doc_id", "left_anti")
+    if twice.limit(1).count():
+        again = out.join(bounded(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        out = out.join(bounded(twice), "doc_id", "left_anti").unionByName(again)
+    return out.select(docs.columns)
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """Written ids, marked for broadcast if they are few enough."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def whole_sets(ids: DataFrame, docs: DataFrame, shingle: int, scratch: Scratch, tag: str) -> DataFrame:
+    """(doc_id, whole) for the given ids: the sorted 64-bit shingle names."""
+    ids = scratch.save(ids.distinct(), f"ids-{tag}")
 
     def full(batches):
         for b in T.slices(batches):
@@ -203,9 +224,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
             flat = sets.view(np.uint8)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([flat[8 * off[i] : 8 * off[i + 1]].tobytes() for i in range(b.num_rows)], pa.binary())], ["doc_id", "whole"])
 
-    texts = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    texts = docs.join(bounded(ids), "doc_id", "left_semi")
     sets = texts.select("doc_id", "text").mapInArrow(full, "doc_id long, whole binary").groupBy("doc_id").agg(F.first("whole").alias("whole"))
-    sets = scratch.save(sets, f"sets-{tag}")
+    return scratch.save(sets, f"sets-{tag}")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch, tag: str) -> DataFrame:
+    """The pairs (a, b) of ids whose full shingle sets reach the threshold."""
+    sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, shingle, scratch, tag)
 
     def check(batches):
         for b in batches:
@@ -226,47 +252,80 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
     return joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _rest(shared, found, sigs, k, batch, threshold, miss, scratch):
-    """Candidates that share a bucket but were compared with its pivot only.
+def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, scratch):
+    """Links between documents that share a bucket but were compared with its pivot only; None if there are no such.
 
     A bucket whose members all lie in one component needs nothing more. In the others, members are
     dealt into blocks of about BLOCK by a hash; each pair of blocks is one unit of work, compared
-    inside its task, so neither a hot bucket nor its pairs ever form one row group.
+    inside its task, so that neither a hot bucket nor its pairs ever form one row group. A pair is
+    judged in the first band it shares, by the sequential test and then on sets of 32-bit names
+    (which can only add links, all of them confirmed later); a unit reports a spanning forest.
     """
-    named = shared.join(found, shared.rep == found.node, "left").select("bucket", "rep", "pivot", "size", F.coalesce("component", "rep").alias("component"))
+    named = shared.join(found, shared.rep == found.node, "left").select("bucket", "band", "rep", "pivot", "size", F.coalesce("component", "rep").alias("component"))
     named = scratch.save(named.where("size > 2"), "rest-named")
     torn = named.where("rep <> pivot").groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo <> hi")
     torn = scratch.save(torn.select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "rest-torn")
     if not torn.limit(1).count():
         return None
     left = named.where("rep <> pivot").join(torn, "bucket").withColumn("block", F.pmod(F.xxhash64("rep", F.lit(17)), F.col("blocks")).cast("int"))
-    # each bucket's member list is the same set of ids in many bands: units with equal member sets count once
-    other = F.explode(F.expr("sequence(0, blocks - 1)"))
-    unit = left.withColumn("other", other).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
-    unit = unit.groupBy("bucket", "i", "j").agg(F.sort_array(F.collect_list(F.struct("rep", "component", "block"))).alias("members")).where("size(members) > 1")
-    unit = unit.select("members", "i", "j").withColumn("key", F.xxhash64("members")).groupBy("key", "i", "j").agg(F.first("members").alias("members"))
-    unit = unit.withColumn("unit", F.monotonically_increasing_id())
-    unit = scratch.save(unit.select("unit", "i", "j", "members"), "rest-units")
-    rows = unit.select("unit", "i", "j", F.explode("members").alias("m")).select("unit", "i", "j", "m.rep", "m.component", "m.block")
-    rows = rows.join(sigs, "rep").select("unit", "i", "j", "rep", "component", "block", "sig")
+    left = left.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    unit = left.select("bucket", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component")
+    # a unit is at most two blocks; units with the same members in several bands count once, in the first band
+    unit = unit.groupBy("bucket", "band", "i", "j").agg(F.sort_array(F.collect_list(F.struct("rep", "component", "block"))).alias("members")).where("size(members) > 1")
+    unit = unit.withColumn("key", F.xxhash64("members")).groupBy("key", "i", "j").agg(F.min("band").alias("band"), F.first("members").alias("members"))
+    unit = scratch.save(unit.select(F.monotonically_increasing_id().alias("unit"), "band", "i", "j", "members"), "rest-units")
+    rows = scratch.save(unit.select("unit", "band", "i", "j", F.explode("members").alias("m")).select("unit", "band", "i", "j", "m.rep", "m.component", "m.block"), "rest-rows")
+
+    def narrow(batches):
+        for b in batches:
+            names = [np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in b.column("whole")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.binary())], ["rep", "names"])
+
+    sets = whole_sets(rows.select(F.col("rep").alias("doc_id")), docs, shingle, scratch, "rest").mapInArrow(narrow, "rep long, names binary")
+    both = scratch.save(sets.join(sigs, "rep"), "rest-sets")
+    rows = rows.join(both, "rep").select("unit", "band", "i", "j", "rep", "component", "block", "sig", "names")
 
     def blocks(batches):
-        # the rows of a unit come together: at most 2 * BLOCK or so
-        for unit, i, j, rep, comp, block, sig in _groups(batches, k):
+        for band, i, j, rep, comp, block, sig, names in _groups(batches, k):
             a, b = np.triu_indices(len(rep), 1)
             ok = comp[a] != comp[b]
             if i != j:
                 ok &= block[a] != block[b]
             a, b = a[ok], b[ok]
-            keep = survives(sig[a], sig[b], batch, threshold, miss)
-            lo, hi = np.minimum(rep[a[keep]], rep[b[keep]]), np.maximum(rep[a[keep]], rep[b[keep]])
-            yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+            keep = [at + survives(sig[a[at : at + 65536]], sig[b[at : at + 65536]], batch, percent / 100, miss) for at in range(0, len(a), 65536)]
+            keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
+            a, b = a[keep], b[keep]
+            shape = (-1, bands, k // bands)
+            keep = (sig[a].reshape(shape) == sig[b].reshape(shape)).all(2).argmax(1) == band
+            found = [(rep[x], rep[y]) for x, y in _spanning(a[keep], b[keep], comp, names, percent)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], ["a", "b"])
 
     parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "unit").sortWithinPartitions("unit")
     return scratch.save(rows.mapInArrow(blocks, "a long, b long").distinct(), "rest-pairs")
 
 
+def _spanning(a, b, comp, names, percent):
+    """The pairs that reach the threshold on 32-bit names and connect what is not connected yet."""
+    parent = {int(c): int(c) for c in comp}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        u, v = root(int(comp[x])), root(int(comp[y]))
+        if u != v:
+            p, q = names[x], names[y]
+            both = len(np.intersect1d(p, q, assume_unique=True)) + 1 + len(p) // 4096
+            if 100 * both >= percent * (len(p) + len(q) - both):
+                parent[max(u, v)] = min(u, v)
+                yield x, y
+
+
 def _groups(batches, k):
     held = []
     for b in batches:
@@ -289,4 +348,5 @@ def _groups(batches, k):
 def _one(held, k):
     t = pa.Table.from_batches(held).combine_chunks()
     n = lambda c: t.column(c).to_numpy()
-    return n("unit")[0], n("i")[0], n("j")[0], n("rep"), n("component"), n("block"), _matrix(t.column("sig"), k)
+    names = [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("names")]
+    return n("band")[0], n("i")[0], n("j")[0], n("rep"), n("component"), n("block"), _matrix(t.column("sig"), k), names
