@@ -43,8 +43,11 @@ def measures(docs: DataFrame) -> DataFrame:
     Three-word windows become 64-bit values: a hash above as many low bits as the place needs. After a
     primitive sort, equal windows are neighbours, and their low bits say which words they cover.
     """
-    keep = [c for c in ("doc_id", "lang") if c in docs.columns]
-    d = docs.select(*keep, F.coalesce("text", F.lit("")).alias("text"))
+    return _measured(docs.select(*(c for c in ("doc_id", "lang") if c in docs.columns), F.coalesce("text", F.lit("")).alias("text")), [c for c in ("doc_id", "lang") if c in docs.columns])
+
+
+def _measured(d: DataFrame, keep: list[str]) -> DataFrame:
+    """The measures of column text, beside the columns to keep."""
     d = d.withColumn("words", F.expr(rf"filter(split(text, '{WS}'), w -> w <> '')".replace("\\", "\\\\")))
     d = d.select(
         *keep,
@@ -103,15 +106,38 @@ def apply(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
     one by one, repeated labels count once. Without labels no rule is on. Empty table: empty result.
     """
     scratch = Scratch(docs.sparkSession, "rules")
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    m = measures(docs).withColumn("base_failed", base).withColumn("stratum", F.coalesce("lang", F.lit("")))
-    m = scratch.save(m.drop("lang"), "measured")
+    m = scratch.save(measures(docs).withColumns(_base()).drop("lang"), "measured")
+    m = m.withColumn("reason", _reason(cutoffs(m, labels, alpha, delta)))
+    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("reason").isNull().alias("kept"), "reason", "n_lines", "n_capitals", "stratum")
+
+
+def select(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of docs that ``apply`` keeps, with their columns.
+
+    The measures are taken twice, once for the cutoffs and once beside the text, so that no text is
+    shuffled to meet its verdict.
+    """
+    scratch = Scratch(docs.sparkSession, "rules")
+    m = scratch.save(measures(docs).withColumns(_base()).drop("lang"), "measured")
     chosen = cutoffs(m, labels, alpha, delta)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    d = docs.select(row, "lang", F.coalesce("text", F.lit("")).alias("text"))
+    d = _measured(d, ["row", "lang"]).withColumns(_base())
+    return d.where(_reason(chosen).isNull()).select("row.*")
+
+
+def _base() -> dict:
+    return {
+        "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
+        "stratum": F.coalesce("lang", F.lit("")),
+    }
+
+
+def _reason(chosen: dict[str, dict[str, int]]):
+    """The rule that rejects a row, or null."""
     why = F.lit(None).cast("string")
-    for stratum, rules in sorted(chosen.items()):
+    for stratum, on in sorted(chosen.items()):
         for rule, a, b in RULES:
-            if rule in rules:
-                why = F.coalesce(why, F.when((F.col("stratum") == stratum) & (1000 * F.col(a) > rules[rule] * F.col(b)), F.lit(rule)))
-    why = F.when(F.col("base_failed"), F.lit("base")).otherwise(why)
-    m = m.withColumn("reason", why)
-    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("reason").isNull().alias("kept"), "reason", "n_lines", "n_capitals", "stratum")
+            if rule in on:
+                why = F.coalesce(why, F.when((F.col("stratum") == stratum) & (1000 * F.col(a) > on[rule] * F.col(b)), F.lit(rule)))
+    return F.when(F.col("base_failed"), F.lit("base")).otherwise(why)

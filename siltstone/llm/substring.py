@@ -252,3 +252,43 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n", F.lit(0))).alias("n_removed"),
         F.when(F.col("copy"), empty).otherwise(F.coalesce("sha", "sha256")).alias("kept_sha256"),
     )
+
+
+def cut_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
+    """docs without the words that ``remove_repeats`` removes; other text stays as it is.
+
+    A removed word takes the white space after it along. n_chars, where docs has it, follows the text.
+    Documents that lose all their words go. Only changed documents are joined with what they lose.
+    """
+    scratch = Scratch(docs.sparkSession, "cut")
+    facts, removed = repeated_windows(docs, scratch, size)
+    copies = facts.where("copy").select("doc_id")
+    gone = scratch.save(copies.union(removed.select("doc_id")).distinct(), "gone")
+    small = gone.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES
+    same = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
+    columns = docs.columns
+    text = columns.index("text")
+
+    def cut(batches):
+        for b in T.slices(batches):
+            texts = [_cut(t.encode(), np.asarray(s.values), size) for t, s in zip(b.column("text").to_pylist(), b.column("starts"))]
+            out = list(b.columns[: len(columns)])
+            out[text] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(out, columns)
+
+    changed = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed, "doc_id").select(*columns, "starts")
+    changed = changed.mapInArrow(cut, docs.schema)
+    changed = changed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return same.unionByName(changed.select(columns))
+
+
+def _cut(text: bytes, starts: np.ndarray, size: int) -> str:
+    gone, _ = _kept(text, starts, size)
+    w = T.words(pa.array([text.decode()], pa.string()))
+    keep = np.ones(len(text), bool)
+    ends = np.append(w.start[1:], len(text))
+    for a, b in zip(w.start[gone], ends[gone]):
+        keep[a:b] = False
+    return np.frombuffer(text, np.uint8)[keep].tobytes().decode()
