@@ -1,0 +1,89 @@
+"""JSON texts: canonical form, lenient reading of model output, string leaves, copies of tasks and answers."""
+
+from __future__ import annotations
+
+import json
+from hashlib import sha256
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
+
+
+def canonical(value) -> str:
+    """Sorted keys, no spaces, other scripts kept."""
+    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+
+@F.pandas_udf(StringType())
+def canonical_json(raw: pd.Series) -> pd.Series:
+    """The canonical form of JSON texts; null for malformed ones."""
+
+    def one(text):
+        try:
+            return canonical(json.loads(text))
+        except (TypeError, ValueError):
+            return None
+
+    return raw.map(one, na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def canonical_sha256(raw: pd.Series) -> pd.Series:
+    def one(text):
+        try:
+            return sha256(canonical(json.loads(text)).encode()).hexdigest()
+        except (TypeError, ValueError):
+            return None
+
+    return raw.map(one, na_action="ignore")
+
+
+def first_object(text: str | None) -> dict | None:
+    """The text as a JSON object, else the first object that can be read from a ``{`` in it."""
+    if not text:
+        return None
+    try:
+        value = json.loads(text)
+        return value if isinstance(value, dict) else None
+    except ValueError:
+        pass
+    read, at = json.JSONDecoder().raw_decode, text.find("{")
+    while at >= 0:
+        try:
+            value, _ = read(text, at)
+            if isinstance(value, dict):
+                return value
+        except ValueError:
+            pass
+        at = text.find("{", at + 1)
+    return None
+
+
+@F.pandas_udf(StringType())
+def lenient_object(raw: pd.Series) -> pd.Series:
+    """The first object of model output, in canonical form; null if there is none."""
+    return raw.map(lambda t: (lambda v: None if v is None else canonical(v))(first_object(t)), na_action="ignore")
+
+
+def string_leaves(value) -> list[str]:
+    """All strings in a JSON value, depth first."""
+    if isinstance(value, str):
+        return [value]
+    if isinstance(value, dict):
+        value = list(value.values())
+    return [s for x in value for s in string_leaves(x)] if isinstance(value, list) else []
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def leaves(raw: pd.Series) -> pd.Series:
+    return raw.map(lambda t: string_leaves(json.loads(t)), na_action="ignore")
+
+
+def holds_copy(value, keys: frozenset[str], versions: frozenset[str], least: int = 3) -> bool:
+    """Whether some object has ``least`` of the keys, or a schema_version among ``versions``."""
+    if isinstance(value, dict):
+        if len(keys & value.keys()) >= least or value.get("schema_version") in versions:
+            return True
+        value = list(value.values())
+    return isinstance(value, list) and any(holds_copy(x, keys, versions, least) for x in value)
