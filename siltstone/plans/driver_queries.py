@@ -368,3 +368,42 @@ def ratio_split_sizes(spark, sf_dir):
 
     n = _t(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
     return largest_remainder(n, "n", [("train", 70), ("val", 15), ("test", 15)]).select("source", "split", "n_rows")
+
+
+@query()
+def near_duplicate_pairs(spark, sf_dir):
+    """Pairs of benchmark texts with a matching ratio of at least 0.95."""
+    from siltstone.operators.near import near_pairs
+
+    return near_pairs(_t(spark, sf_dir, "benchmark"), "item_id", "text", 0.95)
+
+
+@query()
+def unnegated_claims(spark, sf_dir):
+    """Documents that speak of permission without a denial before it."""
+    from siltstone.functions.claims import unnegated_claim
+
+    d = _t(spark, sf_dir, "documents").where(F.lower("text").rlike(r"\bpermission\b"))
+    return d.select("doc_id", unnegated_claim("text", F.lit(r"\bpermission\b")).alias("claimed"))
+
+
+@query()
+def first_match_mutation(spark, sf_dir):
+    """The first 'the' of each document changed, by hash of the result."""
+    from siltstone.operators.mutate import first_edit
+
+    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(first_edit(F.col("text"), r"\bthe\b", F.lit("this")), 256).alias("fp"))
+
+
+@query()
+def canonical_json_hash(spark, sf_dir):
+    from siltstone.functions.json_text import canonical_sha256
+
+    return _t(spark, sf_dir, "events").select("event_id", canonical_sha256("props").alias("fp"))
+
+
+@query()
+def lenient_json(spark, sf_dir):
+    from siltstone.functions.json_text import lenient_object
+
+    return _t(spark, sf_dir, "pages").select("page_id", lenient_object("html").alias("found"))
