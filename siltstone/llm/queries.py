@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.llm.sql import SQL  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,7 +20,6 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_minhash": op1_minhash}
-SQL: dict[str, str] = {}
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.warc import round_trip
 
-    return round_trip(table(spark, sf_dir, "pages"))
+    return round_trip(table(spark, sf_dir, "pages")).drop("n_segments")
 
 
 def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
