@@ -18,6 +18,7 @@ _NONWS = np.ones(256, bool)
 _NONWS[[9, 10, 11, 12, 13, 32]] = False
 _ALNUM = np.ones(256, bool)
 _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
+_RUN = np.array([0 if i > 127 or i < 33 or i in (39, 127) else 1 if chr(i).isalnum() else 2 for i in range(256)], np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -97,8 +98,9 @@ class Words:
         return np.diff(self.rows)
 
 
-def words(column: pa.Array, lower: bool = False, spans: bool = True, alphanumeric: bool = False) -> Words:
-    """All words of every row. lower: A-Z count as a-z. alphanumeric: ASCII punctuation separates words too."""
+def words(column: pa.Array, lower: bool = False, spans: bool = True, alphanumeric: bool = False, runs: bool = False) -> Words:
+    """All words of every row. lower: A-Z count as a-z. alphanumeric: ASCII punctuation separates words too.
+    runs: a word is also cut between ASCII letters or digits and ASCII punctuation (but for apostrophes)."""
     data, off = utf8(column)
     kept = _ALNUM if alphanumeric else _NONWS
     hashes, starts, ends = [], [], []
@@ -109,6 +111,11 @@ def words(column: pa.Array, lower: bool = False, spans: bool = True, alphanumeri
         first[1:] &= ~ok[:-1]
         last[:-1] &= ~ok[1:]
         a, z = np.searchsorted(off, lo, "right"), np.searchsorted(off, hi, "left")
+        if runs:
+            kind = _RUN[b]
+            turn = (kind[1:] ^ kind[:-1]) == 3  # 1 beside 2
+            first[1:] |= turn
+            last[:-1] |= turn
         edge = off[a:z] - lo
         first[edge] = ok[edge]
         edge = edge[edge > 0]

@@ -15,6 +15,8 @@ its sequence and offset by binary search among the patterns' slots.
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
 
 import numpy as np
@@ -41,11 +43,17 @@ class WordTokenizer:
     """Ids of whole texts for a tokenizer that drops white space, by way of its distinct words."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         from tokenizers import Tokenizer
 
         self.base = Tokenizer.from_file(path)
         self.base.no_truncation()
         self.base.no_padding()
+        vocabulary = self.base.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [x.content.encode() for x in self.base.get_added_tokens_decoder().values()]
+        self.plain = False
         self._clear()
 
     def _clear(self):
@@ -55,9 +63,18 @@ class WordTokenizer:
         self.flat = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
-    def _learn(self, names: list[int], texts: list[str]):
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text. Plain words go through in one text: each ends in the one token that ends a word."""
         encode = getattr(self.base, "encode_batch_fast", self.base.encode_batch)
-        ids = [x.ids for x in encode(texts, add_special_tokens=False)]
+        if self.plain:
+            ids = encode([" ".join(texts)], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(texts):
+                return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        return [x.ids for x in encode(texts, add_special_tokens=False)]
+
+    def _learn(self, names: list[int], texts: list[str]):
+        ids = self._encode(texts)
         n, lengths = len(self.index), np.array([len(x) for x in ids], np.int64)
         while n + len(ids) > len(self.start):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
@@ -71,18 +88,27 @@ class WordTokenizer:
         self.index.update(zip(names, range(n, n + len(ids))))
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the rows, and the offsets of the rows among them."""
+        """All ids of the rows, and the offsets of the rows among them.
+
+        Texts are cut at white space, and inside words between ASCII letters and ASCII punctuation,
+        where the tokenizer cuts too; not so where a special token is spelled out.
+        """
         if len(self.index) > CACHE:
             self._clear()
-        w = T.words(column)
         data, _ = T.utf8(column)
+        body = data.tobytes()
+        w = T.words(column, runs=not any(x in body for x in self.special))
         names, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        names = names.tolist()
-        new = [i for i, x in enumerate(names) if x not in self.index]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            self._learn([names[i] for i in part], [data[w.start[first[i]] : w.end[first[i]]].tobytes().decode() for i in part])
-        at = np.fromiter((self.index[x] for x in names), np.int64, len(names))
+        at = np.fromiter(map(self.index.get, names.tolist(), itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        spans = [body[a:b].decode() for a, b in zip(w.start[first[new]].tolist(), w.end[first[new]].tolist())]
+        plain = np.array([x.isascii() and x.isalpha() for x in spans], bool)
+        for self.plain in (True, False):
+            group = np.flatnonzero(plain == self.plain)
+            for k in range(0, len(group), 2048):
+                part = group[k : k + 2048]
+                at[new[part]] = np.arange(len(self.index), len(self.index) + len(part))
+                self._learn(names[new[part]].tolist(), [spans[i] for i in part])
         at = at[which] if len(names) else np.zeros(0, np.int64)
         sizes = self.size[at]
         return self.flat[T.spread(self.start[at], sizes)], np.concatenate([[0], np.cumsum(sizes)])[w.rows]
