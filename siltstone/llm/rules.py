@@ -123,7 +123,9 @@ def select(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     d = docs.select(row, "lang", F.coalesce("text", F.lit("")).alias("text"))
     d = _measured(d, ["row", "lang"]).withColumns(_base())
-    return d.where(_reason(chosen).isNull()).select("row.*")
+    # an id in the projection keeps the filter above it: pushed below, it would repeat the measures inside their own lambdas
+    d = d.select("row", _reason(chosen).alias("reason"), F.monotonically_increasing_id().alias("place"))
+    return d.where("reason IS NULL AND place >= 0").select("row.*")
 
 
 def _base() -> dict:
