@@ -287,16 +287,17 @@ def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, sc
 
     def blocks(batches):
         for band, i, j, rep, comp, block, sig, names in _groups(batches, k):
-            a, b = np.triu_indices(len(rep), 1)
-            ok = comp[a] != comp[b]
+            # pairs still apart that share no earlier band, as one matrix of the unit
+            ok = np.triu(comp[:, None] != comp[None, :], 1)
             if i != j:
-                ok &= block[a] != block[b]
-            a, b = a[ok], b[ok]
+                ok &= block[:, None] != block[None, :]
+            part = sig.reshape(len(sig), bands, k // bands)
+            for earlier in range(band):
+                names_of = np.unique(part[:, earlier], axis=0, return_inverse=True)[1].ravel()
+                ok &= names_of[:, None] != names_of[None, :]
+            a, b = np.nonzero(ok)
             keep = [at + survives(sig[a[at : at + 65536]], sig[b[at : at + 65536]], batch, percent / 100, miss) for at in range(0, len(a), 65536)]
             keep = np.concatenate(keep) if keep else np.zeros(0, np.int64)
-            a, b = a[keep], b[keep]
-            shape = (-1, bands, k // bands)
-            keep = (sig[a].reshape(shape) == sig[b].reshape(shape)).all(2).argmax(1) == band
             found = [(rep[x], rep[y]) for x, y in _spanning(a[keep], b[keep], comp, names, percent)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], ["a", "b"])
@@ -320,7 +321,9 @@ def _spanning(a, b, comp, names, percent):
         u, v = root(int(comp[x])), root(int(comp[y]))
         if u != v:
             p, q = names[x], names[y]
-            both = len(np.intersect1d(p, q, assume_unique=True)) + 1 + len(p) // 4096
+            at = np.searchsorted(q, p)
+            at[at == len(q)] = 0
+            both = int((q[at] == p).sum()) + 1 + len(p) // 4096
             if 100 * both >= percent * (len(p) + len(q) - both):
                 parent[max(u, v)] = min(u, v)
                 yield x, y
