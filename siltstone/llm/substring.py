@@ -185,19 +185,30 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, size: int = 50) -> tuple
                     ok[at[i] : at[i + 1]] = mine[np.minimum(np.searchsorted(mine, part), len(mine) - 1)] == part
             starts, row = starts[ok], row[ok]
             h1, h2 = T.Rolling(w.hash).names(starts, starts + size), T.Rolling(w.hash, 1).names(starts, starts + size)
-            ids = np.asarray(b.column("doc_id"))
-            for i in range(0, len(row), 500_000):
-                r = slice(i, i + 500_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row[r]]), pa.array((starts[r] - w.rows[row[r]]).astype(np.int32)), pa.array(T.signed(h1[r])), pa.array((h2[r] >> _U(32)).astype(np.uint32).view(np.int32))],
-                    ["doc_id", "start", "h1", "h2"],
-                )
+            starts = starts - w.rows[row]
+            # a window that recurs inside its document is one row, with its further places beside it
+            order = np.lexsort((starts, h2, h1, row))
+            starts, row, h1, h2 = starts[order], row[order], h1[order], h2[order]
+            head = np.ones(len(row), bool)
+            head[1:] = (row[1:] != row[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+            at = np.flatnonzero(head)
+            extra = np.diff(np.append(at, len(row))) - 1
+            cut = np.concatenate([[0], np.cumsum(extra)]).astype(np.int32)
+            more = pa.ListArray.from_arrays(pa.array(cut), pa.array(starts[~head].astype(np.int32)), mask=pa.array(extra == 0))
+            ids = np.asarray(b.column("doc_id"))[row[at]]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(starts[at].astype(np.int32)), more, pa.array(T.signed(h1[at])), pa.array((h2[at] >> _U(32)).astype(np.uint32).view(np.int32))],
+                ["doc_id", "start", "more", "h1", "h2"],
+            )
+            for i in range(0, out.num_rows, 500_000):
+                yield out.slice(i, 500_000)
 
     texts = docs.where("doc_id IS NOT NULL").join(F.broadcast(back) if values <= BROADCAST_VALUES else back, "doc_id")
-    windows = scratch.save(texts.select("doc_id", "text", "keys").mapInArrow(name, "doc_id long, start int, h1 long, h2 int"), "windows")
+    windows = scratch.save(texts.select("doc_id", "text", "keys").mapInArrow(name, "doc_id long, start int, more array<int>, h1 long, h2 int"), "windows")
     origin = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2", "least")
     hit = windows.join(origin, ["h1", "h2"]).where("doc_id > least")
-    removed = scratch.save(hit.groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "removed")
+    places = F.concat(F.array("start"), F.coalesce("more", F.array().cast("array<int>")))
+    removed = scratch.save(hit.groupBy("doc_id").agg(F.flatten(F.collect_list(places)).alias("starts")), "removed")
     facts = scratch.save(joined.select("doc_id", "n_words", "sha256", "copy"), "facts")
     scratch.drop("windows")
     scratch.drop("read")
