@@ -177,10 +177,8 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
     found = scratch.save(components(links, scratch, "part"), "found")
 
     rest = _rest(shared, found, sigs, docs, shingle, k, bands, batch, threshold_percent, miss, scratch)
-    if rest is not None:
-        more = scratch.save(confirmed(rest, docs, shingle, threshold_percent, scratch, "rest"), "more")
-        if more.limit(1).count():
-            found = scratch.save(components(links.union(more), scratch, "whole"), "found-all")
+    if rest is not None and rest.limit(1).count():
+        found = scratch.save(components(links.union(rest), scratch, "whole"), "found-all")
 
     named = classes.select("n_shingles", "d1", "d2", "rep").join(found, F.col("rep") == F.col("node"), "left")
     named = named.select("n_shingles", "d1", "d2", F.coalesce("component", "rep").alias("component"))
@@ -229,6 +227,17 @@ def whole_sets(ids: DataFrame, docs: DataFrame, shingle: int, scratch: Scratch,
     return scratch.save(sets, f"sets-{tag}")
 
 
+def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets of 64-bit names reach the threshold."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    both = int((large[at] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scratch: Scratch, tag: str) -> DataFrame:
     """The pairs (a, b) of ids whose full shingle sets reach the threshold."""
     sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, shingle, scratch, tag)
@@ -237,14 +246,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
         for b in batches:
             keep = []
             for i, (x, y) in enumerate(zip(b.column("x"), b.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(small) < percent * len(large):
-                    continue
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                both = int((large[at] == small).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if reaches(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent):
                     keep.append(i)
             yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
@@ -258,8 +260,8 @@ def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, sc
     A bucket whose members all lie in one component needs nothing more. In the others, members are
     dealt into blocks of about BLOCK by a hash; each pair of blocks is one unit of work, compared
     inside its task, so that neither a hot bucket nor its pairs ever form one row group. A pair is
-    judged in the first band it shares, by the sequential test and then on sets of 32-bit names
-    (which can only add links, all of them confirmed later); a unit reports a spanning forest.
+    judged in the first band it shares, by the sequential test and then on the full sets, as in
+    ``confirmed``; a unit reports a spanning forest, so a skipped pair is joined by true links.
     """
     named = shared.join(found, shared.rep == found.node, "left").select("bucket", "band", "rep", "pivot", "size", F.coalesce("component", "rep").alias("component"))
     named = scratch.save(named.where("size > 2"), "rest-named")
@@ -276,12 +278,7 @@ def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, sc
     unit = scratch.save(unit.select(F.monotonically_increasing_id().alias("unit"), "band", "i", "j", "members"), "rest-units")
     rows = scratch.save(unit.select("unit", "band", "i", "j", F.explode("members").alias("m")).select("unit", "band", "i", "j", "m.rep", "m.component", "m.block"), "rest-rows")
 
-    def narrow(batches):
-        for b in batches:
-            names = [np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in b.column("whole")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(names, pa.binary())], ["rep", "names"])
-
-    sets = whole_sets(rows.select(F.col("rep").alias("doc_id")), docs, shingle, scratch, "rest").mapInArrow(narrow, "rep long, names binary")
+    sets = whole_sets(rows.select(F.col("rep").alias("doc_id")), docs, shingle, scratch, "rest").select(F.col("doc_id").alias("rep"), F.col("whole").alias("names"))
     both = scratch.save(sets.join(sigs, "rep"), "rest-sets")
     rows = rows.join(both, "rep").select("unit", "band", "i", "j", "rep", "component", "block", "sig", "names")
 
@@ -308,7 +305,7 @@ def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, sc
 
 
 def _spanning(a, b, comp, names, percent):
-    """The pairs that reach the threshold on 32-bit names and connect what is not connected yet."""
+    """The pairs that reach the threshold on their full sets and connect what is not connected yet."""
     parent = {int(c): int(c) for c in comp}
 
     def root(x):
@@ -320,11 +317,7 @@ def _spanning(a, b, comp, names, percent):
     for x, y in zip(a.tolist(), b.tolist()):
         u, v = root(int(comp[x])), root(int(comp[y]))
         if u != v:
-            p, q = names[x], names[y]
-            at = np.searchsorted(q, p)
-            at[at == len(q)] = 0
-            both = int((q[at] == p).sum()) + 1 + len(p) // 4096
-            if 100 * both >= percent * (len(p) + len(q) - both):
+            if reaches(names[x], names[y], percent):
                 parent[max(u, v)] = min(u, v)
                 yield x, y
 
@@ -351,5 +344,5 @@ def _groups(batches, k):
 def _one(held, k):
     t = pa.Table.from_batches(held).combine_chunks()
     n = lambda c: t.column(c).to_numpy()
-    names = [np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("names")]
+    names = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("names")]
     return n("band")[0], n("i")[0], n("j")[0], n("rep"), n("component"), n("block"), _matrix(t.column("sig"), k), names

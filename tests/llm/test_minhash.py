@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from conftest_llm import SF
 from siltstone.llm import minhash
@@ -61,6 +62,35 @@ def test_families_match_brute_force(spark, make_docs):
     assert result(minhash.near_duplicates(make_docs(rows))) == brute(rows)
 
 
+def bridged(r):
+    """Texts w, x, y, z of which z alone is near x and y (85.0 %; x and y: 83.6 %) and w is near none of them."""
+    x = [f"t{r.random()}" for _ in range(60)]
+    y, w = list(x), list(x)
+    y[30], w[10], w[50] = "other", "one", "two"
+    return [" ".join(t) for t in (w, x, y, x[:30] + x[31:])]
+
+
+def test_a_rejected_pair_hides_no_link(spark, make_docs):
+    r, rows = random.Random(6), []
+    while len(rows) < 80:
+        texts = bridged(r)
+        sets, off = minhash.shingle_sets(pa.array(texts), 5)
+        s = minhash.signatures(sets, off, 4)
+        if (s == s[0]).all():  # in every band w is the pivot of the others
+            n = len(rows)
+            rows += zip([n, *r.sample(range(n + 1, n + 4), 3)], texts)
+    want = brute(rows)
+    assert sum(not x[3] for x in want) == 40
+    assert result(minhash.near_duplicates(make_docs(rows), bands=4, rows=1)) == want
+
+
+def test_spanning_forest_has_true_links_only():
+    sets, off = minhash.shingle_sets(pa.array(bridged(random.Random(8))), 5)
+    names = [sets[off[i] : off[i + 1]] for i in range(4)]
+    a, b = np.triu_indices(4, 1)
+    assert list(minhash._spanning(a, b, np.arange(4), names, 85)) == [(1, 3), (2, 3)]
+
+
 def test_edges(spark, make_docs):
     long = " ".join(f"x{k}" for k in range(20000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, long), (8, long.upper() + " end"), (None, "a b"), (7, long), (9, "a b c d e"), (10, "É b c d e"), (11, "é b c d e")]
