@@ -1,7 +1,8 @@
 """Benchmark passages in training documents, found by spaced seeds.
 
-A seed is a fixed mask over ``SPAN`` tokens; masked-out places may differ. Test items are indexed by
-the hash of the kept tokens at every place and mask. Documents are scanned with the same hashes; a hit
+A seed is a fixed mask of at most ``SPAN`` tokens; masked-out places may differ. The masks of a length
+hit every stretch of it that ``verify`` takes, see ``masks_for``. Test items are indexed by the hash of
+the kept tokens at every place and mask. Documents are scanned with the same hashes; a hit
 fixes a diagonal (document place minus item place), along which the whole item is laid over the
 document and compared token by token. Stretches with a share of equal tokens of at least ``IDENTITY``
 count, and a document is contaminated by an item of which they cover ``COVER`` tokens (or all).
@@ -21,8 +22,10 @@ from siltstone.llm import _text as T
 from siltstone.scratch import Scratch
 
 SPAN, IDENTITY, COVER, INDEX = 12, 0.8, 13, 2_000_000
-# Each mask keeps 7 or 8 of 12 tokens.
-MASKS = ("110100110111", "111011001011", "101101110101", "111111100000", "000001111111", "110010111101")
+# Each mask keeps 7 tokens; every window of 12 with up to 2 differing tokens holds one of them.
+MASKS = ("11111011", "110101111", "11001100111", "11110010101")
+# Fixed values for whole items of 10 and 11 tokens, of which up to 2 inner ones differ.
+SHORT = {10: ("1110111", "11011011", "1111000011", "10111101", "110001111"), 11: ("1111011", "110001111", "1101100011")}
 _U = np.uint64
 MATCHES = "doc_id long, item_id long, n_matched long, n_item_words long, doc_start long, doc_end long, similarity double"
 
@@ -36,21 +39,40 @@ def _seed(h: np.ndarray, starts: np.ndarray, mask: str) -> np.ndarray:
     return T.mix(out)
 
 
+def masks_for(n: int) -> tuple[str, ...]:
+    """The masks of items of n tokens.
+
+    Items shorter than SPAN count as a whole, so their outer tokens must agree: none of fewer than 5
+    tokens may differ, one inner token of 5 to 9 and two of 10 and 11.
+    """
+    if n >= SPAN:
+        return MASKS
+    if n in SHORT:
+        return SHORT[n]
+    if n < 5:
+        return ("1" * n,)
+    step = min(n - 4, (n - 1) // 2)  # at least 4 tokens stay
+    return tuple("".join("0" if at <= i < min(at + step, n - 1) else "1" for i in range(n)) for at in range(1, n - 1, step))
+
+
 class Index:
-    """Seeds of a block of items; items shorter than a mask are sought whole."""
+    """Seeds of a block of items, with the masks of each item's length."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         w = T.words(pa.array(texts, pa.string()), lower=True, spans=False, alphanumeric=True)
         self.ids, self.hash, self.rows = np.array(ids, np.int64), w.hash, w.rows
-        short = sorted({int(n) for n in w.counts if 0 < n < SPAN})
-        self.masks = [*MASKS, *("1" * n for n in short)]
+        size = np.minimum(w.counts, SPAN)
+        lengths: dict[str, list[int]] = {}
+        for n in sorted({int(n) for n in size if n}):
+            for mask in masks_for(n):
+                lengths.setdefault(mask, []).append(n)
+        self.masks = list(lengths)
         names, item, place = [], [], []
-        for mask in self.masks:
+        for mask, sought in lengths.items():
             starts = T.window_starts(w.rows, len(mask))
             row = np.searchsorted(w.rows, starts, "right") - 1
-            if len(mask) < SPAN:
-                ok = w.counts[row] == len(mask)
-                starts, row = starts[ok], row[ok]
+            ok = np.isin(size[row], sought)
+            starts, row = starts[ok], row[ok]
             names.append(_seed(w.hash, starts, mask))
             item.append(row)
             place.append(starts - w.rows[row])
@@ -121,7 +143,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = items.select("item_id", "text").where("text IS NOT NULL")
     seeds = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")))).first()[0] or 0
-    blocks = -(-int(seeds) * len(MASKS) // INDEX)
+    blocks = -(-int(seeds) * max(len(MASKS), *map(len, SHORT.values())) // INDEX)
     out = None
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()

@@ -1,4 +1,9 @@
 import random
+from itertools import combinations
+from math import comb
+
+import numpy as np
+import pytest
 
 from conftest_llm import SF
 from siltstone.llm import decontaminate as D
@@ -45,6 +50,44 @@ def test_partial_overlap_needs_enough_tokens(spark, make_docs):
     assert {r.doc_id for r in D.overlaps(make_docs(rows), table).collect()} == {1, 4, 5}
 
 
+@pytest.mark.parametrize("n", range(1, 17))
+def test_masks_hit_every_overlap_that_verification_takes(n):
+    item = [f"t{i}" for i in range(n)]
+    index, taken = D.Index([1], [" ".join(item)]), 0
+    for size in range(4):
+        for wrong in combinations(range(n), size):
+            w = D.T.words(D.pa.array([" ".join("x" if i in wrong else t for i, t in enumerate(item))]), lower=True, spans=False, alphanumeric=True)
+            if D.verify(index, w, 0, 0, np.array([0])):
+                taken += 1
+                assert [0, 0, 0] in index.hits(w).tolist(), wrong
+    assert n > 12 and taken or taken == sum(comb(max(n - 2, 0), k) for k in range(n // 5 + 1))
+
+
+def test_masks_hit_every_window_with_two_differing_tokens():
+    for wrong in combinations(range(D.SPAN), 2):
+        assert any(all(c == "0" or at + i not in wrong for i, c in enumerate(m)) for m in D.MASKS for at in range(D.SPAN - len(m) + 1)), wrong
+
+
+def test_every_fifth_word_and_short_items(spark, make_docs):
+    items, docs, want = [], [], set()
+    for n in (20, 30, 60, 100):
+        for phase in range(5):
+            k = 10 * n + phase
+            item = [f"i{k}w{j}" for j in range(n)]
+            items.append((k, " ".join(item)))
+            docs.append((k, "a b c " + " ".join("sub" if j % 5 == phase else t for j, t in enumerate(item)) + " d e f"))
+            want.add((k, k))
+    for n in range(5, 12):
+        for at in range(1, n - 1):
+            k = 5000 + 100 * n + at
+            item = [f"i{k}w{j}" for j in range(n)]
+            items.append((k, " ".join(item)))
+            docs.append((k, "a b c " + " ".join("sub" if j == at else t for j, t in enumerate(item)) + " d e f"))
+            want.add((k, k))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.overlaps(make_docs(docs), table).collect()} == want
+
+
 def test_blocks_give_the_same_result(spark, make_docs, monkeypatch):
     items, docs, want = fixture()
     table = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
