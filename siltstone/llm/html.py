@@ -23,17 +23,23 @@ STOP_WORDS = frozenset(
     " el los y del las por con no una su para al lo como más pero sus o este ha si porque esta entre cuando".split()
 )
 # Elements whose content is never text, elements that are never main text, and elements that end a block.
-RAW = frozenset("script style noscript template svg math iframe object canvas textarea select option title".split())
-AWAY = frozenset("nav header footer aside form button dialog menu fieldset figcaption".split())
+RAW = frozenset("script style noscript template svg iframe object canvas textarea select option title".split())
+AWAY = frozenset("nav header footer aside form button dialog menu fieldset".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br button".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Parts of class and id names, and roles, that mark page furniture.
+# Elements that hold the page's text, whatever their class, id or role says.
+WHOLE = frozenset("html body main article".split())
+# Class and id names, or their leading parts, that mark page furniture.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup"
     " sidebar widget related recommended nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar masthead footer copyright comment comments commentlist disqus replies respond share sharing social login search".split()
 )
+# Marks that count as the last part of a name too (site-footer), and parts with which a name tells of something elsewhere (has-sidebar).
+LAST = frozenset("ad ads advert adverts advertisement banner sidebar nav navbar navigation menu breadcrumb breadcrumbs pagination masthead footer copyright comments commentlist newsletter".split())
+STATES = frozenset("has have with without no not is hide show hidden".split())
+# Roles that mark page furniture.
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Characters and shares of pass one.
 SHORT, LONG, STOP_SHARE, LINK_SHARE = 70, 200, 0.25, 0.5
@@ -50,12 +56,16 @@ def _furniture(name: str, attributes: str) -> bool:
         return True
     if not attributes:
         return False
-    for m in _CLASS.finditer(attributes):
-        for word in re.split(r"[\s_-]+", (m[2] or m[3] or m[4] or "").lower()):
-            if word in MARKS:
-                return True
-    role = _ROLE.search(attributes)
-    return bool(role and role[1].lower() in ROLES) or bool(_HIDDEN.search(attributes))
+    if name not in WHOLE:
+        for m in _CLASS.finditer(attributes):
+            for word in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = re.split("[_-]+", word.strip("_-"))
+                if parts[0] in MARKS or parts[-1] in LAST and STATES.isdisjoint(parts):
+                    return True
+        role = _ROLE.search(attributes)
+        if role and role[1].lower() in ROLES:
+            return True
+    return bool(_HIDDEN.search(attributes))
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:

@@ -19,6 +19,22 @@ def test_pages_without_an_article_inherit():
     assert text.startswith("Title the cat") and "Short." in text and "more of this" not in text
 
 
+def test_marks_condemn_no_whole_page():
+    body = "<p>The text of the page.</p>"
+    for tag in ("html", "body", "main", "article"):
+        for mark in ('class="has-sidebar"', 'class="search-results"', 'class="post has-comments"', 'class="cookie-consent"', "id=sidebar", "role=dialog"):
+            assert main_text(f"<{tag} {mark}>{body}</{tag}>") == "The text of the page.", (tag, mark)
+    for name in ("has-sidebar", "content-with-sidebar", "no-comments", "elementor-widget", "post blog-search"):
+        assert main_text(f'<main><div class="{name}">{body}</div></main>') == "The text of the page.", name
+    for name in ("ad", "ad-slot", "cookie_notice", "x comments", "site-footer", "main-nav", "__sidebar"):
+        assert main_text(f'<main>{body}<div class="{name}"><p>Away.</p></div></main>') == "The text of the page.", name
+
+
+def test_captions_and_formulas_are_text():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p><figure><img src=a><figcaption>A curve.</figcaption></figure></article>"
+    assert main_text(page) == "Let x=2 hold. A curve."
+
+
 def test_edges():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<script>x") == ""
     assert main_text("plain &lt;b&gt; text") == "plain <b> text"
