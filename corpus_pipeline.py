@@ -23,8 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return minhash.keep_first(docs)
+    """One document of each group of near-duplicates, linked at a similarity of 0.8 on shingles of five words.
+
+    A pair at exactly 0.8 shares none of the 32 bands of 5 with probability (1 - 0.8**5)**32 = 3e-6.
+    """
+    return minhash.keep_first(docs, threshold_percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,11 @@
+import random
+from itertools import combinations
+
 import pytest
 
 import corpus_pipeline
 from conftest_llm import SF
+from test_minhash import shingles
 from test_packing import check
 
 
@@ -35,3 +39,36 @@ def test_quality_stage_agrees_with_its_query(spark, small):
     docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
     want = {r.doc_id for r in rules.apply(docs, labels).where("kept").collect()}
     assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, small).collect()} == want
+
+
+def first_of_groups(rows):
+    """Ids of the smallest member of each group of documents linked at 0.8, by brute force."""
+    sets = {i: shingles(t) for i, t in rows}
+    group = {i: i for i in sets}
+    for a, b in combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and group[a] != group[b]:
+            lo, hi = sorted((group[a], group[b]))
+            group = {i: lo if g == hi else g for i, g in group.items()}
+    return {i for i, g in group.items() if i == g}
+
+
+def near_copies(r, n):
+    """Texts of which some are near copies of an earlier one: one word of 44 to 60 replaced (0.78 to 0.84), or two."""
+    rows = []
+    for k in range(n):
+        base = [f"w{r.randrange(10**6)}" for _ in range(44 + k % 17)]
+        rows.append((len(rows), " ".join(base)))
+        for swaps in ((10,), (30,), (12, 32))[: k % 4]:
+            rows.append((len(rows), " ".join("new" if j in swaps else w for j, w in enumerate(base))))
+    return rows
+
+
+def test_near_stage_matches_brute_force_at_its_threshold(spark, make_docs):
+    rows = near_copies(random.Random(5), 60)
+    docs = make_docs(rows)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    want = first_of_groups(rows)
+    assert 60 < len(want) < len(rows)
+    assert {r.doc_id for r in got.collect()} == want
