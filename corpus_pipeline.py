@@ -52,7 +52,7 @@ STAGES = [
     ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
-#: Near-duplicates, locally consistent names and tokenization are beyond SQL; tests compare with brute force.
+#: Near-duplicates, locally consistent names and tokenization are beyond SQL; tests compare the stages after the rules with brute force.
 ORACLE_SQL = None
 
 

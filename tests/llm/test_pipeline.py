@@ -72,3 +72,28 @@ def test_near_stage_matches_brute_force_at_its_threshold(spark, make_docs):
     want = first_of_groups(rows)
     assert 60 < len(want) < len(rows)
     assert {r.doc_id for r in got.collect()} == want
+
+
+def test_stages_after_the_rules_match_brute_force(spark, make_docs, tmp_path):
+    r = random.Random(9)
+    say = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    rows = near_copies(r, 24)
+    want = {i: t.split() for i, t in rows if i in first_of_groups(rows)}
+    for n in (50, 64, 90):  # a passage in two documents stays in the first
+        passage = say(n)
+        for first in (True, False):
+            head, tail = say(70), say(40)
+            want[len(rows)] = head + (passage if first else []) + tail
+            rows.append((len(rows), " ".join(head + passage + tail)))
+    items = [(k, say(n)) for k, n in enumerate((20, 45, 9))]
+    for k, item in items:  # every fifth word replaced; such documents go
+        leak = ["sub" if j % 5 == 2 else w for j, w in enumerate(item)] if len(item) > 9 else item[:4] + ["sub"] + item[5:]
+        rows.append((len(rows), " ".join(say(60) + leak + say(30))))
+    spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = make_docs(rows)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    left = [(x.doc_id, x.text) for x in docs.collect()]
+    assert {i: t.split() for i, t in left} == want
+    check(left, corpus_pipeline.STAGES[-1][1](spark, docs, "").collect())
