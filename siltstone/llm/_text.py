@@ -1,19 +1,24 @@
 """Vectorised words and word windows over Arrow string columns.
 
 A word is a run of bytes outside U+0020 and U+0009-U+000D; UTF-8 keeps these bytes out of all other
-characters. Words are named by 64-bit hashes, computed for a whole block of text at once.
+characters. Words are named by 64-bit hashes, computed for a whole block of text at once: eight bytes at a
+time go through a bijective mixing, so a name is no linear function of the word, and words of up to eight
+bytes and equal length never share one.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _NONWS = np.ones(256, bool)
 _NONWS[[9, 10, 11, 12, 13, 32]] = False
 _ALNUM = np.ones(256, bool)
@@ -21,22 +26,10 @@ _ALNUM[:128] = [chr(i).isalnum() for i in range(128)]
 _RUN = np.array([0 if i > 127 or i < 33 or i in (39, 127) else 1 if chr(i).isalnum() else 2 for i in range(256)], np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _SEEDS = [int(x) | 1 for x in np.random.RandomState(20240229).randint(1, 2**63 - 1, 64, dtype=np.int64)]
-_powers: dict[tuple[int, bool], np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
-    got = _powers.get((base, True))
-    if got is None or len(got) < n:
-        size = max(n, BLOCK + 65536)
-        got = np.full(size, base, U)
-        got[0] = 1
-        np.multiply.accumulate(got, out=got)
-        _powers[(base, True)] = got
-    return got[:n]
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+#: Longer words are named by a digest of their bytes.
+LANES = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,6 +77,23 @@ def _cuts(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
+def _names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit name for each byte range."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+    h = mix(size.astype(U) * U(0x2545F4914F6CDD1D) + U(1))
+    left = np.flatnonzero(size <= LANES)
+    for at in range(0, LANES, 8):
+        left = left[size[left] > at]
+        if not len(left):
+            break
+        h[left] = mix((h[left] * U(_SEEDS[41]) if at else h[left]) ^ (lanes[start[left] + at] & _MASKS[np.minimum(size[left] - at, 8)]))
+    for i in np.flatnonzero(size > LANES):
+        h[i] = int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return h
+
+
 @dataclass
 class Words:
     """hash: one 64-bit name per word; rows: offsets of the rows in it; start, end: byte places."""
@@ -121,16 +131,8 @@ def words(column: pa.Array, lower: bool = False, spans: bool = True, alphanumeri
         edge = edge[edge > 0]
         last[edge - 1] = ok[edge - 1]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        total = np.zeros(len(b) + 1, U)
-        body = (_LOWER[b] if lower else b).astype(U)
-        body += U(1)
-        body *= powers(_BASE, len(b))
-        np.cumsum(body, out=total[1:])
-        h = total[e]
-        h -= total[s]
-        h *= powers(_BASE_INV, len(b) + 1)[s]
-        h ^= (e - s).astype(U) * U(0x2545F4914F6CDD1D)
-        hashes.append(mix(h))
+        h = _names(_LOWER[b] if lower else b, s, e)
+        hashes.append(h)
         starts.append(s + lo)
         ends.append(e + lo)
     h = np.concatenate(hashes) if hashes else np.zeros(0, U)
@@ -169,19 +171,55 @@ def short_windows(h: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-class Rolling:
-    """Names of any word range of a batch, from prefix sums."""
+class Ranges:
+    """Names of any word range of a batch: tables of the names of all ranges of 1, 2, 4, ... words, each mixed from two halves.
+
+    A range is named by the two longest table entries that cover it, and its length.
+    """
 
     def __init__(self, h: np.ndarray, salt: int = 0):
-        self.base = _SEEDS[40 + salt]
-        self.total = np.zeros(len(h) + 1, U)
-        np.cumsum((mix(h + U(salt)) if salt else h) * powers(self.base, len(h)), out=self.total[1:])
-        self.back = powers(pow(self.base, -1, 1 << 64), len(h) + 1)
+        self.salt = U(_SEEDS[42 + salt])
+        self.tables = [mix(h + self.salt)]
+
+    def _table(self, level: int) -> np.ndarray:
+        while len(self.tables) <= level:
+            t, half = self.tables[-1], 1 << (len(self.tables) - 1)
+            self.tables.append(mix(t[: max(len(t) - half, 0)] * self.salt + t[half:]))
+        return self.tables[level]
 
     def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        x = self.total[end] - self.total[start]
-        x *= self.back[start]
-        return mix(x ^ (end - start).astype(U))
+        size = end - start
+        level = np.frexp(size.astype(np.float64))[1] - 1  # floor of log2; -1 for none
+        out = mix(size.astype(U) + self.salt)
+        for k in np.unique(level):
+            if k >= 0:
+                t, at = self._table(int(k)), np.flatnonzero(level == k)
+                out[at] = mix(mix(t[start[at]] ^ out[at]) * self.salt + t[end[at] - (1 << int(k))])
+        return out
+
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library; its allocator is left alone
+    _libc = None
+
+
+def release() -> None:
+    """Give memory that is free back to the system, so that a worker that waits for its next task holds little."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _libc is not None and hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def frugal(run):
+    """``run`` for mapInArrow, followed by ``release``."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+
+    return wrapped
 
 
 def slices(batches, most: int = 3 << 20, column: str = "text"):
@@ -200,3 +238,11 @@ def slices(batches, most: int = 3 << 20, column: str = "text"):
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with underscores before it, as a name that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

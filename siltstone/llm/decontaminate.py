@@ -167,7 +167,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
                     kinds = [pa.int64()] * 6 + [pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in MATCHES.split(", ")])
 
-        part = docs.select("doc_id", "text").mapInArrow(run, MATCHES)
+        part = docs.select("doc_id", "text").mapInArrow(T.frugal(run), MATCHES)
         out = part if out is None else out.union(part)
     return spark.createDataFrame([], MATCHES) if out is None else out
 

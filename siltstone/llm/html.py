@@ -38,14 +38,19 @@ MARKS = frozenset(
 )
 # Marks that count as the last part of a name too (site-footer), and parts with which a name tells of something elsewhere (has-sidebar).
 LAST = frozenset("ad ads advert adverts advertisement banner sidebar nav navbar navigation menu breadcrumb breadcrumbs pagination masthead footer copyright comments commentlist newsletter".split())
+# Marks that are words of other names too, so that as a first part they count only before another mark or a part for a container.
+WEAK = frozenset("social search share sharing related recommended login alert notice notices banner promotion popup modal overlay subscribe signup replies respond consent copyright widget toolbar pager sponsor notice comment".split())
+PARTS = frozenset("area bar block box button buttons col column container content form group icon icons inner item items link links list module panel post posts article articles row section slot text title top bottom left right unit wrap wrapper".split())
 STATES = frozenset("has have with without no not is hide show hidden".split())
 # Roles that mark page furniture.
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: Characters and shares of pass one.
 SHORT, LONG, STOP_SHARE, LINK_SHARE = 70, 200, 0.25, 0.5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# a quoted value may hold ">"; a quote that opens no value is a plain character
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>", re.S)
 _CLASS = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
 _ROLE = re.compile(r"\brole\s*=\s*[\"']?([a-z]+)", re.I)
 _HIDDEN = re.compile(r"\bhidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
@@ -60,7 +65,8 @@ def _furniture(name: str, attributes: str) -> bool:
         for m in _CLASS.finditer(attributes):
             for word in (m[2] or m[3] or m[4] or "").lower().split():
                 parts = re.split("[_-]+", word.strip("_-"))
-                if parts[0] in MARKS or parts[-1] in LAST and STATES.isdisjoint(parts):
+                named = parts[0] in MARKS and (parts[0] not in WEAK or all(x in MARKS or x in PARTS or x.isdigit() for x in parts[1:]))
+                if named or parts[-1] in LAST and STATES.isdisjoint(parts):
                     return True
         role = _ROLE.search(attributes)
         if role and role[1].lower() in ROLES:
@@ -74,6 +80,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     stack: list[tuple[str, bool, bool]] = []  # open containers: name, furniture, article
     away = article = False
     in_link, at = 0, 0
+    closing = re.compile(r"</a\b", re.I)
 
     def flush():
         nonlocal links
@@ -109,7 +116,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
                 at = end.end() if end else n
             continue
         if name == "a":
-            in_link = 0 if m[1] else 1
+            # an anchor without a target, or one that nothing closes, is no link
+            in_link = int(not m[1] and _HREF.search(m[3]) is not None and closing.search(page, at) is not None)
             continue
         if name not in BLOCKS:
             if not m[1] and name not in VOID and m[3] and _furniture(name, m[3]):
@@ -142,33 +150,42 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
 
 
 def classify(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
-    """Which blocks are main text."""
+    """Which blocks are main text.
+
+    Furniture is not, nor is anything outside the article where there is one. Of the rest, pass one
+    rejects blocks that consist mostly of links and takes long ones: in an article by length alone,
+    elsewhere by length and stop words. Pass two lets the others inherit from the nearest decided ones
+    among them; without any block taken in pass one they are text.
+    """
     inside = any(x[3] and not x[2] for x in found)
+    rest = [i for i, x in enumerate(found) if not x[2] and (x[3] or not inside)]
     label: list[bool | None] = []
-    for text, links, away, article in found:
+    for i in rest:
+        text, links = found[i][:2]
         size = len(text)
-        if away or links > LINK_SHARE * size:
+        if links > LINK_SHARE * size:
             label.append(False)
-        elif inside:
-            label.append(article)
         elif size < SHORT:
             label.append(None)
+        elif inside:
+            label.append(True)
         else:
             tokens = text.lower().split()
             share = sum(t.strip(".,;:!?\"'()") in STOP_WORDS for t in tokens) / len(tokens)
             label.append(True if share >= STOP_SHARE or size >= LONG and links == 0 and share >= STOP_SHARE / 2 else None)
     decided = [i for i, x in enumerate(label) if x is not None]
-    if not decided:
-        return [True] * len(label)
-    out, k = [], 0
+    out, k, taken = [False] * len(found), 0, True in label
     for i, x in enumerate(label):
         if x is None:
-            while k + 1 < len(decided) and decided[k + 1] <= i:
-                k += 1
-            near = [decided[j] for j in (k, k + 1) if j < len(decided)]
-            best = min(abs(j - i) for j in near)
-            x = any(label[j] for j in near if abs(j - i) == best)  # a tie keeps the block
-        out.append(bool(x))
+            if not taken:
+                x = True
+            else:
+                while k + 1 < len(decided) and decided[k + 1] <= i:
+                    k += 1
+                near = [decided[j] for j in (k, k + 1) if j < len(decided)]
+                best = min(abs(j - i) for j in near)
+                x = any(label[j] for j in near if abs(j - i) == best)  # a tie keeps the block
+        out[rest[i]] = bool(x)
     return out
 
 
@@ -193,4 +210,4 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(x) for x in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(T.frugal(run), "page_id long, url string, text string, n_chars long")

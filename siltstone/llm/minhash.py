@@ -46,14 +46,14 @@ def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     starts = T.window_starts(w.rows, size)
     names = T.short_windows(w.hash, starts, size)
     at = T.window_rows(w.rows, size)
-    roll = None
+    ranges = None
     out, counts = [], np.zeros(len(w.rows) - 1, np.int64)
     for i, n in enumerate(w.counts):
         if n >= size:
             one = np.unique(names[at[i] : at[i + 1]])
         elif n:
-            roll = roll or T.Rolling(w.hash, 3)
-            one = roll.names(w.rows[i : i + 1], w.rows[i + 1 : i + 2])
+            ranges = ranges or T.Ranges(w.hash, 3)
+            one = ranges.names(w.rows[i : i + 1], w.rows[i + 1 : i + 2])
         else:
             continue
         counts[i] = len(one)
@@ -145,7 +145,7 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
                 ["doc_id", "n_shingles", "d1", "d2", "sig"],
             )
 
-    signed = scratch.save(docs.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary"), "signed")
+    signed = scratch.save(docs.mapInArrow(T.frugal(sign), "doc_id long, n_shingles long, d1 long, d2 long, sig binary"), "signed")
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = scratch.save(classes, "classes")
 
@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
                     h = T.mix(h ^ sig[:, :, j])
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column("rep")), bands)), pa.array(T.signed(h.ravel())), pa.array(np.tile(np.arange(bands, dtype=np.int32), b.num_rows))], ["rep", "bucket", "band"])
 
-    member = scratch.save(classes.select("rep", "sig").mapInArrow(banded, "rep long, bucket long, band int"), "member")
+    member = scratch.save(classes.select("rep", "sig").mapInArrow(T.frugal(banded), "rep long, bucket long, band int"), "member")
     buckets = member.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = scratch.save(buckets, "buckets")
     shared = scratch.save(member.join(buckets, "bucket"), "shared")
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, threshold_percent: int = 85, shingle: int =
                 yield b.select(["a", "b"]).take(pa.array(keep))
 
     near = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
-    near = scratch.save(near.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a long, b long"), "near")
+    near = scratch.save(near.select("a", "b", "sig_a", "sig_b").mapInArrow(T.frugal(compare), "a long, b long"), "near")
     links = scratch.save(confirmed(near, docs, shingle, threshold_percent, scratch, "first"), "links")
     found = scratch.save(components(links, scratch, "part"), "found")
 
@@ -223,7 +223,7 @@ def whole_sets(ids: DataFrame, docs: DataFrame, shingle: int, scratch: Scratch,
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([flat[8 * off[i] : 8 * off[i + 1]].tobytes() for i in range(b.num_rows)], pa.binary())], ["doc_id", "whole"])
 
     texts = docs.join(bounded(ids), "doc_id", "left_semi")
-    sets = texts.select("doc_id", "text").mapInArrow(full, "doc_id long, whole binary").groupBy("doc_id").agg(F.first("whole").alias("whole"))
+    sets = texts.select("doc_id", "text").mapInArrow(T.frugal(full), "doc_id long, whole binary").groupBy("doc_id").agg(F.first("whole").alias("whole"))
     return scratch.save(sets, f"sets-{tag}")
 
 
@@ -251,7 +251,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, scr
             yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("whole").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("whole").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return joined.select("a", "b", "x", "y").mapInArrow(T.frugal(check), "a long, b long")
 
 
 def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, scratch):
@@ -301,7 +301,7 @@ def _rest(shared, found, sigs, docs, shingle, k, bands, batch, percent, miss, sc
 
     parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "unit").sortWithinPartitions("unit")
-    return scratch.save(rows.mapInArrow(blocks, "a long, b long").distinct(), "rest-pairs")
+    return scratch.save(rows.mapInArrow(T.frugal(blocks), "a long, b long").distinct(), "rest-pairs")
 
 
 def _spanning(a, b, comp, names, percent):

@@ -86,7 +86,7 @@ def fit(texts: DataFrame, scratch: Scratch) -> dict:
             rows = [("all", int(c.sum()), len(c)), *(("hot", int(x), int(k)) for x, k in zip(T.signed(a[top]), c[top]))]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["kind", "x", "n"])
 
-    found = scratch.save(X.deal(texts.mapInArrow(send_words, X.BLOBS), parts).mapInArrow(take_words, "kind string, x long, n long"), "words")
+    found = scratch.save(X.deal(texts.mapInArrow(T.frugal(send_words), X.BLOBS), parts).mapInArrow(T.frugal(take_words), "kind string, x long, n long"), "words")
     total, vocabulary = found.where("kind = 'all'").agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     hot = [r.x for r in found.where((F.col("kind") == "hot") & (F.col("n") > HOT_SHARE * total)).select("x").collect()]
     hot = np.append(np.array(hot, np.int64).view(_U), START)
@@ -103,7 +103,9 @@ def fit(texts: DataFrame, scratch: Scratch) -> dict:
             key = pair_name(a, b)
             order = np.argsort(key)
             X.put(folder, f"pair-{part}", key[order])
-            X.put(folder, f"times-{part}", np.minimum(c[order], 2**32 - 1).astype(np.uint32))
+            X.put(folder, f"times-{part}", np.minimum(c[order], 255).astype(np.uint8))
+            large = np.flatnonzero(c[order] >= 255)
+            X.put(folder, f"large-{part}", np.stack([large, c[order][large]], 1).astype(np.int64))
             head = np.ones(len(a), bool)
             head[1:] = a[1:] != a[:-1]
             at = np.flatnonzero(head)
@@ -120,7 +122,7 @@ def fit(texts: DataFrame, scratch: Scratch) -> dict:
                 none = [pa.array([None] * batch.num_rows, pa.int64())] * 6
                 yield pa.RecordBatch.from_arrays([*none, batch.column("part"), batch.column("blob")], ["kind", "x", "c", "n1", "n2", "n3", "part", "blob"])
 
-    pairs = X.deal(texts.mapInArrow(send_pairs, X.BLOBS), parts).mapInArrow(take_pairs, "kind long, x long, c long, n1 long, n2 long, n3 long, part int, blob binary")
+    pairs = X.deal(texts.mapInArrow(T.frugal(send_pairs), X.BLOBS), parts).mapInArrow(T.frugal(take_pairs), "kind long, x long, c long, n1 long, n2 long, n3 long, part int, blob binary")
     pairs = scratch.save(pairs, "pairs")
     ones = {r.x: r.c for r in pairs.where("kind = 0").groupBy("x").agg(F.sum("c").alias("c")).collect()}
     wide = pairs.where("kind = 1").groupBy("x").agg(*(F.sum(k).alias(k) for k in ("c", "n1", "n2", "n3"))).collect()
@@ -136,7 +138,7 @@ def fit(texts: DataFrame, scratch: Scratch) -> dict:
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in rows], ["n1", "n2", "n3", "n4", "more", "total"])
 
     back = pairs.where("blob IS NOT NULL").select("part", "blob")
-    follows = scratch.save(X.deal(back, parts).mapInArrow(take_contexts, "n1 long, n2 long, n3 long, n4 long, more long, total long"), "follows")
+    follows = scratch.save(X.deal(back, parts).mapInArrow(T.frugal(take_contexts), "n1 long, n2 long, n3 long, n4 long, more long, total long"), "follows")
     f = follows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in follows.columns)).first()
     scratch.drop("pairs")
     lower = discounts([f.n1, f.n2, f.n3, f.n4])
@@ -147,8 +149,11 @@ def fit(texts: DataFrame, scratch: Scratch) -> dict:
     }
 
 
-def _find(folder: str, parts: np.ndarray, query: np.ndarray, names: str, values: str, kind, width: int = 1) -> np.ndarray:
-    """Values of the queried names, 0 where there are none; each shard is searched in order."""
+def _find(folder: str, parts: np.ndarray, query: np.ndarray, names: str, values: str, kind, width: int = 1, large: str = "") -> np.ndarray:
+    """Values of the queried names, 0 where there are none; each shard is searched in order.
+
+    ``large`` holds (place, value) of values of 255 and more, which ``values`` has as 255.
+    """
     out = np.zeros((len(query), width) if width > 1 else len(query), np.int64)
     order = np.lexsort((query, parts))
     cut = np.flatnonzero(np.diff(parts[order])) + 1
@@ -158,7 +163,10 @@ def _find(folder: str, parts: np.ndarray, query: np.ndarray, names: str, values:
         if len(keys):
             i = np.minimum(np.searchsorted(keys, query[at]), len(keys) - 1)
             hit = keys[i] == query[at]
-            found = X.get(folder, f"{values}-{p}", kind).reshape((-1, width) if width > 1 else -1)[i[hit]]
+            found = X.get(folder, f"{values}-{p}", kind).reshape((-1, width) if width > 1 else -1)[i[hit]].astype(np.int64)
+            if large and (big := found == 255).any():
+                table = X.get(folder, f"{large}-{p}", np.int64).reshape(-1, 2)
+                found[big] = table[np.searchsorted(table[:, 0], i[hit][big]), 1]
             out[at[hit]] = found
     return out
 
@@ -178,7 +186,7 @@ def probabilities(model: dict, context: np.ndarray, word: np.ndarray) -> tuple[n
     base = _discounted(n, model["lower"]) / total + model["spare"] / (model["vocabulary"] + 1)
     name, first, same = np.unique(pair_name(context, word), return_index=True, return_inverse=True)
     a, b = context[first], word[first]
-    times = _find(folder, _pair_shard(parts, model["hot"])(a, b), name, "pair", "times", np.uint32)
+    times = _find(folder, _pair_shard(parts, model["hot"])(a, b), name, "pair", "times", np.uint8, large="large")
     contexts, which = np.unique(a, return_inverse=True)
     figures = _find(folder, X.shard_of(contexts, parts), contexts, "context", "figures", np.int64, 4)
     if len(model["hot_names"]):
@@ -216,4 +224,4 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return docs.select("doc_id", "text", "held_out").mapInArrow(T.frugal(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

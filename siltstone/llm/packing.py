@@ -140,7 +140,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             row, piece, length = (np.array(x, np.int64) for x in zip(*rows))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(T.frugal(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 Pattern = tuple[int, list[tuple[int, int]]]  # multiplicity; (length, times)
@@ -284,4 +284,4 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
                 yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(s[at, 3] + lane), pa.array(s[at, 4] + turn * length)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    return ranked.mapInArrow(assign, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(T.frugal(assign), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -185,19 +185,19 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class:
             one = context_sums(*tokens(b.column("text")))
             total = one if total is None else total + one
         if total is not None:
-            blobs = [x.astype(np.float32).tobytes() for x in np.array_split(total, PARTS)]
+            blobs = [x.tobytes() for x in np.array_split(total, PARTS)]  # whole numbers, exact in a double
             yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
     def add(batches):
         total, part = None, None
         for b in batches:
             for p, blob in zip(b.column("part").to_pylist(), b.column("blob")):
-                x = np.frombuffer(blob.as_buffer(), np.float32).astype(np.float64)
+                x = np.frombuffer(blob.as_buffer(), np.float64)
                 total, part = (x if total is None else total + x), p
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "blob"])
 
-    summed = X.deal(docs.select("text").mapInArrow(contexts, X.BLOBS), PARTS).mapInArrow(add, X.BLOBS)
+    summed = X.deal(docs.select("text").mapInArrow(T.frugal(contexts), X.BLOBS), PARTS).mapInArrow(T.frugal(add), X.BLOBS)
     blobs = {r.part: r.blob for r in summed.collect()}  # the fixed size of the vector table
     sums = np.concatenate([np.frombuffer(blobs[p], np.float64) for p in range(PARTS)]).reshape(BUCKETS, DIMENSION) if blobs else np.zeros((BUCKETS, DIMENSION))
     vectors = spark.sparkContext.broadcast(token_vectors(sums))
@@ -207,7 +207,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class:
             x = pool(vectors.value, *tokens(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "held_out", "x"])
 
-    known = scratch.save(docs.withColumn("held_out", held_out()).mapInArrow(pooled, "doc_id long, held_out boolean, x binary"), "pooled")
+    known = scratch.save(docs.withColumn("held_out", held_out()).mapInArrow(T.frugal(pooled), "doc_id long, held_out boolean, x binary"), "pooled")
     ids = scratch.save(sample_ids(labels, "quality", per_class), "ids")  # at most 2 * per_class rows
     table = known.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * per_class).toArrow()
     y = table.column("y").to_numpy().astype(np.float64) if table.num_rows else np.zeros(0)
@@ -227,4 +227,4 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class:
                 p = network.score(x) if network else np.full(b.num_rows, blank)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return known.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return known.mapInArrow(T.frugal(run), "doc_id long, held_out boolean, score double, predicted int")

@@ -44,7 +44,6 @@ select w.doc_id, len(ws)::BIGINT as n_words, coalesce(n_removed, 0)::BIGINT as n
 def _op6() -> str:
     tests = " union all ".join(f"select '{r}' rule, {c} cut, stratum, count(*) n, count(*) filter (where 1000 * {a} > {c} * {b}) k from good group by stratum" for r, a, b in rules.RULES for c in rules.GRID[r])
     share = rules.ALPHA / len(rules.RULES)
-    size = sum(map(len, rules.GRID.values()))
     reason = "coalesce(" + ", ".join(f"case when 1000 * m.{a} > (select min(cut) from admitted t where t.rule = '{r}' and t.stratum = m.stratum) * m.{b} then '{r}' end" for r, a, b in rules.RULES) + ")"
     return rf"""
 with w as (select doc_id, coalesce(lang, '') stratum, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), {WORD}) ws from documents),
@@ -62,7 +61,7 @@ tests as ({tests}),
 strata as (select count(distinct stratum) s from good),
 admitted as (
   select rule, cut, stratum from tests, strata where
-  list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r})))) <= {rules.DELTA!r} / (s * {size})),
+  list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r})))) <= {rules.DELTA!r} / (s * {len(rules.RULES)})),
 v as (select m.*, case when base_failed then 'base' else {reason} end reason from j m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason is null as kept, reason, n_lines, n_capitals, stratum from v
 """

@@ -6,15 +6,16 @@ symbol, then a pair (left, right) becomes a symbol where a hash puts ``left`` in
 round names globally without a dictionary: equal substrings get equal interior symbols in all
 documents and tasks. Every symbol carries the word range on which its existence depends; where that
 range lies inside a window, each equal window holds the same symbol at the same place. It is then
-certified for the window and named by the words of its range.
+certified for the window, and known by its name and that of its range.
 
 1. Each window of ``size`` words picks one certified symbol: of the highest round that has any, the
    least name. (Windows inside long runs have none and stand for themselves.) Equal windows pick alike.
 2. Spark groups the picked names of all documents. Names of one document only are done with.
-3. The windows that picked a shared name are named whole (96 bits), grouped by name, and every window
-   whose name starts in a document with a smaller id marks its words.
+3. The windows that picked a shared name are named whole (two 64-bit names, each mixed through a tree
+   over the window's words), grouped by both, and every window whose names start in a document with a
+   smaller id marks its words.
 
-Documents with equal word sequences are one class; only its smallest id takes part.
+Documents whose word sequences have equal SHA-256 are one class; only its smallest id takes part.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
 
 def _rounds(w: T.Words, rounds: int):
-    """(lo, hi) of every symbol after each round: the word range its existence depends on."""
+    """(name, lo, hi) of every symbol after each round; lo and hi bound the word range its existence depends on."""
     rows = w.rows
     n = len(w.hash)
     counts = np.diff(rows)
@@ -82,7 +83,7 @@ def _rounds(w: T.Words, rounds: int):
         name = np.where(joins, T.mix(name * _U(0x9FB21C651E98DF25) + (name[nxt] ^ (name[nxt] >> _U(31)))), name)
         keep = ~joined
         name, lo, hi, row_lo, row_hi = name[keep], new_lo[keep], new_hi[keep], row_lo[keep], row_hi[keep]
-        yield lo, hi
+        yield name, lo, hi
 
 
 def _least(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,20 +107,20 @@ def picks(w: T.Words, size: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.n
     out = np.zeros(len(starts), _U)
     todo = np.arange(len(starts))
     if len(starts):
-        roll = T.Rolling(w.hash)
-        for lo, hi in reversed(list(_rounds(w, rounds))):
+        ranges = T.Ranges(w.hash)
+        for symbol, lo, hi in reversed(list(_rounds(w, rounds))):
             s = starts[todo]
             a, b = np.searchsorted(lo, s, "left"), np.searchsorted(hi, s + size, "right")
             got = a < b
             if got.any():
-                ok = (lo >= 0) & (hi <= len(w.hash)) & (hi > lo)
-                names = roll.names(np.where(ok, lo, 0), np.where(ok, hi, 0))
+                ok = (lo >= 0) & (hi <= len(w.hash)) & (hi - lo <= size)
+                names = T.mix(symbol ^ ranges.names(np.where(ok, lo, 0), np.where(ok, hi, 0)))
                 out[todo[got]] = _least(names, a[got], b[got])
                 todo = todo[~got]
             if not len(todo):
                 break
         if len(todo):
-            out[todo] = T.mix(roll.names(starts[todo], starts[todo] + size) ^ _U(0x71D67FFFEDA60000))
+            out[todo] = T.mix(ranges.names(starts[todo], starts[todo] + size) ^ _U(0x71D67FFFEDA60000))
     return starts, out
 
 
@@ -154,15 +155,13 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, size: int = 50) -> tuple
             first[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1])
             row, names = row[first], names[first]
             keys = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)), pa.array(T.signed(names)))
-            ends = w.rows[:-1], w.rows[1:]
-            w1, w2 = (T.signed(T.Rolling(w.hash, s).names(*ends)) for s in (0, 1))
             sha = [_sha(data[off[i] : off[i + 1]].tobytes().split()) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(w.counts), pa.array(sha), pa.array(w1), pa.array(w2), keys], ["doc_id", "n_words", "sha256", "w1", "w2", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(w.counts), pa.array(sha), keys], ["doc_id", "n_words", "sha256", "keys"])
 
-    facts = scratch.save(docs.mapInArrow(read, "doc_id long, n_words long, sha256 string, w1 long, w2 long, keys array<long>"), "read")
-    same = facts.where(f"n_words >= {size} AND doc_id IS NOT NULL").groupBy("n_words", "w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    facts = scratch.save(docs.mapInArrow(T.frugal(read), "doc_id long, n_words long, sha256 string, keys array<long>"), "read")
+    same = facts.where(f"n_words >= {size} AND doc_id IS NOT NULL").groupBy("sha256").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     same = scratch.save(same, "same")
-    joined = facts.join(same, ["n_words", "w1", "w2"], "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
+    joined = facts.join(same, "sha256", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)))
     named = scratch.save(joined.where("NOT copy AND doc_id IS NOT NULL").select("doc_id", F.explode("keys").alias("key")), "named")
     shared = named.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key")
     back = named.join(scratch.save(shared, "shared"), "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
@@ -184,7 +183,7 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, size: int = 50) -> tuple
                 if len(mine):
                     ok[at[i] : at[i + 1]] = mine[np.minimum(np.searchsorted(mine, part), len(mine) - 1)] == part
             starts, row = starts[ok], row[ok]
-            h1, h2 = T.Rolling(w.hash).names(starts, starts + size), T.Rolling(w.hash, 1).names(starts, starts + size)
+            h1, h2 = (T.Ranges(w.hash, s).names(starts, starts + size) for s in (0, 1))
             starts = starts - w.rows[row]
             # a window that recurs inside its document is one row, with its further places beside it
             order = np.lexsort((starts, h2, h1, row))
@@ -197,14 +196,14 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, size: int = 50) -> tuple
             more = pa.ListArray.from_arrays(pa.array(cut), pa.array(starts[~head].astype(np.int32)), mask=pa.array(extra == 0))
             ids = np.asarray(b.column("doc_id"))[row[at]]
             out = pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(starts[at].astype(np.int32)), more, pa.array(T.signed(h1[at])), pa.array((h2[at] >> _U(32)).astype(np.uint32).view(np.int32))],
+                [pa.array(ids), pa.array(starts[at].astype(np.int32)), more, pa.array(T.signed(h1[at])), pa.array(T.signed(h2[at]))],
                 ["doc_id", "start", "more", "h1", "h2"],
             )
             for i in range(0, out.num_rows, 500_000):
                 yield out.slice(i, 500_000)
 
     texts = docs.where("doc_id IS NOT NULL").join(F.broadcast(back) if values <= BROADCAST_VALUES else back, "doc_id")
-    windows = scratch.save(texts.select("doc_id", "text", "keys").mapInArrow(name, "doc_id long, start int, more array<int>, h1 long, h2 int"), "windows")
+    windows = scratch.save(texts.select("doc_id", "text", "keys").mapInArrow(T.frugal(name), "doc_id long, start int, more array<int>, h1 long, h2 long"), "windows")
     origin = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("h1", "h2", "least")
     hit = windows.join(origin, ["h1", "h2"]).where("doc_id > least")
     places = F.concat(F.array("start"), F.coalesce("more", F.array().cast("array<int>")))
@@ -253,7 +252,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
                 shas.append(_sha(kept))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(shas, pa.string())], ["doc_id", "n", "sha"])
 
-    done = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed, "doc_id").select("doc_id", "text", "starts").mapInArrow(cut, "doc_id long, n long, sha string")
+    done = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed, "doc_id").select("doc_id", "text", "starts").mapInArrow(T.frugal(cut), "doc_id long, n long, sha string")
     done = scratch.save(done.select("doc_id", "n", "sha").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("sha").alias("sha")), "done")
     out = facts.join(done, "doc_id", "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
@@ -270,6 +269,9 @@ def cut_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
 
     A removed word takes the white space after it along. n_chars, where docs has it, follows the text.
     Documents that lose all their words go. Only changed documents are joined with what they lose.
+    Null or blank text and null doc_id: the row stays as it is. Repeated rows: none is an earlier
+    document than another, so they stay or change alike. Other columns keep their values, whatever
+    their names. Empty table: empty result.
     """
     scratch = Scratch(docs.sparkSession, "cut")
     facts, removed = repeated_windows(docs, scratch, size)
@@ -279,16 +281,17 @@ def cut_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     same = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
     columns = docs.columns
     text = columns.index("text")
+    mine = T.free_name(columns, "starts")
 
     def cut(batches):
         for b in T.slices(batches):
-            texts = [_cut(t.encode(), np.asarray(s.values), size) for t, s in zip(b.column("text").to_pylist(), b.column("starts"))]
+            texts = [_cut(t.encode(), np.asarray(s.values), size) for t, s in zip(b.column(text).to_pylist(), b.column(len(columns)))]
             out = list(b.columns[: len(columns)])
             out[text] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(out, columns)
 
-    changed = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed, "doc_id").select(*columns, "starts")
-    changed = changed.mapInArrow(cut, docs.schema)
+    changed = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed.withColumnRenamed("starts", mine), "doc_id").select(*(f"`{c}`" for c in columns), mine)
+    changed = changed.mapInArrow(T.frugal(cut), docs.schema)
     changed = changed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -6,8 +6,9 @@ Kneser-Ney model, built from the continuation counts of both classes together. I
 class has seen after a context the shared part cancels, so an unseen inflection of a toxic stem keeps
 the evidence of the stem and a rare word carries none.
 
-A document is judged by its log-likelihood ratio per word, and by the ratios of its most toxic words,
-through a logistic fit on labelled documents that the models have not seen.
+A text is judged by length-normalised comparisons of the two log-likelihoods: of the whole text, and of
+its stretches of ``STRETCHES`` words, of which the most toxic one counts. A logistic fit on labelled
+documents that the models have not seen turns them into a probability.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from siltstone.scratch import Scratch
 ORDER = 6
 #: Labelled documents the models are fitted on, of each class at most; a third of them calibrates.
 PER_CLASS = 4000
+STRETCHES = (1, 3, 12)
 _U = np.uint64
 _START, _STOP = 2, 3  # bytes that begin and end a word
 
@@ -41,12 +43,12 @@ def grams(flat: np.ndarray, off: np.ndarray, order: int):
     The context is the ``order`` - 1 bytes before, or all since the start mark if these are fewer.
     """
     n = len(flat)
-    roll = T.Rolling(T.mix(flat.astype(_U) + _U(1)))
+    ranges = T.Ranges(flat.astype(_U))
     counts = np.diff(off) - 1
     at = T.spread(off[:-1] + 1, counts)
     first = np.maximum(at - (order - 1), np.repeat(off[:-1], counts))
     word = np.repeat(np.arange(len(counts)), counts)
-    context = roll.names(first, at) if n else np.zeros(0, _U)
+    context = ranges.names(first, at) if n else np.zeros(0, _U)
     return word, context, gram_name(context, flat[at])
 
 
@@ -111,19 +113,20 @@ def _look(table, query: np.ndarray) -> np.ndarray:
     return p[np.searchsorted(names, query)]
 
 
+def _looked_up(names: np.ndarray, values: np.ndarray, query: np.ndarray):
+    """(value, whether there is one) of each name."""
+    if not len(names):
+        return np.zeros(len(query)), np.zeros(len(query), bool)
+    at = np.minimum(np.searchsorted(names, query), len(names) - 1)
+    return values[at], names[at] == query
+
+
 def ratios(model: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
-    """The log-likelihood ratio of each word."""
+    """The log-likelihood ratio of each word alone."""
     flat, off = spell(words)
     word, context, gram = grams(flat, off, ORDER)
-
-    def look(names, values, query):
-        if not len(names):
-            return np.zeros(len(query)), np.zeros(len(query), bool)
-        at = np.minimum(np.searchsorted(names, query), len(names) - 1)
-        return values[at], names[at] == query
-
-    seen, hit = look(model["gram"], model["gram_ratio"], gram)
-    rest, known = look(model["context"], model["context_ratio"], context)
+    seen, hit = _looked_up(model["gram"], model["gram_ratio"], gram)
+    rest, known = _looked_up(model["context"], model["context_ratio"], context)
     each = np.where(hit, seen, np.where(known, rest, 0.0))
     return np.bincount(word, each, len(words))
 
@@ -136,27 +139,32 @@ def distinct_words(column: pa.Array):
     return [data[w.start[i] : w.end[i]].tobytes().lower() for i in first], which, w.rows
 
 
-FEATURES = 5
+FEATURES = 1 + len(STRETCHES)
 
 
 def features(each: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Per row: the ratio per word, the three largest word ratios, and the log of the positive excess."""
-    out = np.zeros((len(rows) - 1, FEATURES))
-    for i, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
-        if a < b:
-            x = each[a:b]
-            top = np.sort(np.partition(x, len(x) - 3)[-3:] if len(x) > 3 else x)[::-1]
-            out[i, 0] = x.mean()
-            out[i, 1 : 1 + len(top)] = top
-            out[i, 4] = np.log1p(np.maximum(x - 3, 0).sum())
+    """Per row: the ratio of the two log-likelihoods by word, of all words and of the most toxic stretch of each length."""
+    n = np.diff(rows)
+    out = np.zeros((len(n), FEATURES))
+    full = np.flatnonzero(n > 0)
+    if not len(full):
+        return out
+    total = np.concatenate([[0.0], np.cumsum(each)])
+    first, last = rows[:-1][full], rows[1:][full]
+    out[full, 0] = (total[last] - total[first]) / (last - first)
+    for k, size in enumerate(STRETCHES, 1):
+        many = np.maximum(last - first - size + 1, 1)
+        start = T.spread(first, many)
+        end = np.minimum(start + size, np.repeat(last, many))
+        out[full, k] = np.maximum.reduceat(total[end] - total[start], np.concatenate([[0], np.cumsum(many)[:-1]])) / np.minimum(size, last - first)
     return out
 
 
 class Scorer:
-    """Features of Arrow columns, by a model in the shared folder; keeps the ratios of known words."""
+    """Features of Arrow columns, by a model in the shared folder."""
 
     def __init__(self, folder: str):
-        self.model = {k: X.get(folder, k, _U if k in ("gram", "context") else np.float32) for k in ("gram", "gram_ratio", "context", "context_ratio")}
+        self.model = {k: X.get(folder, k, np.float32 if k.endswith("_ratio") else _U) for k in ("gram", "gram_ratio", "context", "context_ratio")}
 
     def features(self, column: pa.Array) -> np.ndarray:
         words, which, rows = distinct_words(column)
@@ -187,7 +195,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class:
             toxic, total = np.bincount(which, y, len(words)).astype(np.int64), np.bincount(which, minlength=len(words))
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(toxic), pa.array(total - toxic)], ["word", "t", "o"])
 
-    counted = chosen.where("part > 0").mapInArrow(count, "word binary, t long, o long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    counted = chosen.where("part > 0").mapInArrow(T.frugal(count), "word binary, t long, o long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
     table = counted.orderBy("word").toArrow()  # the words of the bounded sample
     shares = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}
     blank = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
@@ -204,7 +212,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class:
                 x = scorer.features(b.column("text"))
                 yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
-        fitted = chosen.where("part = 0").select("y", "text").mapInArrow(look, "y int, x array<double>").toArrow()
+        fitted = chosen.where("part = 0").select("y", "text").mapInArrow(T.frugal(look), "y int, x array<double>").toArrow()
         x, y = np.array(fitted.column("x").to_pylist()).reshape(-1, FEATURES), fitted.column("y").to_numpy()
         if len(y) and 0 < y.sum() < len(y):
             weights = logistic(x, y)
@@ -215,4 +223,4 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class:
             p = logistic_score(weights, scorer.features(b.column("text"))) if scorer else np.full(b.num_rows, blank)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return docs.withColumn("held_out", held_out()).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.withColumn("held_out", held_out()).mapInArrow(T.frugal(run), "doc_id long, held_out boolean, score double, predicted int")

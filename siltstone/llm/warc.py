@@ -140,7 +140,7 @@ def write(planned: DataFrame, folder: str, segment_bytes: int, range_bytes: int
         if ranges:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*ranges)], ["path", "start", "size", "records"])
 
-    return planned.mapInArrow(run, MANIFEST)
+    return planned.mapInArrow(T.frugal(run), MANIFEST)
 
 
 def parse(stream, size: int):
@@ -193,7 +193,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    return manifest.mapInArrow(run, RECORD)
+    return manifest.mapInArrow(T.frugal(run), RECORD)
 
 
 _TYPES = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.binary()]
@@ -235,7 +235,7 @@ def reassemble(found: DataFrame, parts: int) -> DataFrame:
         if group:
             yield _batch([close()])
 
-    return found.repartition(parts, "origin").sortWithinPartitions("origin", "segment").mapInArrow(run, RECORD)
+    return found.repartition(parts, "origin").sortWithinPartitions("origin", "segment").mapInArrow(T.frugal(run), RECORD)
 
 
 def round_trip(pages: DataFrame, at_least: int = 0, segment_bytes: int = 32 << 10) -> DataFrame:

@@ -50,3 +50,64 @@ def test_table(spark):
     extra = spark.createDataFrame([(None, None, None, "t"), (1, "u", "<p>x</p>", "t"), (1, "u", "<p>x</p>", "t")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text) for r in extract(extra).collect()) == [(0, ""), (1, "x"), (1, "x")]
     assert extract(extra.limit(0)).count() == 0
+
+
+def test_malformed_attributes_and_anchors():
+    assert main_text("<article><p data-x=it's>One.</p><p title='a>b' data-y=\">\">Two.</p></article>") == "One. Two."
+    assert main_text("<body><a name=top><p>All of this text stays where it is.</p></body>") == "All of this text stays where it is."
+    assert main_text('<article><p>See <a href="/x">this page and the rest') == "See this page and the rest"
+    assert main_text("<article><div id=social-history><p>Clubs met here.</p></div></article>") == "Clubs met here."
+    for name in ("social-links", "share-buttons", "related-posts", "search-form", "sidebar-left", "comment-list"):
+        assert main_text(f"<main><p>Text.</p><div class={name}><p>Away.</p></div></main>") == "Text.", name
+    assert main_text("<div " * 3 + '="' * 20_000) is not None
+    deep = "<div>" * 5000 + "<p>Deep.</p>" + "</div>" * 5000
+    assert main_text(deep) == "Deep."
+
+
+def test_blocks_of_an_article_are_judged():
+    long = "This paragraph is long enough to be decided on its own, as it has more than seventy characters."
+    links = '<ul><li><a href="/1">One story</a></li><li><a href="/2">Another story</a></li><li><a href="/3">A third story</a></li></ul>'
+    page = f"<nav>Menu</nav><article><h1>Head</h1><p>{long}</p><p>Short one.</p><h3>More</h3>{links}<p>More of it:</p>{links}</article><p>{long}</p>"
+    assert main_text(page).startswith(f"Head {long} Short one.")
+    assert "story" not in main_text(page) and "More of it" not in main_text(page) and main_text(page).count(long) == 1
+
+
+def plain(page_blocks):
+    """Pass two once more, each undecided block against every decided one."""
+    from siltstone.llm import html as H
+
+    inside = any(a and not w for _, _, w, a in page_blocks)
+    judged = {}
+    for i, (text, links, away, article) in enumerate(page_blocks):
+        if away or inside and not article:
+            continue
+        stop = sum(t.strip(".,;:!?\"'()") in H.STOP_WORDS for t in text.lower().split()) / len(text.split())
+        if 2 * links > len(text):
+            judged[i] = False
+        elif len(text) >= 70 and (inside or stop >= 0.25 or len(text) >= 200 and not links and stop >= 0.125):
+            judged[i] = True
+        else:
+            judged[i] = None
+    places = {i: k for k, i in enumerate(sorted(judged))}
+    out = []
+    for i in range(len(page_blocks)):
+        x = judged.get(i, False)
+        if x is None:
+            near = sorted((abs(places[j] - places[i]), not y) for j, y in judged.items() if y is not None)
+            x = True not in judged.values() or not near[0][1]
+        out.append(x)
+    return out
+
+
+def test_classify_matches_a_plain_version():
+    import random
+
+    from siltstone.llm.html import classify
+
+    r = random.Random(4)
+    for _ in range(400):
+        blocks = []
+        for _ in range(r.randrange(12)):
+            text = " ".join(r.choice(["the", "of", "zorb", "glim", "and", "quex"]) for _ in range(r.choice([1, 3, 20, 60])))
+            blocks.append((text, r.choice([0, 0, len(text) // 3, len(text)]), r.random() < 0.2, r.random() < r.choice([0, 0.7])))
+        assert classify(blocks) == plain(blocks)

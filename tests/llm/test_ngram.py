@@ -100,7 +100,7 @@ def test_sender_splits_and_merges():
     batches += send.flush()
     got = Counter()
     for p in range(4):
-        mine = [x.filter(pa.array(np.asarray(x.column("part")) == p)) for x in mine]
+        mine = [x.filter(pa.array(np.asarray(x.column("part")) == p)) for x in batches]
         for part, (x, y, n) in X.received(mine, most=500):
             assert part == p
             got.update({(int(i), int(j)): int(k) for i, j, k in zip(x, y, n)})

@@ -65,3 +65,38 @@ def test_few_labels_switch_rules_off(spark, make_docs):
 def test_empty_tables(spark, make_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert rules.apply(make_docs([]), labels).count() == 0
+
+
+def test_windows_that_share_a_value_are_told_apart(spark, make_docs):
+    # a window's value keeps only the low bits of its hash beside many places: with one bit of hash left, all clash
+    docs = make_docs([(1, "a b c d a b c e"), (2, "a b c d e f g h i"), (3, "x x x x")])
+    real = rules.F.expr
+    try:
+        rules.F.expr = lambda e: real(e.replace("xxhash64(words[i], words[i + 1], words[i + 2])", "xxhash64(words[i], words[i + 1], words[i + 2]) % 2"))
+        got = {r.doc_id: r.n_repeat_words for r in rules.measures(docs).collect()}
+    finally:
+        rules.F.expr = real
+    assert got == {1: 6, 2: 0, 3: 4}
+
+
+def test_select_keeps_rows_whole(spark):
+    body = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, row string, words string, stratum string, reason string, `of` int, `starts` int"
+    rows = [(1, body, "r", "w", "s", "x", 1, 2), (None, body, None, None, None, None, None, None), (2, None, "r", "w", "s", "x", 1, 2), (1, body, "r", "w", "s", "x", 1, 2)]
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = rules.select(docs, labels)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], rows[1], rows[3]], key=str)
+    assert rules.select(docs.limit(0), labels).count() == 0
+    assert rules.apply(docs, labels).count() == 4
+
+
+def test_rules_reject_on_the_larger_table(spark):
+    """Cutoffs are admitted in each language with labels enough, and good documents of the labels mostly stay."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = rules.apply(docs, labels).select("doc_id", "reason").collect()
+    assert {"symbols", "base"} <= {r.reason for r in rows}
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    held = [r for r in rows if r.doc_id in good and r.reason != "base"]
+    assert sum(r.reason is not None for r in held) <= 0.1 * len(held)
