@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of one batch of rows that goes to a Python worker, where the session leaves Spark's default of 64 MB.
+BATCH_BYTES = "4m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -22,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     except Exception as error:  # a session without a SparkContext
         raise RuntimeError("no SparkContext to read spark.checkpoint.dir from") from error
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -32,6 +37,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        if spark.conf.get(_BATCH) in ("64m", "64MB", "67108864", "67108864b"):
+            spark.conf.set(_BATCH, BATCH_BYTES)  # a batch of whole texts has to fit beside the heap
         self.path = f"{shared_dir(spark)}/siltstone-{name}-{uuid.uuid4().hex[:12]}"
         _made.append((spark, self.path))
 
