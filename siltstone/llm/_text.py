@@ -222,7 +222,7 @@ def frugal(run):
     return wrapped
 
 
-def slices(batches, most: int = 3 << 20, column: str = "text"):
+def slices(batches, most: int = 2 << 20, column: str = "text"):
     """Cut Arrow batches so that each holds about ``most`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
