@@ -31,10 +31,10 @@ class Node:
         return self.value.isNull()
 
     def is_object(self) -> Column:
-        return F.coalesce(self.kind.startswith("OBJECT"), F.lit(False))
+        return self.as_("map<string,variant>").isNotNull()  # cheaper than the schema of all below
 
     def is_list(self) -> Column:
-        return F.coalesce(self.kind.startswith("ARRAY"), F.lit(False))
+        return self.as_("array<variant>").isNotNull()
 
     def is_text(self) -> Column:
         return F.coalesce(self.kind == "STRING", F.lit(False))
@@ -68,7 +68,7 @@ class Node:
 
     def items(self) -> Column:
         """The elements of a list as variants; an empty array for anything else."""
-        return F.coalesce(F.when(self.is_list(), self.as_("array<variant>")), F.array().cast("array<variant>"))
+        return F.coalesce(self.as_("array<variant>"), F.array().cast("array<variant>"))
 
     def json(self) -> Column:
         return F.coalesce(F.to_json(self.value), F.lit(""))
@@ -76,3 +76,28 @@ class Node:
     def isin(self, values) -> Column:
         """Whether the value is one of these strings; false for any other type."""
         return F.coalesce(self.text().isin(*values), F.lit(False))
+
+    def fields(self) -> Column:
+        """An object's values by key; an empty map for anything else."""
+        return F.coalesce(self.as_("map<string,variant>"), F.create_map().cast("map<string,variant>"))
+
+    def strings(self) -> Column:
+        """The strings among the elements of a list."""
+        kept = F.filter(self.items(), lambda x: F.coalesce(F.schema_of_variant(x) == "STRING", F.lit(False)))
+        return F.transform(kept, lambda x: F.try_variant_get(x, "$", "string"))
+
+
+def object_json(fields: Column) -> Column:
+    """The JSON text of an object, from its values (variants) by key, keys in order."""
+    entries = F.array_sort(F.map_keys(fields))
+    each = F.transform(entries, lambda k: F.concat(F.to_json(k.cast("variant")), F.lit(":"), F.to_json(F.element_at(fields, k))))
+    return F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))
+
+
+def replaced(node: Node, values: dict[str, Column]) -> Column:
+    """The JSON text of an object with some keys set to other JSON texts."""
+    kept = F.map_filter(node.fields(), lambda k, v: ~k.isin(*values))
+    parts = [F.when(c.isNotNull(), F.concat(F.lit(f'"{k}":'), c)) for k, c in values.items()]
+    rest = object_json(kept)
+    inner = F.filter(F.array(F.when(F.length(rest) > 2, F.substring(rest, F.lit(2), F.length(rest) - 2)), *parts), lambda x: x.isNotNull())
+    return F.concat(F.lit("{"), F.array_join(inner, ","), F.lit("}"))

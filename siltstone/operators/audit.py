@@ -9,7 +9,13 @@ from siltstone import vocab as V
 from siltstone.functions.variant import Node
 from siltstone.operators.rules import Rule, violations
 
-PRIORITY = ("repaired", "reviewed", "teacher", "draft")
+# Tiers of answer files, best first, and what in a path makes one; every path is of tier other too.
+PRIORITY = ("repaired", "combined", "batch", "other")
+MARKERS = {
+    "repaired": ("repaired",),
+    "combined": ("assembled", "combined", "clean", "merged"),
+    "batch": ("batch_", "teacher_answer_returns", "teacher_answer_batches", "answer"),
+}
 GENERIC = ("clk", "clock", "rst", "reset", "signal", "signals", "input", "output", "unknown", "n/a")
 
 
@@ -54,13 +60,29 @@ def repair(text: Column) -> Column:
 
 
 def priority(path: Column, order: tuple[str, ...] = PRIORITY) -> Column:
-    """The rank of the first tag that the path has, else the last rank."""
-    out = F.lit(len(order))
+    """The rank of the first tier in ``order`` that the path belongs to; one more than the last if none."""
+    p, out = F.lower(F.replace(path, F.lit("\\"), F.lit("/"))), F.lit(len(order))
     for k in reversed(range(len(order))):
-        out = F.when(F.lower(path).contains(order[k]), k).otherwise(out)
+        mine = F.lit(order[k] == "other")
+        for marker in MARKERS.get(order[k], ()):
+            mine = mine | p.contains(marker)
+        out = F.when(mine, k).otherwise(out)
     return out
 
 
+def tier(path: Column, order: tuple[str, ...] = PRIORITY) -> Column:
+    """The name of that tier, other if none."""
+    return F.coalesce(F.try_element_at(F.array(*map(F.lit, order)), priority(path, order) + 1), F.lit("other"))
+
+
+def parse_order(text: str) -> tuple[str, ...]:
+    """Tiers from a comma-separated list, each once."""
+    found = tuple(dict.fromkeys(x.strip().lower() for x in text.split(",") if x.strip()))
+    if not found:
+        raise ValueError("name at least one tier")
+    return found
+
+
 def assemble(answers: DataFrame, order: tuple[str, ...] = PRIORITY) -> tuple[DataFrame, DataFrame]:
     """(chosen, others) of answer rows: the best rank of each source_id; the others agree with it or conflict."""
     from siltstone.operators.keys import tag_best

@@ -35,7 +35,7 @@ def draft_rows(examples: DataFrame) -> DataFrame:
     code = F.concat_ws("\n", *[F.col("artifacts")[k] for k in ("rtl_code", "before_rtl_code", "after_rtl_code")])
     task = F.struct(
         F.lit(V.TASK_SCHEMA[0]).alias("schema_version"), F.lit("digital_rtl").alias("domain"), "task_type", "user_goal", "artifacts",
-        F.struct(rtl.module_names(code)[0].alias("top_module"), rtl.port_names(code).alias("ports"), F.filter(rtl.port_names(code), rtl.is_reset_name).alias("reset_signals")).alias("extracted_rtl_summary"),
+        F.struct(*[c.alias(k) for k, c in rtl.summary(code).items()]).alias("extracted_rtl_summary"),
         F.array(*map(F.lit, V.REQUIRED_OUTPUT)).alias("required_output"),
     )
     levels = F.create_map(*[x for d in V.CLAIM_DOMAINS for x in (F.lit(d), F.lit("insufficient_evidence"))])
@@ -54,10 +54,9 @@ def index_rows(scanned: DataFrame) -> DataFrame:
     code = F.coalesce(F.when(listed.isNotNull(), F.array_join(listed, "\n")), *[F.when(v[n].filled(), v[n].text()) for n in ("Response", "response", "output", "rtl", "code", "solution")])
     out = scanned.where("problem IS NULL").select("line", instruction.alias("instruction_text"), code.alias("rtl_code"))
     out = out.withColumn("source_id", F.format_string("rtlcoder_resyn27k_%06d", "line"))
-    text = F.concat_ws(" ", "instruction_text", "rtl_code")
     return out.withColumns({
         "detected_module_names": rtl.module_names(F.col("rtl_code")),
-        "rough_design_family": rtl.design_family(text),
+        "rough_design_family": rtl.design_family(F.col("instruction_text"), F.col("rtl_code"), F.array_join(rtl.module_names(F.col("rtl_code")), " ")),
         "import_warnings": rtl.import_warnings(F.col("instruction_text"), F.col("rtl_code")),
     })
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import vocab as V
-from siltstone.functions import claims, rtl
+from siltstone.functions import claims, json_text, rtl
 from siltstone.functions.variant import Node
 from siltstone.operators.rules import Rule, violations
 
@@ -57,25 +57,36 @@ def row_rules() -> list[Rule]:
     return r
 
 
+def prepared(rows: DataFrame) -> DataFrame:
+    """rows (v, problem) with the guards of the rules as columns, each evaluated once a row.
+
+    _three: there are three messages. _shaped: all are objects with content, so the rules after V-13 apply.
+    _whole: task and answer are objects, so their rules apply. _distill: the row is a distilled one.
+    """
+    m = ROW["messages"]
+    shaped_ = F.size(m.items()) == 3
+    for k in range(3):
+        shaped_ = shaped_ & m[k].is_object() & m[k]["content"].present()
+    distilled = ROW["review_status"].isin(["teacher_distilled_unreviewed"]) | ROW["dataset_stage"].isin(["teacher_distill_pilot"])
+    whole_ = F.col("problem").isNull() & shaped_ & TASK.is_object() & ANSWER.is_object()
+    guards = {"_three": F.size(m.items()) == 3, "_shaped": shaped_, "_whole": whole_, "_distill": distilled}
+    return rows.withColumns({k: F.coalesce(c, F.lit(False)) for k, c in guards.items()})
+
+
 def three() -> Column:
-    return ROW["messages"].is_list() & (F.size(ROW["messages"].items()) == 3)
+    return F.col("_three")
 
 
 def shaped() -> Column:
-    """Three messages, all objects with content: the rules after V-13 apply."""
-    out = three()
-    for k in range(3):
-        out = out & ROW["messages"][k].is_object() & ROW["messages"][k]["content"].present()
-    return out
+    return F.col("_shaped")
 
 
 def whole() -> Column:
-    """Task and answer are objects: the task and answer rules apply."""
-    return F.col("problem").isNull() & shaped() & TASK.is_object() & ANSWER.is_object()
+    return F.col("_whole")
 
 
 def is_distill() -> Column:
-    return ROW["review_status"].isin(["teacher_distilled_unreviewed"]) | ROW["dataset_stage"].isin(["teacher_distill_pilot"])
+    return F.col("_distill")
 
 
 def task_rules() -> list[Rule]:
@@ -187,31 +198,64 @@ def answer_rules() -> list[Rule]:
     add("A-14", "claim_level", ANSWER["claim_level"].present() & levels.absent())
     for f in ("time_reasoning", "space_reasoning", "patch"):
         add("A-15", f, ~ANSWER[f].is_object())
-    code = TASK["artifacts"]["rtl_code"].text()
+    code = {k: TASK["artifacts"][k] for k in ("rtl_code", "before_rtl_code", "after_rtl_code")}
     golden = ROW["source"].isin(["handwritten_golden"]) & ROW["review_status"].isin(["reviewed"])
-    add("G-01", "", ~ROW["id"].text().rlike(r"^golden_[a-z0-9_]+_(?:bug|activity|report|reject|compare)_\d{3}$"), guard=golden)
-    sides = _either([rtl.is_substantive(TASK["artifacts"][k].text()) for k in ("rtl_code", "before_rtl_code", "after_rtl_code")])
-    both = rtl.is_substantive(TASK["artifacts"]["before_rtl_code"].text()) & rtl.is_substantive(TASK["artifacts"]["after_rtl_code"].text())
-    need = F.when(TASK["task_type"].isin(["rtl_before_after_judgment"]), both).when(TASK["task_type"].isin(["rtl_tool_report_explanation"]), code.isNull() | (F.trim(code) == "") | rtl.is_substantive(code)).otherwise(sides)
+    add("G-01", "", ~F.coalesce(ROW["id"].text(), F.lit("")).rlike(r"^golden_[a-z0-9_]+_(?:bug|activity|report|reject|compare)_\d{3}\z"), guard=golden)
+    compared, explained = (TASK["task_type"].isin([k]) for k in ("rtl_before_after_judgment", "rtl_tool_report_explanation"))
+    real = {k: rtl.is_substantive(n.text()) for k, n in code.items()}
+    need = F.when(compared, real["before_rtl_code"] & real["after_rtl_code"]).when(explained, ~code["rtl_code"].nonempty() | real["rtl_code"]).otherwise(real["rtl_code"])
     add("G-02", "artifacts", ~need, guard=golden)
+    given = F.when(compared, F.concat_ws("\n", code["before_rtl_code"].text(), code["after_rtl_code"].text())).otherwise(code["rtl_code"].text())
+    known = F.transform(rtl.module_mentions(given), F.lower)
+    backed = golden & F.coalesce(F.length(given) > 0, F.lit(False))
+    words = lambda x, path: F.when(F.schema_of_variant(get(x, path)) == "STRING", get(x, path, "string"))
+    listed = lambda x: F.size(F.coalesce(get(x, "evidence.signal_names", "array<variant>"), F.array().cast("array<variant>"))) > 0
+    add("G-03", "issue_summary.evidence.signal_names", some(lambda x: ~listed(x)), guard=backed)
+    add("G-03", "issue_summary.evidence.code_location.module", some(lambda x: ~F.coalesce(F.array_contains(known, F.lower(words(x, "evidence.code_location.module"))), F.lit(False))), guard=backed)
+    add("G-03", "issue_summary.evidence.code_location.block", some(lambda x: ~F.coalesce(words(x, "evidence.code_location.block").isin(*V.BLOCKS), F.lit(False))), guard=backed)
     return r
 
 
 def distill_rules() -> list[Rule]:
-    """D-01 ... D-12 of distilled rows."""
+    """D-01 ... D-14 of distilled rows."""
+    from siltstone.operators import teacher
+
     on = whole() & is_distill()
+    family, origins = ROW["source_family"], F.array(TASK["source_dataset"].text(), TASK["provenance"]["origin"].text())
+    origins = F.filter(origins, lambda x: F.coalesce(x != "", F.lit(False)))
     tests = [
         ("D-01", "dataset_stage", ~ROW["dataset_stage"].isin(["teacher_distill_pilot"])),
         ("D-02", "approval_status", ~ROW["approval_status"].isin(["not_approved"])),
-        ("D-03", "promotion_allowed", ~ROW["promotion_allowed"].is_false()),
-        ("D-04", "split_seed", ~ROW["split_seed"].is_integer()),
-        ("D-05", "id", F.coalesce(ROW["id"].text().startswith("golden_"), F.lit(False))),
-        ("D-06", "source", ROW["source"].isin(["handwritten_golden"])),
-        ("D-07", "dataset_name", ~ROW["dataset_name"].filled()),
-        ("D-08", "schema_pair", ROW["schema_pair"].absent()),
-        ("D-12", "source_id", ~TASK["source_id"].filled() | ~TASK["source_id"].text().eqNullSafe(ANSWER["source_id"].text()) | (ROW["source_id"].present() & ~ROW["source_id"].text().eqNullSafe(TASK["source_id"].text()))),
+        ("D-03", "source", ~ROW["source"].isin(["teacher_generated"])),
+        ("D-04", "source_family", ~(family.is_text() & family.nonempty())),
+        ("D-05", "source_family", (F.size(origins) > 0) & F.coalesce(family.text() != "", F.lit(False)) & ~F.array_contains(origins, family.text())),
+        ("D-06", "schema_pair", ~ROW["schema_pair"].isin([V.SCHEMA_PAIR])),
+        ("D-07", "promotion_allowed", ~ROW["promotion_allowed"].is_false()),
+        ("D-08", "dataset_name", ~(ROW["dataset_name"].is_text() & ROW["dataset_name"].nonempty())),
+        ("D-09", "split_seed", ~ROW["split_seed"].is_integer()),
+        ("D-10", "id", F.coalesce(ROW["id"].text().startswith("golden_"), F.lit(False))),
+        ("D-11", "source", ROW["source"].isin(["handwritten_golden"])),
+        ("D-12", "source_id", ~(TASK["source_id"].is_text() & TASK["source_id"].nonempty()) | ~TASK["source_id"].text().eqNullSafe(ANSWER["source_id"].text()) | (ROW["source_id"].nonempty() & ~ROW["source_id"].text().eqNullSafe(TASK["source_id"].text()))),
+        ("D-13", "messages[1].content", json_text.answer_copy(F.when(on, TASK.json()))),
     ]
-    return [Rule(k, f, "error", w, None, on) for k, f, w in tests]
+    rules = [Rule(k, f, "error", w, None, on) for k, f, w in tests]
+    answered = teacher.answer_rules(ANSWER, TASK, on)
+    return rules + [Rule("D-14", f"messages[2].content.{r.field}", "error", r.when, r.message or r.rule, on if r.guard is None else on & r.guard) for r in answered]
+
+
+def row_findings() -> Column:
+    """All problems within one row, but for claims."""
+    from siltstone.operators.rules import found
+
+    return found([*row_rules(), *task_rules(), *answer_rules(), *distill_rules()])
+
+
+def said() -> Column:
+    """C-1 ... C-8 of a row."""
+    text = F.lower(ANSWER.json())
+    return claims.unsupported(
+        text, {t: passed(t) for t in V.TOOLS}, TASK["artifacts"]["power_report"].nonempty(), ANSWER["functional_risk"].nonempty(), F.lower(ANSWER["time_reasoning"].json())
+    )
 
 
 def validate(scanned: DataFrame) -> DataFrame:
@@ -220,13 +264,9 @@ def validate(scanned: DataFrame) -> DataFrame:
     One scan evaluates the row rules; only duplicate ids (V-03) and families in several training splits
     (V-22) need an aggregation.
     """
-    keyed = scanned.withColumn("row_id", F.when(F.col("problem").isNull(), ROW["id"].text()))
+    keyed = prepared(scanned).withColumn("row_id", F.when(F.col("problem").isNull(), ROW["id"].text()))
     found = violations(keyed, [*row_rules(), *task_rules(), *answer_rules(), *distill_rules()], ["file", "line", "row_id"])
-    text = F.lower(ANSWER.json())
-    said = claims.unsupported(
-        text, {t: passed(t) for t in V.TOOLS}, TASK["artifacts"]["power_report"].nonempty(), ANSWER["functional_risk"].nonempty(), F.lower(ANSWER["time_reasoning"].json())
-    )
-    spoken = keyed.where(whole()).select("file", "line", "row_id", F.explode(said).alias("rule"))
+    spoken = keyed.where(whole()).select("file", "line", "row_id", F.explode(said()).alias("rule"))
     found = found.union(spoken.select("file", "line", "row_id", "rule", F.lit("messages[2].content"), F.lit("error"), F.concat(F.lit("unsupported claim "), F.col("rule")), F.lit(1000)))
     good = keyed.where("problem IS NULL AND row_id IS NOT NULL")
     place = F.struct("file_ord", "line")
@@ -242,3 +282,21 @@ def validate(scanned: DataFrame) -> DataFrame:
 def verdict(found: DataFrame, strict: bool = False) -> bool:
     """No errors, and no warnings if strict."""
     return found.where("true" if strict else "severity = 'error'").limit(1).count() == 0
+
+
+def by_task_type(scanned: DataFrame, found: DataFrame) -> DataFrame:
+    """V-21: (task_type, n) of the rows whose messages are whole."""
+    return prepared(scanned).where(whole()).groupBy(TASK["task_type"].text().alias("task_type")).agg(F.count("*").alias("n"))
+
+
+def tool_evidence(task, tool: str) -> Column:
+    """EVD-4: any status but none and not_run; a check that is no object counts if it is not empty."""
+    check = task["tool_checks"][tool]
+    return F.when(check.is_object(), check["status"].nonempty() & ~check["status"].isin(["not_run"])).otherwise(check.nonempty() & ~check.is_false())
+
+
+def report_evidence(task, tool: str) -> Column:
+    """EVD-5: as EVD-4, or a filled report of the tool, a power report included."""
+    reports = V.TOOL_ARTIFACTS | {"power": "power_report"}
+    report = task["artifacts"][reports[tool]].filled() if tool in reports else F.lit(False)
+    return tool_evidence(task, tool) | report

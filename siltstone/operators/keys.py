@@ -15,14 +15,9 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key. An aggregate with map-side combine, so a hot key stays small."""
-    rest = [c for c in rows.columns if c not in order]
-    best = rows.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(*order, *[c for c in rest if _orderable(rows, c)])).alias("_row"))
-    return best.select("_row.*").select([c for c in rows.columns if _orderable(rows, c) or c in order])
-
-
-def _orderable(rows: DataFrame, column: str) -> bool:
-    return rows.schema[column].dataType.typeName() not in ("map", "variant")
+    """The first row of each key, with columns of any type. An aggregate with map-side combine, so a hot key stays small."""
+    best = rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row"))
+    return best.select("_row.*")
 
 
 def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:

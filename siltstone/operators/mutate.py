@@ -6,55 +6,117 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltstone.functions import rtl
 
-def first_edit(text: Column, pattern: str, replacement: Column) -> Column:
+# The shapes of text that the edits look for.
+_ID = r"[A-Za-z_][A-Za-z0-9_$]*"
+_PLACE = rf"{_ID}(?:\[[^\]]+\])?"
+_SELECT = rf"(?:sel|select|mux|{_ID}(?:sel|select|mux)[A-Za-z0-9_$]*)"
+TERNARY = rf"(?i)\b({_SELECT})\s*\?\s*([^:;\n]+)\s*:\s*([^;\n]+)"
+BRANCH = rf"(?i)if\s*\(\s*({_SELECT})\s*\)"
+COMBINATIONAL, CLOCKED = r"(?i)\balways_comb\b|\balways\s*@\s*\*", r"(?i)\balways_ff\b|\balways\s*@\s*\([^)]*posedge"
+ELSE = rf"([ \t]*)else\s+({_PLACE})\s*=\s*[^;]+;"
+LIMIT = rf"(?i)({_ID}(?:count|counter|cnt|timer)[A-Za-z0-9_$]*)\s*(<=|>=|<|>)\s*([^)\n;]+)"
+SHIFT = rf"({_PLACE})\s*(<=|=)\s*([^;]*?)(<<|>>)([^;]*);"
+NONBLOCKING = rf"({_PLACE})\s*<=\s*([^;]+);"
+_LITERAL = r"\d+'[bBdDhHoO][0-9a-fA-F_xXzZ]+|\d+"
+_RESET_HEAD = rf"if\s*\(\s*(?:!|~)?\s*{_ID}\s*\)\s*(?:begin\s*)?"
+
+
+def first_edit(text: Column, pattern: str | Column, replacement: Column) -> Column:
     """text with the first match of ``pattern`` replaced; null where nothing matches."""
-    at = F.regexp_instr(text, F.lit(pattern))
-    found = F.regexp_extract(text, pattern, 0)
+    p = F.lit(pattern) if isinstance(pattern, str) else pattern
+    at, found = F.regexp_instr(text, p), F.regexp_substr(text, p)
     return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), replacement, F.substring(text, at + F.length(found), F.length(text))))
 
 
-def _swap(text: Column, pattern: str, old: str, new: str) -> Column:
-    """The first match of pattern, with old and new exchanged inside it."""
-    m = F.regexp_extract(text, pattern, 0)
-    return first_edit(text, pattern, F.when(m.contains(old), F.replace(m, F.lit(old), F.lit(new))).otherwise(F.replace(m, F.lit(new), F.lit(old))))
+def toggled(literal: Column) -> Column:
+    """A number with 0 and 1 exchanged (any other becomes 0), width and base kept; null with x or z digits."""
+    sized = r"(?i)^(\d+)'([bdho])([0-9a-f_xz]+)$"
+    width, base = F.regexp_extract(literal, sized, 1).try_cast("int"), F.lower(F.regexp_extract(literal, sized, 2))
+    digits = F.replace(F.lower(F.regexp_extract(literal, sized, 3)), F.lit("_"), F.lit(""))
+    new = F.when(F.when(base != "", digits).otherwise(literal).rlike("^0+$"), "1").otherwise("0")
+    per = F.when(base == "b", 1).when(base == "o", 3).when(base == "h", 4)
+    filled = F.when(per.isNull(), new).otherwise(F.lpad(new, F.greatest(F.ceil(width / per), F.lit(1)).cast("int"), F.lit("0")))
+    return F.when(base == "", new).when(~digits.rlike("[xz]"), F.concat(width.cast("string"), F.lit("'"), base, filled))
+
+
+def _base(place: Column) -> Column:
+    return F.substring_index(place, "[", 1)
+
+
+def _exact(name: Column) -> Column:
+    return F.concat(F.lit(r"\Q"), name, F.lit(r"\E"))
+
+
+def _first(found: Column) -> Column:
+    return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
+
+
+def _edit(text: Column | None, signals: Column, confidence: str) -> Column:
+    return F.when(text.isNotNull(), F.struct(text.alias("mutated"), signals.alias("signals"), F.lit(confidence).alias("confidence")))
 
 
 def candidates(text: Column) -> dict[str, Column]:
-    """Bug type -> mutated text, null where the type does not apply."""
-    reset = r"if\s*\(\s*!?\s*[A-Za-z_]*(?:rst|reset)[A-Za-z_]*\s*\)"
-    m = F.regexp_extract(text, reset, 0)
-    polarity = first_edit(text, reset, F.when(m.contains("!"), F.replace(m, F.lit("!"), F.lit(""))).otherwise(F.regexp_replace(m, r"\(\s*", "(!")))
-    ternary = r"\?\s*([A-Za-z_]\w*)\s*:\s*([A-Za-z_]\w*)"
-    mux = first_edit(text, ternary, F.concat(F.lit("? "), F.regexp_extract(text, ternary, 2), F.lit(" : "), F.regexp_extract(text, ternary, 1)))
-    count = r"\b\w*(?:cnt|count)\w*\s*(?:<|>)=?(?!=)\s*\w+"
-    c = F.regexp_extract(text, count, 0)
-    limit = first_edit(text, count, F.when(c.rlike("[<>]="), F.regexp_replace(c, "([<>])=", "$1")).otherwise(F.regexp_replace(c, "([<>])", "$1=")))
-    clocked = r"(?s)(@\s*\(\s*(?:pos|neg)edge.*?\w+\s*)<="
-    swap = first_edit(text, clocked, F.concat(F.regexp_extract(text, clocked, 1), F.lit("=")))
-    output = r"\boutput\s+(?:reg|wire|logic)?\s*\[[^\]]+\]\s*(\w+)"
-    name = F.regexp_extract(text, output, 1)
-    assign = r"(assign\s+\w+\s*=\s*)(\w+)\s*;"
-    width = F.when(name != "", first_edit(text, assign, F.concat(F.regexp_extract(text, assign, 1), F.regexp_extract(text, assign, 2), F.lit("[0];"))))
-    otherwise = r"(?s)(always(?:_comb|\s*@\s*\(\s*\*\s*\)).*?)\belse\s+\w+\s*=\s*[^;]+;"
-    partial = first_edit(text, otherwise, F.regexp_extract(text, otherwise, 1))
-    state = r"(\bstate\w*\s*<=\s*\d*'?[bd]?)([01])\s*;"
-    fsm = first_edit(text, state, F.concat(F.regexp_extract(text, state, 1), F.when(F.regexp_extract(text, state, 2) == "0", "1").otherwise("0"), F.lit(";")))
+    """Bug type -> (mutated, signals, confidence), null where the type does not apply."""
+    group = lambda pattern, k: F.regexp_extract(text, pattern, k)
+    about = rtl.summary(text)
+
+    def reset(name):
+        low = F.concat(F.lit(r"if\s*\(\s*[!~]\s*"), _exact(name), F.lit(r"\s*\)"))
+        high = F.concat(F.lit(r"if\s*\(\s*"), _exact(name), F.lit(r"\s*\)"))
+        new = F.coalesce(first_edit(text, low, F.concat(F.lit("if ("), name, F.lit(")"))), first_edit(text, high, F.concat(F.lit("if (!"), name, F.lit(")"))))
+        return _edit(new, F.array(name), "medium")
+
+    def truncated(name):
+        drive = F.concat(F.lit(r"(?:assign\s+)?"), _exact(name), F.lit(rf"\s*(?:<=|=)\s*{_ID}\s*;"))
+        found = F.regexp_substr(text, drive)
+        right = F.regexp_extract(found, rf"({_ID})\s*;$", 1)
+        return _edit(first_edit(text, drive, F.concat(F.regexp_replace(found, rf"{_ID}\s*;$", ""), right, F.lit("[0];"))), F.array(name, right), "low")
+
+    def restarted(name):
+        clears = F.concat(F.lit(rf"(?i){_RESET_HEAD}"), _exact(name), F.lit(rf"(?:\[[^\]]+\])?\s*(?:<=|=)\s*(?:{_LITERAL})\s*;"))
+        found = F.regexp_substr(text, clears)
+        whole = rf"(?is)^({_RESET_HEAD})({_PLACE})\s*(<=|=)\s*({_LITERAL})\s*;$"
+        part = [F.regexp_extract(found, whole, k) for k in range(5)]
+        new = toggled(part[4])
+        edited = first_edit(text, clears, F.concat(part[1], part[2], F.lit(" "), part[3], F.lit(" "), new, F.lit(";")))
+        return _edit(F.when(new != part[4], edited), F.array(name), "low")
+
+    sel, branch = group(TERNARY, 1), group(BRANCH, 1)
+    mux = F.coalesce(
+        first_edit(text, TERNARY, F.concat(F.lit("!"), sel, F.lit(" ? "), F.trim(group(TERNARY, 2)), F.lit(" : "), F.trim(group(TERNARY, 3)))),
+        first_edit(text, BRANCH, F.concat(F.lit("if (!"), branch, F.lit(")"))),
+    )
+    indent, dropped = group(ELSE, 1), _base(group(ELSE, 2))
+    gap = F.concat(indent, F.lit("else begin\n"), indent, F.lit("    /* incomplete_comb_assignment removed assignment to "), dropped, F.lit(" */\n"), indent, F.lit("end"))
+    op = group(LIMIT, 2)
+    other = F.when(op.endswith("="), F.substring(op, 1, 1)).otherwise(F.concat(op, F.lit("=")))
+    turned = F.when(group(SHIFT, 4) == "<<", ">>").otherwise("<<")
+    shift = F.concat(group(SHIFT, 1), F.lit(" "), group(SHIFT, 2), F.lit(" "), group(SHIFT, 3), turned, group(SHIFT, 5), F.lit(";"))
     return {
-        "wrong_reset_polarity": polarity,
-        "wrong_mux_select_polarity": mux,
-        "incomplete_comb_assignment": partial,
-        "off_by_one_counter_limit": limit,
-        "shift_direction_flip": _swap(text, r"<<<?|>>>?", "<", ">"),
-        "blocking_nonblocking_swap": swap,
-        "width_truncation_output": width,
-        "wrong_fsm_reset_state": fsm,
+        "wrong_reset_polarity": _first(F.transform(about["reset_signals"], reset)),
+        "wrong_mux_select_polarity": _edit(mux, F.array(F.when(sel != "", sel).otherwise(branch)), "medium"),
+        "incomplete_comb_assignment": _edit(F.when(text.rlike(COMBINATIONAL), first_edit(text, ELSE, gap)), F.array(dropped), "low"),
+        "off_by_one_counter_limit": _edit(first_edit(text, LIMIT, F.concat(group(LIMIT, 1), F.lit(" "), other, F.lit(" "), F.trim(group(LIMIT, 3)))), F.array(group(LIMIT, 1)), "medium"),
+        "shift_direction_flip": _edit(first_edit(text, SHIFT, shift), F.array(_base(group(SHIFT, 1))), "medium"),
+        "blocking_nonblocking_swap_in_clocked_block": _edit(
+            F.when(text.rlike(CLOCKED), first_edit(text, NONBLOCKING, F.concat(group(NONBLOCKING, 1), F.lit(" = "), F.trim(group(NONBLOCKING, 2)), F.lit(";")))), F.array(_base(group(NONBLOCKING, 1))), "medium"
+        ),
+        "width_truncation_output": _first(F.transform(rtl.vector_outputs(text), truncated)),
+        "wrong_fsm_reset_state": _first(F.transform(about["suspected_fsm_signals"], restarted)),
     }
 
 
-def mutate(rows: DataFrame, key: str, text: str, per_row: int = 1, seed: int = 42) -> DataFrame:
-    """(key, bug_type, mutated): of the edits that change a text, the ``per_row`` first by the hash of seed, key and type."""
-    each = F.array(*[F.struct(F.lit(k).alias("bug_type"), c.alias("mutated")) for k, c in candidates(F.col(text)).items()])
+def mutate(rows: DataFrame, key: str, text: str, per_row: int = 1, seed: int = 42, limit: int | None = None) -> DataFrame:
+    """(key, bug_type, mutated, signals, confidence): of the edits that change a text, the ``per_row`` first by the hash of seed, key and type.
+
+    ``limit``: only so many rows in all, by key and hash.
+    """
+    each = F.array(*[F.when(c.isNotNull(), F.struct(F.lit(k).alias("bug_type"), c["mutated"].alias("mutated"), c["signals"].alias("signals"), c["confidence"].alias("confidence"))) for k, c in candidates(F.col(text)).items()])
     out = rows.select(key, text, F.explode(each).alias("m")).select(key, text, "m.*").where(F.col("mutated").isNotNull() & (F.col("mutated") != F.col(text)))
-    rank = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), "bug_type"), 256)
-    return out.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(rank))).where(F.col("_n") <= per_row).select(key, "bug_type", "mutated")
+    out = out.withColumn("_rank", F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), "bug_type"), 256))
+    out = out.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("_rank"))).where(F.col("_n") <= per_row)
+    if limit is not None:
+        out = out.orderBy(key, "_rank").limit(limit)
+    return out.select(key, "bug_type", "mutated", "signals", "confidence")

@@ -69,23 +69,76 @@ def _either(check, domain):
     return out
 
 
+# Strong wording by the evidence that it needs, and wording that softens it.
+STRONG = (
+    ("unverified_correctness_wording", r"\b(?:verified|passes|passed\s+simulation|equivalent|proven)\b", ("simulation", "equivalence")),
+    ("unsupported_synthesis_wording", r"\b(?:synthesis\s+result|timing\s+met|area\s+reduced)\b", ("synthesis",)),
+    ("unsupported_activity_wording", r"\b(?:activity\s+reduced|toggle\s+(?:reduced|improved))\b", ("toggle",)),
+    ("unsupported_power_wording", r"\bpower\s+(?:reduced|improved)\b", ("power",)),
+)
+SOFT = r"\b(?:may|might|could|should|suggest(?:s|ed)?|potential(?:ly)?|not verified|unverified|without|unavailable)\b"
+
+
+def reset_rules() -> list[Rule]:
+    """TRI-3: what the prompt, the code and the testbench say of the reset against what the answer says."""
+    art = TASK["artifacts"]
+    blank = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    prompt = blank(F.when(TASK["prompt"].filled(), TASK["prompt"].text()).otherwise(art["lint_log"].text()))
+    code = blank(F.coalesce(*[F.when(art[k].nonempty(), art[k].text()) for k in ("rtl_code", "before_rtl_code", "after_rtl_code")]))
+    bench = blank(art["testbench"].text())
+    context, said = F.lower(F.concat_ws("\n", prompt, code, bench)), F.lower(ANSWER.json())
+    late, timed = context.rlike(r"\basynchronous\b") | context.contains("posedge areset"), code.rlike(r"(?i)always\s*@\s*\(\s*posedge\s+clk\s*\)") & ~F.lower(code).contains("posedge areset")
+    sync = context.rlike(r"\bsynchronous\b") | timed
+    says_sync, says_async = said.rlike(r"(?<!a)\bsynchronous(?:\s+\w+){0,2}\s+reset\b"), said.rlike(r"\basynchronous(?:\s+\w+){0,2}\s+reset\b")
+    alias = bench.rlike(r"(?i)(?:assign\s+)?areset\s*=\s*reset|(?:assign\s+)?reset\s*=\s*areset")
+    mode = lambda k: F.lower(bench).contains(f"reset_test({k}")
+    return [
+        Rule("reset_async_sync_contradiction", "answer", "important", late & says_sync),
+        Rule("reset_sync_async_contradiction", "answer", "important", sync & says_async),
+        Rule("testbench_reset_mode_contradiction", "answer", "important", (mode(1) & says_sync) | (mode(0) & says_async)),
+        Rule("reset_signal_name_uncertain", "answer", "minor", context.contains("areset") & ~said.contains("areset") & said.contains("reset") & ~alias),
+    ]
+
+
+def strong_wording(rows: DataFrame) -> DataFrame:
+    """TRI-2: (id, code) of strong wording in a string of the answer that has no softening, without a passed check."""
+    from siltstone.functions.json_text import leaves
+
+    checks = {t: passed(t) for t in V.TOOLS}
+    d = rows.select(ROW["id"].text().alias("id"), F.struct(*[c.alias(t) for t, c in checks.items()]).alias("ok"), F.explode(leaves(F.when(ANSWER.present(), ANSWER.json()))).alias("s"))
+    d = d.withColumn("s", F.lower("s")).where(~F.col("s").rlike(SOFT))
+    found = []
+    for code, pattern, tools in STRONG:
+        backed = F.lit(False)
+        for t in tools:
+            backed = backed | F.col(f"ok.{t}")
+        found.append(F.when(F.col("s").rlike(pattern) & ~backed, F.lit(code)))
+    return d.select("id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("code")).distinct()
+
+
 def triage(reviewed: DataFrame) -> DataFrame:
-    """Issues of reviewed rows, worst first: id, severity, code, field."""
+    """Issues of reviewed rows, worst first: id, severity, code, field; each code once a row."""
     text = F.lower(ANSWER.json())
-    hedged = r"may|might|could|not verified|unverified"
+    patch, safe = ANSWER["patch"], ANSWER["safe_optimization"]
+    resources = ANSWER["space_reasoning"]["hardware_resources_involved"].strings()
     rules = [
-        Rule("shape", "messages", "critical", ~ROW["messages"].is_list() | (F.size(ROW["messages"].items()) != 3)),
+        Rule("shape", "messages", "critical", ~ROW["messages"].is_list() | (F.size(ROW["messages"].items()) < 3)),
+        Rule("roles", "messages", "critical", ~(ROW["messages"][0]["role"].isin(["system"]) & ROW["messages"][1]["role"].isin(["user"]) & ROW["messages"][2]["role"].isin(["assistant"]))),
         Rule("swap", "messages", "critical", TASK["schema_version"].isin(V.ANSWER_SCHEMA) | ANSWER["schema_version"].isin(V.TASK_SCHEMA)),
         Rule("copy", "messages", "critical", TASK.json() == ANSWER.json(), None, TASK.present()),
         Rule("placeholder", "answer", "important", text.rlike(r"\btodo\b|\btbd\b|lorem ipsum|placeholder")),
-        Rule("strong_claim", "answer", "important", text.rlike(r"guarantee|proven|certainly|definitely") & ~text.rlike(hedged)),
+        Rule("strong_claim", "answer", "important", text.rlike(r"guarantee|proven|certainly|definitely") & ~text.rlike(r"may|might|could|not verified|unverified")),
         Rule("no_code", "artifacts", "important", ~_any_code()),
         Rule("no_testbench", "artifacts", "minor", ~TASK["artifacts"]["testbench"].filled()),
-        Rule("patch_state", "patch", "minor", ANSWER["patch"]["provided"].is_true() & ~ANSWER["patch"]["diff"].filled()),
+        Rule("patch_state", "patch", "minor", (patch["provided"].is_true() & ~patch["diff"].filled()) | (patch["provided"].is_false() & patch["diff"].filled())),
+        Rule("patch_style", "safe_optimization", "minor", patch["provided"].is_true() & safe["patch_style"].isin(["explanation_only"])),
+        Rule("repeated_resources", "space_reasoning", "minor", F.size(resources) > F.size(F.array_distinct(resources))),
+        *reset_rules(),
     ]
-    found = violations(reviewed.withColumn("id", ROW["id"].text()), rules, ["id"]).dropDuplicates(["id", "rule", "message"])
+    found = violations(reviewed.withColumn("id", ROW["id"].text()), rules, ["id"]).select("id", "severity", F.col("rule").alias("code"), "field")
+    found = found.union(strong_wording(reviewed).select("id", F.lit("important"), "code", F.lit("answer"))).dropDuplicates(["id", "code", "field"])
     rank = F.when(F.col("severity") == "critical", 0).when(F.col("severity") == "important", 1).otherwise(2)
-    return found.select("id", "severity", F.col("rule").alias("code"), "field").orderBy("id", rank, "code")
+    return found.orderBy("id", rank, "code")
 
 
 def _any_code():

@@ -20,18 +20,22 @@ class Rule:
     guard: Column | None = None
 
 
+def found(rules: list[Rule]) -> Column:
+    """The problems of a row, in the rules' order: an array of (rule, field, severity, message, ord)."""
+    each = []
+    for k, r in enumerate(rules):
+        when = r.when if r.guard is None else F.coalesce(r.guard, F.lit(False)) & r.when
+        message = r.message if isinstance(r.message, Column) else F.lit(r.message or r.rule)
+        each.append(F.when(when, F.struct(F.lit(r.rule).alias("rule"), F.lit(r.field).alias("field"), F.lit(r.severity).alias("severity"), message.alias("message"), F.lit(k).alias("ord"))))
+    return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+
 def violations(rows: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
     """One row per problem: the keys, rule, field, severity, message and the rule's place ``ord``.
 
     All rules are evaluated in one projection; a condition that is null reports nothing.
     """
-    found = []
-    for k, r in enumerate(rules):
-        when = r.when if r.guard is None else F.coalesce(r.guard, F.lit(False)) & r.when
-        message = r.message if isinstance(r.message, Column) else F.lit(r.message or r.rule)
-        found.append(F.when(when, F.struct(F.lit(r.rule).alias("rule"), F.lit(r.field).alias("field"), F.lit(r.severity).alias("severity"), message.alias("message"), F.lit(k).alias("ord"))))
-    each = F.explode(F.filter(F.array(*found), lambda x: x.isNotNull()))
-    return rows.select(*keys, each.alias("v")).select(*keys, "v.*")
+    return rows.select(*keys, F.explode(found(rules)).alias("v")).select(*keys, "v.*")
 
 
 def gate(rows: DataFrame, rules: list[Rule]) -> DataFrame:

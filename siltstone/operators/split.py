@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltstone.scratch import Scratch
+
 
 def bucket(seed: int, *columns: str, buckets: int = 100) -> Column:
     """A bucket from the first 32 bits of SHA-256 over seed and columns."""
@@ -45,21 +47,21 @@ def batches(rows: DataFrame, key: str, size: int, start: int = 0, limit: int | N
 
 
 def global_rank(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """rows with their 0-based place by key: ranks inside ranges, shifted by the counts of earlier ranges."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = rows.stat.approxQuantile(key, [i / parts for i in range(1, parts)], 0.01) if parts > 1 else []
-    share = F.lit(0)
-    for e in sorted(set(edges)):
-        share = share + F.when(F.col(key) > e, 1).otherwise(0)
-    shared = rows.withColumn("_share", share)
-    counts = {r["_share"]: r["count"] for r in shared.groupBy("_share").count().collect()}  # one per range
-    skip, total = [], 0
-    for k in sorted(counts):
-        skip += [F.lit(k), F.lit(total)]
-        total += counts[k]
-    inside = F.row_number().over(Window.partitionBy("_share").orderBy(key)) - 1
-    offset = F.create_map(*skip)[F.col("_share")] if skip else F.lit(0)
-    return shared.withColumn(name, inside + offset).drop("_share")
+    """rows with their 0-based place by key, of any type that sorts; equal keys come in any order, nulls first.
+
+    Rows are dealt by ranges of the key, sorted inside them and written with their place; the counts of
+    the ranges, one number each, shift the places.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = rows.repartitionByRange(parts, key).sortWithinPartitions(key)
+    placed = Scratch(spark, "rank").save(sorted_.withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()), "placed")
+    total, shifts = 0, []
+    for r in placed.groupBy("_range").agg(F.min("_place").alias("lo"), F.count("*").alias("n")).orderBy("_range").collect():  # one per range
+        shifts.append((r["_range"], total - r.lo))
+        total += r.n
+    table = spark.createDataFrame(shifts, "_range int, _shift long")
+    return placed.join(F.broadcast(table), "_range").withColumn(name, F.col("_place") + F.col("_shift")).select(*rows.columns, name)
 
 
 def largest_remainder(groups: DataFrame, size: str, ratios: list[tuple[str, int]]) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,29 +34,30 @@ s as (select lang, source, case when b < 80 then 'train' when b < 90 then 'val'
 select split, lang, count(*) as n_rows, count(distinct source) as n_sources from s group by split, lang
 """)
 def release_split_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.operators import keys, split
+
     docs = _t(spark, sf_dir, "documents").where("text IS NOT NULL AND length(trim(text)) > 0")
-    # first by fingerprint through an aggregate with map-side combine; a window would gather hot groups
-    firsts = docs.groupBy(F.sha2("text", 256).alias("fp")).agg(F.min(F.struct("doc_id", "lang", "source")).alias("d")).select("d.*")
-    bucket = F.expr("cast(conv(substr(sha2(concat('7:', source), 256), 1, 8), 16, 10) AS BIGINT) % 100")
-    split = F.when(bucket < 80, "train").when(bucket < 90, "val").otherwise("test")
-    return firsts.groupBy(split.alias("split"), "lang").agg(F.count("*").alias("n_rows"), F.countDistinct("source").alias("n_sources"))
+    firsts = keys.first_wins(docs.select(F.sha2("text", 256).alias("fp"), "doc_id", "lang", "source"), "fp", ["doc_id"])
+    return split.hash_split(firsts, "source", 7).groupBy("split", "lang").agg(F.count("*").alias("n_rows"), F.countDistinct("source").alias("n_sources"))
 
 
 @query("select sha256(text) as fp, count(*) as n, min(doc_id) as first_id from documents where text is not null group by 1 having count(*) > 1")
 def exact_duplicate_groups(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").where("text IS NOT NULL")
-    return d.groupBy(F.sha2("text", 256).alias("fp")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+    from siltstone.operators.duplicates import duplicate_groups
+
+    return duplicate_groups(_t(spark, sf_dir, "documents"), "text", "doc_id").withColumnRenamed("first", "first_id")
 
 
 @query("""
-with s as (select sha256(text) fp, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::UBIGINT % 10 b from documents where text is not null)
-select fp, count(distinct case when b < 8 then 'train' when b < 9 then 'val' else 'test' end) as n_splits, count(*) as n from s group by fp having count(*) > 1
+with s as (select sha256(text) fp, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::UBIGINT % 100 b from documents where text is not null),
+p as (select distinct fp, case when b < 80 then 'train' when b < 90 then 'val' else 'test' end split from s)
+select fp, string_agg(split, ',' order by split) as splits from p group by fp having count(*) > 1
 """)
 def cross_split_fingerprints(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").where("text IS NOT NULL")
-    b = F.expr("cast(conv(substr(sha2(concat('7:', doc_id), 256), 1, 8), 16, 10) AS BIGINT) % 10")
-    split = F.when(b < 8, "train").when(b < 9, "val").otherwise("test")
-    return d.groupBy(F.sha2("text", 256).alias("fp")).agg(F.countDistinct(split).alias("n_splits"), F.count("*").alias("n")).where("n > 1")
+    from siltstone.operators import duplicates, split
+
+    dealt = split.hash_split(_t(spark, sf_dir, "documents"), "doc_id", 7)
+    return duplicates.leaks(dealt, "text", "split").select("fp", F.array_join("splits", ",").alias("splits"))
 
 
 @query("select lang, count(distinct source) as n_sources, min(source) as first_source from documents group by lang having count(distinct source) > 1")
@@ -115,7 +115,11 @@ def enum_violations(spark, sf_dir):
 
 @query("select l_orderkey, count(*) as n, min(l_linenumber) as first_line from lineitem group by l_orderkey having count(*) > 1")
 def duplicate_ids(spark, sf_dir):
-    return _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.min("l_linenumber").alias("first_line")).where("n > 1")
+    from siltstone.operators.keys import duplicate_keys, first_wins
+
+    lines = _t(spark, sf_dir, "lineitem")
+    first = first_wins(lines.select("l_orderkey", "l_linenumber"), "l_orderkey", ["l_linenumber"]).withColumnRenamed("l_linenumber", "first_line")
+    return duplicate_keys(lines, "l_orderkey").join(first, "l_orderkey").select("l_orderkey", "n", "first_line")
 
 
 @query("select conv_id, string_agg(role, '>' order by turn) as roles from conversations group by conv_id")
@@ -144,29 +148,31 @@ def _scored(spark, sf_dir) -> DataFrame:
 
 
 @query("""
-select source, count(*) as n, avg(quality) as mean_score, median(quality) as median_score, min(quality) as min_score, max(quality) as max_score
+select source, count(*) as n, round(avg(quality), 6) as mean, median(quality)::DOUBLE as median, min(quality)::DOUBLE as min, max(quality)::DOUBLE as max
 from documents join labels using (doc_id) group by source
 """)
 def score_metrics_by_group(spark, sf_dir):
-    return _scored(spark, sf_dir).groupBy("source").agg(
-        F.count("*").alias("n"), F.avg("quality").alias("mean_score"), F.median("quality").alias("median_score"), F.min("quality").alias("min_score"), F.max("quality").alias("max_score")
-    )
+    from siltstone.operators.scoring import summary
+
+    return summary(_scored(spark, sf_dir).withColumn("score", F.col("quality").cast("double")), "source")
 
 
 @query("select doc_id from documents where doc_id not in (select doc_id from labels)")
 def missing_candidates(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id")
+    from siltstone.operators.keys import pending
+
+    return pending(_t(spark, sf_dir, "documents").select("doc_id"), _t(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("""
-with d as (select doc_id from documents where doc_id % 3 <> 0), l as (select doc_id from labels)
+with d as (select doc_id from documents where lang <> 'fr'), l as (select doc_id from labels)
 select coalesce(d.doc_id, l.doc_id) as id, case when l.doc_id is null then 'missing' when d.doc_id is null then 'extra' else 'matched' end as status
 from d full outer join l on d.doc_id = l.doc_id
 """)
 def reconcile_status(spark, sf_dir):
     from siltstone.operators.keys import reconcile
 
-    return reconcile(_t(spark, sf_dir, "documents").where("doc_id % 3 <> 0"), _t(spark, sf_dir, "labels"), "doc_id").withColumnRenamed("doc_id", "id")
+    return reconcile(_t(spark, sf_dir, "documents").where("lang <> 'fr'"), _t(spark, sf_dir, "labels"), "doc_id").withColumnRenamed("doc_id", "id")
 
 
 @query("""
@@ -198,45 +204,51 @@ with u as (select distinct event_type, user_id from events)
 select a.event_type as left_type, b.event_type as right_type, count(*) as shared from u a join u b using (user_id) group by 1, 2
 """)
 def pairwise_overlap(spark, sf_dir):
-    u = _t(spark, sf_dir, "events").select("event_type", "user_id").distinct()
-    # a user's distinct event types are a short list, so pairs are made inside the row
-    kinds = u.groupBy("user_id").agg(F.collect_set("event_type").alias("k"))
-    return kinds.select(F.explode("k").alias("left_type"), "k").select("left_type", F.explode("k").alias("right_type")).groupBy("left_type", "right_type").agg(F.count("*").alias("shared"))
+    from siltstone.plans.evaluate import compare_runs
+
+    return compare_runs(_runs(spark, sf_dir))["pairs"].toDF("left_type", "right_type", "shared")
+
+
+def _runs(spark, sf_dir) -> DataFrame:
+    """Event types as runs, users as ids, and their mean value as score."""
+    e = _t(spark, sf_dir, "events")
+    return e.groupBy(F.col("event_type").alias("run"), F.col("user_id").alias("id")).agg(F.avg("value").alias("score"))
 
 
 @query("""
-with r as (select distinct event_type, user_id from events where value > 95), a as (select distinct user_id from r), k as (select distinct event_type from r)
+with r as (select distinct event_type, user_id from events), a as (select distinct user_id from r), k as (select distinct event_type from r)
 select k.event_type, a.user_id from k cross join a where not exists (select 1 from r where r.event_type = k.event_type and r.user_id = a.user_id)
 """)
 def missing_by_run(spark, sf_dir):
-    r = _t(spark, sf_dir, "events").where("value > 95").select("event_type", "user_id").distinct()
-    kinds = r.agg(F.collect_set("event_type").alias("kinds"))  # a handful of run names
-    held = r.groupBy("user_id").agg(F.collect_set("event_type").alias("held"))
-    return held.join(F.broadcast(kinds)).select(F.explode(F.array_except("kinds", "held")).alias("event_type"), "user_id")
+    from siltstone.plans.evaluate import compare_runs
+
+    return compare_runs(_runs(spark, sf_dir))["missing"].toDF("event_type", "user_id")
 
 
 @query("""
 with m as (select user_id, event_type, avg(value) v from events group by 1, 2)
-select user_id, max(v) - min(v) as spread from m group by user_id order by spread desc, user_id limit 20
+select user_id, max(v) - min(v) as spread, count(*) as n_runs from m group by user_id having count(*) > 1 order by spread desc, user_id limit 20
 """)
 def score_spread(spark, sf_dir):
-    m = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.avg("value").alias("v"))
-    return m.groupBy("user_id").agg((F.max("v") - F.min("v")).alias("spread")).orderBy(F.desc("spread"), "user_id").limit(20)
+    from siltstone.plans.evaluate import compare_runs
+
+    return compare_runs(_runs(spark, sf_dir))["spread"].toDF("user_id", "spread", "n_runs")
 
 
-@query("select doc_id, quality - toxic as score from documents join labels using (doc_id) order by score, doc_id limit 10")
+@query("select doc_id as id, quality - toxic as score from documents join labels using (doc_id) order by score, doc_id limit 10")
 def weakest_rows(spark, sf_dir):
-    return _scored(spark, sf_dir).select("doc_id", (F.col("quality") - F.col("toxic")).alias("score")).orderBy("score", "doc_id").limit(10)
+    from siltstone.plans.evaluate import weakest
+
+    return weakest(_scored(spark, sf_dir).select(F.col("doc_id").alias("id"), (F.col("quality") - F.col("toxic")).alias("score")))
 
 
 @query("""
-select source, avg(quality) as mean_score, sum(toxic)::BIGINT as failures,
-  row_number() over (order by avg(quality) desc, sum(toxic), source) as place from documents join labels using (doc_id) group by source
+select source as run, avg(quality) as mean, sum(toxic)::BIGINT as failures from documents join labels using (doc_id) group by source
 """)
 def leaderboard(spark, sf_dir):
-    m = _scored(spark, sf_dir).groupBy("source").agg(F.avg("quality").alias("mean_score"), F.sum("toxic").alias("failures"))
-    # one row for each run name: a short table
-    return m.withColumn("place", F.row_number().over(Window.orderBy(F.desc("mean_score"), "failures", "source")).cast("long"))
+    from siltstone.plans import evaluate
+
+    return evaluate.leaderboard(_scored(spark, sf_dir).select(F.col("source").alias("run"), F.col("quality").alias("score"), F.col("toxic").alias("failures")))
 
 
 @query("""
@@ -294,11 +306,11 @@ def priority_dedup(spark, sf_dir):
     return tag_best(d, "fp", ["tier", "doc_id"]).where("size > 1").select("fp", "doc_id", "tier", "kept")
 
 
-@query("select doc_id from documents where doc_id % 4 = 1 and doc_id not in (select doc_id from labels)")
+@query("select doc_id from documents where lang = 'de' and doc_id not in (select doc_id from labels)")
 def resume_pending(spark, sf_dir):
     from siltstone.operators.keys import pending
 
-    return pending(_t(spark, sf_dir, "documents").where("doc_id % 4 = 1").select("doc_id"), _t(spark, sf_dir, "labels"), "doc_id")
+    return pending(_t(spark, sf_dir, "documents").where("lang = 'de'").select("doc_id"), _t(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("""
@@ -321,22 +333,35 @@ def token_counts(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", F.size(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), 0)).alias("n_tokens"))
 
 
-@query("""
-select case when regexp_matches(lower(text), 'license|copyright') then 'legal' when regexp_matches(text, '[#$%&]{3}') then 'symbols' else 'prose' end as family, count(*) as n from documents group by 1
-""")
+def _family_sql() -> str:
+    from siltstone.functions.rtl import FAMILIES
+
+    return "case " + " ".join(f"when regexp_matches(lower(text), '{p}') then '{k}'" for k, p in FAMILIES) + " else 'general_rtl' end"
+
+
+@query(f"select {_family_sql()} as family, count(*) as n from documents group by 1")
 def family_classifier(spark, sf_dir):
-    family = F.when(F.lower("text").rlike("license|copyright"), "legal").when(F.col("text").rlike("[#$%&]{3}"), "symbols").otherwise("prose")
-    return _t(spark, sf_dir, "documents").groupBy(family.alias("family")).agg(F.count("*").alias("n"))
+    from siltstone.functions.rtl import design_family
+
+    return _t(spark, sf_dir, "documents").groupBy(design_family(F.coalesce("text", F.lit(""))).alias("family")).agg(F.count("*").alias("n"))
 
 
-@query("select doc_id, sha256(substr(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'), 1, 120)) as preview from documents")
+@query("""
+with p as (select doc_id, regexp_replace(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g'), '^ | $', '', 'g') t from documents)
+select doc_id, sha256(substr(t, 1, 120) || case when length(t) > 120 then '...' else '' end) as preview from p
+""")
 def whitespace_preview(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(F.substring(F.regexp_replace("text", "[ \t\n\r]+", " "), 1, 120), 256).alias("preview"))
+    from siltstone.functions.rtl import preview
+
+    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(preview(F.col("text")), 256).alias("preview"))
 
 
 @query("select event_id, json_extract_string(props, '$.k') as k from events")
 def json_field(spark, sf_dir):
-    return _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    from siltstone.functions.variant import Node
+
+    e = _t(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
+    return e.select("event_id", Node("v")["k"].as_("string").alias("k"))
 
 
 @query("select doc_id, item_id from documents join benchmark on instr(documents.text, benchmark.text) > 0")
@@ -372,38 +397,41 @@ def ratio_split_sizes(spark, sf_dir):
 
 @query()
 def near_duplicate_pairs(spark, sf_dir):
-    """Pairs of benchmark texts with a matching ratio of at least 0.95."""
+    """Pairs of nation names with a matching ratio of at least 0.6."""
     from siltstone.operators.near import near_pairs
 
-    return near_pairs(_t(spark, sf_dir, "benchmark"), "item_id", "text", 0.95)
-
-
-@query()
-def unnegated_claims(spark, sf_dir):
-    """Documents that speak of permission without a denial before it."""
-    from siltstone.functions.claims import unnegated_claim
-
-    d = _t(spark, sf_dir, "documents").where(F.lower("text").rlike(r"\bpermission\b"))
-    return d.select("doc_id", unnegated_claim("text", F.lit(r"\bpermission\b")).alias("claimed"))
+    return near_pairs(_t(spark, sf_dir, "nation"), "n_nationkey", "n_name", 0.6)
 
 
-@query()
+@query("select doc_id, sha256(regexp_replace(text, '\\bthe\\b', 'this')) as fp from documents where regexp_matches(text, '\\bthe\\b')")
 def first_match_mutation(spark, sf_dir):
-    """The first 'the' of each document changed, by hash of the result."""
+    """The first 'the' of each document changed, by hash of the result; documents without one are left out."""
     from siltstone.operators.mutate import first_edit
 
-    return _t(spark, sf_dir, "documents").select("doc_id", F.sha2(first_edit(F.col("text"), r"\bthe\b", F.lit("this")), 256).alias("fp"))
+    changed = first_edit(F.col("text"), r"\bthe\b", F.lit("this"))
+    return _t(spark, sf_dir, "documents").where(changed.isNotNull()).select("doc_id", F.sha2(changed, 256).alias("fp"))
 
 
-@query()
+@query("select event_id, sha256(json(props)) as fp from events")
 def canonical_json_hash(spark, sf_dir):
     from siltstone.functions.json_text import canonical_sha256
 
     return _t(spark, sf_dir, "events").select("event_id", canonical_sha256("props").alias("fp"))
 
 
-@query()
+@query("""
+select event_id, case event_id % 3 when 0 then 'parsed_json' when 1 then 'extracted_json' else 'parse_failed' end as status, case when event_id % 3 < 2 then json(props)::VARCHAR end as answer from events
+""")
 def lenient_json(spark, sf_dir):
-    from siltstone.functions.json_text import lenient_object
+    """Model outputs made of the events' properties: alone, within other text, and as a list."""
+    from siltstone.functions.json_text import parsed_output
+
+    kind = F.col("event_id") % 3
+    text = F.when(kind == 0, F.col("props")).when(kind == 1, F.concat(F.lit("Here {is} it:\n"), "props", F.lit("\ndone"))).otherwise(F.concat(F.lit("["), "props", F.lit("]")))
+    return _t(spark, sf_dir, "events").select("event_id", parsed_output(text).alias("p")).select("event_id", "p.status", "p.answer")
+
+
+from siltstone.plans import operator_queries  # noqa: E402
 
-    return _t(spark, sf_dir, "pages").select("page_id", lenient_object("html").alias("found"))
+QUERIES |= operator_queries.QUERIES
+SQL |= operator_queries.SQL

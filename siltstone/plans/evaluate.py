@@ -20,7 +20,7 @@ def load_candidates(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def evaluate(dataset: DataFrame, candidates: DataFrame) -> dict[str, DataFrame]:
-    """dataset (id, task, signals, modules, failures, errors) against candidates (id, answer).
+    """Dataset rows (id, v) against candidates (id, answer).
 
     results: scored matches; missing and extra ids; metrics over the results.
     """

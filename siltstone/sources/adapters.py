@@ -106,7 +106,15 @@ def directory(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return wide.where(F.size("errors") == 0).drop("errors"), wide.where(F.size("errors") > 0).select("source_id", "errors")
 
 
-ADAPTERS = {"manifest": manifest, "export": export, "directory": directory}
+def problems(spark: SparkSession, path: str):
+    """SRC-6: benchmark problems by the shape of ``path``: a folder with a manifest.jsonl, a JSON lines file, or a folder of prompt, reference and test files."""
+    if path.endswith((".json", ".jsonl")):
+        return manifest(spark, path) if path.rsplit("/", 1)[-1].startswith("manifest") else export(spark, path)
+    inside = f"{path.rstrip('/')}/manifest.jsonl"
+    return manifest(spark, inside) if jsonl._exists(spark, inside) else directory(spark, path)
+
+
+ADAPTERS = {"manifest": manifest, "export": export, "directory": directory, "verilog_eval": problems, "rtllm": manifest, "rtlfixer": manifest}
 
 
 def adapter(name: str):

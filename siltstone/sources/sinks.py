@@ -63,13 +63,16 @@ def csv_text(rows: list[dict], columns: list[str]) -> str:
 
 
 def safe_name(key: str, suffix: str = ".txt") -> str:
-    """At most 80 safe characters of the key, a dash, and ten hex digits of its SHA-256."""
-    return re.sub(r"[^A-Za-z0-9._-]+", "_", key)[:80] + "-" + sha256(key.encode()).hexdigest()[:10] + suffix
+    """A file name for any key: safe characters, 80 at most, and ten of its hash."""
+    stem = re.sub(r"[^A-Za-z0-9._-]+", "_", key).strip("._-") or "row"
+    return f"{stem[:80]}-{sha256(key.encode()).hexdigest()[:10]}{suffix}"
 
 
 def safe_name_column(key: str, suffix: str = ".txt") -> Column:
-    """``safe_name`` as a column expression."""
-    return F.concat(F.substring(F.regexp_replace(key, r"[^A-Za-z0-9._-]+", "_"), 1, 80), F.lit("-"), F.substring(F.sha2(key, 256), 1, 10), F.lit(suffix))
+    """The same as an expression."""
+    stem = F.regexp_replace(F.regexp_replace(key, r"[^A-Za-z0-9._-]+", "_"), r"^[._-]+|[._-]+$", "")
+    stem = F.when(stem == "", "row").otherwise(F.substring(stem, 1, 80))
+    return F.concat(stem, F.lit("-"), F.substring(F.sha2(key, 256), 1, 10), F.lit(suffix))
 
 
 class OutputGuard:

@@ -43,3 +43,10 @@ ANSWER_FIELDS = (
     "schema_version", "task_type", "issue_summary", "time_reasoning", "space_reasoning", "safe_optimization", "functional_risk",
     "verification_plan", "claim_levels", "patch",
 )
+BLOCKS = ("always_ff", "always_comb", "always", "assign", "case")
+SCHEMA_PAIR = "rtl_task_v0.1_to_rtl_answer_v0.1"
+TEACHER_FIELDS = (
+    "schema_version", "source_id", "task_type", "issue_summary", "time_reasoning", "space_reasoning", "safe_optimization",
+    "functional_risk", "verification_plan", "claim_levels", "evidence_used", "limitations",
+)
+GENERIC_TEXT = ("requires review", "draft seed", "baseline", "no optimization effect", "not verified during import")

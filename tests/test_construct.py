@@ -16,7 +16,7 @@ def test_constructors(spark, tmp_path):
     path.write_text("\n".join(map(json.dumps, [{"Instruction": "make a fifo", "Response": [CODE]}, {"Instruction": " ", "Response": [CODE, "module two; endmodule"]}, {"prompt": "x", "Response": ""}])))
     index = construct.index_rows(jsonl.scan(spark, str(path))).cache()
     got = {x.line: x for x in index.collect()}
-    assert got[1].source_id == "rtlcoder_resyn27k_000001" and got[1].rough_design_family == "fifo" and got[2].detected_module_names == ["top", "two"] and "missing_instruction" in got[2].import_warnings
+    assert got[1].source_id == "rtlcoder_resyn27k_000001" and got[1].rough_design_family == "fifo" and got[2].detected_module_names == ["top", "two"] and "empty_instruction" in got[2].import_warnings
     good, skipped = construct.tasks(index)
     assert [x.source_id for x in good.collect()] == ["rtlcoder_resyn27k_000001_reference"] and {x.reason for x in skipped.collect()} == {"multiple_modules", "missing_rtl"}
     m = construct.merge_tasks_answers(spark.createDataFrame([("a", 1), ("b", 2)], "source_id string, t int"), spark.createDataFrame([("a", 1), ("c", 2)], "source_id string, x int"))
@@ -31,12 +31,12 @@ def test_constructors(spark, tmp_path):
 
 def test_audit_repair_assemble(spark):
     good = row()["messages"][2]["content"] | {"source_id": "s", "evidence_used": [], "limitations": []}
-    rows = [("draft/a.json", json.dumps([good, good | {"source_id": "t"}])), ("repaired/b.json", json.dumps([good | {"schema_version": "rtl_answer.v0.1"}])), ("c.json", json.dumps([good, {}]))]
+    rows = [("x/a.json", json.dumps([good, good | {"source_id": "t"}])), ("repaired/b.json", json.dumps([good | {"schema_version": "rtl_answer.v0.1"}])), ("c.json", json.dumps([good, {}]))]
     answers = jsonl.payload_rows(spark.createDataFrame(rows, "file string, raw string")).cache()
     issues = {(r.file, r.row_index, r.rule) for r in audit.audit(answers).collect()}
-    assert ("draft/a.json", 0, "schema_alias") in issues and ("c.json", 1, "missing_source_id") in issues and not any(f == "repaired/b.json" for f, _, _ in issues)
+    assert ("x/a.json", 0, "schema_alias") in issues and ("c.json", 1, "missing_source_id") in issues and not any(f == "repaired/b.json" for f, _, _ in issues)
     chosen, others = audit.assemble(answers)
-    assert {(r.source_id, r.file) for r in chosen.collect()} == {("s", "repaired/b.json"), ("t", "draft/a.json")}
+    assert {(r.source_id, r.file) for r in chosen.collect()} == {("s", "repaired/b.json"), ("t", "x/a.json")}
     assert sorted(r.relation for r in others.collect()) == ["conflicting", "conflicting"]
     once = answers.select(audit.repair(F.to_json("item")).alias("t"))
     assert once.exceptAll(once.select(audit.repair(F.col("t")).alias("t"))).count() == 0

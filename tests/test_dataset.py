@@ -105,30 +105,65 @@ def test_split_families_meets_ratios():
 
 def test_scores(spark):
     good = row()["messages"][2]["content"] | {"source_id": "s", "evidence_used": [], "limitations": []}
-    task = row()["messages"][1]["content"]
-    rows = [("a", json.dumps(good), 0, 0), ("b", json.dumps(good), 1, 1), ("c", "{}", 0, 0)]
-    d = spark.createDataFrame(rows, "id string, j string, failures int, errors int").select("id", F.parse_json("j").alias("answer"), F.parse_json(F.lit(json.dumps(task))).alias("task"), F.array(F.lit("q")).alias("signals"), F.array(F.lit("top")).alias("modules"), "failures", "errors")
-    got = {r.id: r.score for r in scoring.score_answers(d).collect()}
-    assert got["a"] > 0.8 and got["b"] == 0.25 and got["c"] < 0.4
-    s = scoring.summary(scoring.score_answers(d.limit(0))).first()
+    claims_ = copy.deepcopy(good)
+    claims_["functional_risk"] = ["it reduces power"]
+    bare = {k: v for k, v in good.items() if k != "limitations"}
+    cases = {"good": good, "claims": claims_, "bare": bare, "other": good | {"task_type": "rtl_area_activity_review"}, "empty": {}, "list": []}
+    d = spark.createDataFrame([(k, json.dumps(row()), json.dumps(a)) for k, a in cases.items()], "id string, r string, j string").select("id", F.parse_json("r").alias("v"), F.parse_json("j").alias("answer"))
+    got = {r.id: r for r in scoring.score_answers(d).collect()}
+    # worked by hand: all of schema and grounding, nothing of reasoning, two of five steps, the whole of the rest
+    assert (got["good"].schema, got["good"].grounding, got["good"].reasoning, got["good"].verification, got["good"].alignment) == (0.2, 0.25, 0.0, 0.04, 0.05)
+    assert got["good"].errors == 0 and got["good"].score == 0.74
+    # one claim, reported by the claims and by the rules: two failures of 0.05
+    assert got["claims"].failures == 2 and got["claims"].claim_safety == 0.1 and got["claims"].score == 0.25
+    assert got["bare"].schema == round(0.2 * 4 / 6, 6) and got["bare"].score == 0.25
+    assert got["other"].alignment == 0.0 and got["other"].score == 0.25 and got["list"].score == 0.0
+    s = scoring.summary(spark.createDataFrame([], "score double")).first()
     assert (s.n, s["mean"], s["max"]) == (0, 0.0, 0.0)
 
 
 def test_mutations(spark):
-    code = CODE + "\nassign y = sel ? a : b; // cnt < 5\nassign z = a << 2;"
+    code = CODE + "\nassign y = sel ? a : b; // my_cnt < 5\nassign z = a << 2;"
     d = spark.createDataFrame([(1, code), (2, "nothing"), (3, None)], "id int, code string")
-    got = {r.bug_type: r.mutated for r in mutate.mutate(d, "id", "code", 9).collect()}
-    assert "if (rst_n)" in got["wrong_reset_polarity"] and "sel ? b : a" in got["wrong_mux_select_polarity"]
-    assert "cnt <= 5" in got["off_by_one_counter_limit"] and "a >> 2" in got["shift_direction_flip"] and "q = 0" in got["blocking_nonblocking_swap"]
-    assert all(x != code for x in got.values())
+    rows = mutate.mutate(d, "id", "code", 9).collect()
+    got = {r.bug_type: r.mutated for r in rows}
+    assert "if (rst_n)" in got["wrong_reset_polarity"] and "!sel ? a : b" in got["wrong_mux_select_polarity"]
+    assert "my_cnt <= 5" in got["off_by_one_counter_limit"] and "a >> 2" in got["shift_direction_flip"] and "q = 0" in got["blocking_nonblocking_swap_in_clocked_block"]
+    assert all(x != code for x in got.values()) and {r.bug_type: r.signals for r in rows}["shift_direction_flip"] == ["z"]
     one = mutate.mutate(d, "id", "code").collect()
     assert len(one) == 1 and one == mutate.mutate(d, "id", "code").collect()
+    assert mutate.mutate(d, "id", "code", 9, limit=2).count() == 2
+
+
+def test_distilled_rows(spark, tmp_path):
+    task = row()["messages"][1]["content"] | {"source_id": "s", "source_dataset": "d"}
+    answer = {k: v for k, v in row()["messages"][2]["content"].items() if k != "patch"} | {"source_id": "s", "evidence_used": [], "limitations": []}
+    pilot = row(review_status="teacher_distilled_unreviewed", source="teacher_generated", dataset_stage="teacher_distill_pilot", approval_status="not_approved", schema_pair=V.SCHEMA_PAIR, promotion_allowed=False, dataset_name="n", split_seed=7, source_id="s", source_family="d")
+    pilot["messages"][1]["content"], pilot["messages"][2]["content"] = task, answer
+    changed = {
+        "D-01": {"dataset_stage": "x"}, "D-02": {"approval_status": "approved"}, "D-03": {"source": "public_rtllm"}, "D-04": {"source_family": ""}, "D-05": {"source_family": "e"}, "D-06": {"schema_pair": "x"},
+        "D-07": {"promotion_allowed": None}, "D-08": {"dataset_name": ""}, "D-09": {"split_seed": "7"}, "D-10": {"id": "golden_x"}, "D-12": {"source_id": "t"},
+    }
+    rows = [pilot, *(copy.deepcopy(pilot) | c for c in changed.values())]
+    for k, r in enumerate(rows):
+        r["id"] = r["id"] if r["id"] == "golden_x" else f"r{k}"
+    leak, claim = copy.deepcopy(pilot) | {"id": "leak"}, copy.deepcopy(pilot) | {"id": "claim"}
+    leak["messages"][1]["content"]["design_context"] = {"x": [{"schema_version": "rtl_answer_v0.1"}]}
+    claim["messages"][2]["content"]["limitations"] = ["passed simulation"]
+    got = {}
+    for r in found(spark, tmp_path, [*rows, leak, claim]).where("rule LIKE 'D-%'").collect():
+        got.setdefault(r.row_id, set()).add(r.rule)
+    assert "r0" not in got and got["leak"] == {"D-13"} and got["claim"] == {"D-14"}
+    for k, rule in enumerate(changed, 1):
+        assert rule in got["golden_x" if rule == "D-10" else f"r{k}"], rule
 
 
 @pytest.mark.parametrize("n", [0, 1, 7])
 def test_batches_and_ranks(spark, n):
     from siltstone.operators.split import batches, global_rank
 
+    words = spark.createDataFrame([(f"w{k:03d}",) for k in range(n)], "k string")
+    assert sorted((r.r, r.k) for r in global_rank(words, "k", "r").collect()) == [(k, f"w{k:03d}") for k in range(n)]
     d = spark.createDataFrame([(k * 3,) for k in range(n)], "k long")
     assert sorted(r.r for r in global_rank(d, "k", "r").collect()) == list(range(n))
     assert sorted(r.batch_index for r in batches(d, "k", 3, 1).collect()) == [i // 3 for i in range(max(0, n - 1))]

@@ -41,7 +41,7 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "o/x.jsonl").read_text() == '{"é":2}\n{"b":1}\n'
     key = "a b/c" * 40
     name = spark.createDataFrame([(key,)], "k string").select(sinks.safe_name_column("k")).first()[0]
-    assert name == sinks.safe_name(key) and len(name) == 95
+    assert name == sinks.safe_name(key) and len(name) == 95 and sinks.safe_name("..//--") .startswith("row-")
     guard = sinks.OutputGuard("tool")
     (tmp_path / "o/m.json").write_text(json.dumps({"created_by": "tool"}))
     assert guard.problems(str(tmp_path / "o"), ["m.json"]) == ["m.json exists"]
@@ -51,13 +51,14 @@ def test_sinks(spark, tmp_path):
     assert sinks.csv_text([{"a": 1, "b": 2}], ["a"]) == "a\n1\n"
 
 
-def test_negation_window():
-    assert claims.has_unnegated("this is verified correct")
-    assert not claims.has_unnegated("it was not verified correct")
-    assert not claims.has_unnegated("without a run, the design cannot be called verified correct")
-    assert claims.has_unnegated("it does not work. correctness is verified")
-    assert claims.has_unnegated("not verified correct. later: " + "x" * 200 + " proven correct")
-    assert not claims.has_unnegated("nothing")
+def test_negation_window(spark):
+    cases = {
+        "this is verified correct": True, "it was not verified correct": False, "without a run, the design cannot be called verified correct": False,
+        "it does not work. correctness is verified": True, "not verified correct. later: " + "x" * 200 + " proven correct": True, "nothing": False, "": False,
+    }
+    d = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = {r.t: r.c for r in d.select("t", claims.unnegated_claim(F.col("t")).alias("c")).collect()}
+    assert got == cases | {None: False}
 
 
 def test_claims(spark):
@@ -75,7 +76,7 @@ def test_rtl(spark):
     c = F.col("c")
     r = d.select(rtl.module_mentions(c), rtl.module_names(c), rtl.is_substantive(c), rtl.port_names(c), rtl.import_warnings(F.lit("x"), c), rtl.design_family(F.lit("A FIFO counter")), rtl.preview(F.lit("a  b " * 60))).collect()
     assert r[0][0] == ["ghost", "top", "top", "two"] and r[0][1] == ["top", "two"] and r[0][2] and r[0][3] == ["a", "b", "y"]
-    assert not r[1][2] and "very_short_rtl" in r[1][4] and r[2][4] == ["missing_rtl"] and r[0][5] == "fifo" and len(r[0][6]) == 120
+    assert not r[1][2] and "very_short_rtl" in r[1][4] and r[2][4] == ["empty_rtl", "no_detected_module", "very_short_rtl"] and r[0][5] == "counter" and len(r[0][6]) == 123
 
 
 def test_json_text(spark):

@@ -63,7 +63,7 @@ def test_evaluate_and_compare(spark, tmp_path):
     s = scan(spark, tmp_path, [{"id": "a", "answer": {}}, {"id": "a", "answer": {}}, {"id": "", "answer": {}}, {"id": "b", "answer": []}, {"id": "z", "answer": {}}])
     good, bad = evaluate.load_candidates(s)
     assert sorted(r.id for r in good.collect()) == ["a", "z"] and sorted(r.line for r in bad.collect()) == [2, 3, 4]
-    data = spark.createDataFrame([("a",), ("c",)], "id string").select("id", F.parse_json(F.lit("{}")).alias("task"), F.array().cast("array<string>").alias("signals"), F.array().cast("array<string>").alias("modules"), F.lit(0).alias("failures"), F.lit(0).alias("errors"))
+    data = spark.createDataFrame([("a", json.dumps(row(1))), ("c", json.dumps(row(2)))], "id string, r string").select("id", F.parse_json("r").alias("v"))
     out = evaluate.evaluate(data, good)
     assert [r.id for r in out["missing"].collect()] == ["c"] and [r.id for r in out["extra"].collect()] == ["z"] and out["metrics"].first().n == 1
     runs = spark.createDataFrame([("x", "1", 0.5, 0), ("y", "1", 0.9, 1), ("x", "2", 0.1, 0)], "run string, id string, score double, failures int")
@@ -76,9 +76,14 @@ def test_evaluate_and_compare(spark, tmp_path):
 def test_inventory(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw/a.jsonl").write_text('{"id": "1"}\n\n{"id": "2"}')
-    (tmp_path / "answers.jsonl").write_text('{"source_id": "1"}')
-    (tmp_path / "copy.jsonl").write_text('{"source_id": "1"}')
+    (tmp_path / "answers.jsonl").write_text('{"source_id": "1", "schema_version": "rtl_answer_v0.1"}')
+    (tmp_path / "copy.jsonl").write_text('{"source_id": "1", "schema_version": "rtl_answer_v0.1"}')
+    (tmp_path / "t.json").write_text('{"rows": [{"source_id": "rtlcoder_1", "schema_version": "rtl_task_v0.1"}, 3]}')
     f = workspace.inventory(spark, str(tmp_path)).cache()
-    got = {r.path.rsplit("/", 1)[1]: (r.role, r.n_rows) for r in f.collect()}
-    assert got["a.jsonl"] == ("raw_source", 2) and got["answers.jsonl"][0] == "answers"
+    got = {r.path: (r.role, r.container, r.n_rows, r.n_bad, r.dataset) for r in f.collect()}
+    assert got["raw/a.jsonl"] == ("raw_source", "jsonl", 2, 0, "unknown") and got["answers.jsonl"][0] == "assembled_answer_jsonl"
+    assert got["t.json"] == ("normalized_task", "rows_wrapper", 1, 1, "rtlcoder")
     assert workspace.duplicates(f).count() == 1 and [tuple(r) for r in workspace.shared_ids(f).collect()] == [("1", 3)]
+    assert [tuple(r) for r in workspace.safe_to_archive(f).collect()] == [("copy.jsonl", "answers.jsonl")]
+    moves = {r.path: r.new_path for r in workspace.cleanup_plan(f).collect()}
+    assert moves == {"answers.jsonl": "answers/assembled/answers.jsonl", "copy.jsonl": "answers/assembled/copy.jsonl", "t.json": "normalized/tasks/t.json", "raw/a.jsonl": "raw/internal/a.jsonl"}
