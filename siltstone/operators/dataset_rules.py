@@ -240,7 +240,7 @@ def distill_rules() -> list[Rule]:
     ]
     rules = [Rule(k, f, "error", w, None, on) for k, f, w in tests]
     answered = teacher.answer_rules(ANSWER, TASK, on)
-    return rules + [Rule("D-14", f"messages[2].content.{r.field}", "error", r.when, r.message or r.rule, on if r.guard is None else on & r.guard) for r in answered]
+    return rules + [Rule("D-14", f"messages[2].content.{r.field}", "error", r.when, r.message if r.message is not None else r.rule, on if r.guard is None else on & r.guard) for r in answered]
 
 
 def row_findings() -> Column:

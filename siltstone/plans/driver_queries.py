@@ -216,13 +216,15 @@ def _runs(spark, sf_dir) -> DataFrame:
 
 
 @query("""
-with r as (select distinct event_type, user_id from events), a as (select distinct user_id from r), k as (select distinct event_type from r)
-select k.event_type, a.user_id from k cross join a where not exists (select 1 from r where r.event_type = k.event_type and r.user_id = a.user_id)
+with r as (select distinct o_orderpriority run, o_custkey id from orders), a as (select distinct id from r), k as (select distinct run from r)
+select k.run, a.id from k cross join a where not exists (select 1 from r where r.run = k.run and r.id = a.id)
 """)
 def missing_by_run(spark, sf_dir):
+    """Order priorities as runs, customers as ids."""
     from siltstone.plans.evaluate import compare_runs
 
-    return compare_runs(_runs(spark, sf_dir))["missing"].toDF("event_type", "user_id")
+    orders = _t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("run"), F.col("o_custkey").alias("id")).agg(F.avg("o_totalprice").cast("double").alias("score"))
+    return compare_runs(orders)["missing"]
 
 
 @query("""
