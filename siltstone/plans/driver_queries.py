@@ -336,9 +336,14 @@ def token_counts(spark, sf_dir):
 
 
 def _family_sql() -> str:
+    """DuckDB's word boundary knows ASCII letters only, so that of other letters is spelled out."""
+    import re
+
     from siltstone.functions.rtl import FAMILIES
 
-    return "case " + " ".join(f"when regexp_matches(lower(text), '{p}') then '{k}'" for k, p in FAMILIES) + " else 'general_rtl' end"
+    edge = r"[^\p{L}\p{N}_]"
+    spelled = lambda p: re.sub(r"\\b(.+?)\\b", lambda m: f"(?:^|{edge}){m[1]}(?:{edge}|$)", p)
+    return "case " + " ".join(f"when regexp_matches(lower(text), '{spelled(p)}') then '{k}'" for k, p in FAMILIES) + " else 'general_rtl' end"
 
 
 @query(f"select {_family_sql()} as family, count(*) as n from documents group by 1")
