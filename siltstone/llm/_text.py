@@ -238,11 +238,3 @@ def slices(batches, most: int = 2 << 20, column: str = "text"):
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
-
-
-def free_name(columns: list[str], name: str) -> str:
-    """``name``, or with underscores before it, as a name that no column has."""
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name

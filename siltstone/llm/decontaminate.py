@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import _text as T
+from siltstone.llm._columns import quoted
 from siltstone.scratch import Scratch
 
 SPAN, IDENTITY, COVER, INDEX = 12, 0.8, 13, 2_000_000
@@ -176,4 +177,4 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any match, with all their columns; rows without doc_id stay."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
     bad = scratch.save(overlaps(docs, items).select("doc_id").distinct(), "bad")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(bad, "doc_id", "left_anti").select(quoted(docs.columns))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import _text as T
+from siltstone.llm._columns import quoted
 from siltstone.llm.components import components
 from siltstone.scratch import Scratch
 
@@ -204,7 +205,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     if twice.limit(1).count():
         again = out.join(bounded(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         out = out.join(bounded(twice), "doc_id", "left_anti").unionByName(again)
-    return out.select(docs.columns)
+    return out.select(quoted(docs.columns))
 
 
 def bounded(ids: DataFrame) -> DataFrame:

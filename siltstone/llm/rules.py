@@ -17,6 +17,7 @@ from math import exp, floor, lgamma, log
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm._columns import quoted
 from siltstone.scratch import Scratch
 
 WS = r"[\x20\x09-\x0D]+"
@@ -143,7 +144,7 @@ def select(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
     written beside the rows, so that no text is shuffled to meet its verdict.
     """
     scratch = Scratch(docs.sparkSession, "rules")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    row = F.struct(*quoted(docs.columns)).alias("row")
     m = _measured(docs.select(row, _lang(docs), F.coalesce("text", F.lit("")).alias("text")), ["row", "lang"]).withColumns(_base())
     m = scratch.save(m.drop("lang"), "measured")
     chosen = cutoffs(m.select(F.col("row.doc_id").alias("doc_id"), *(c for c in m.columns if c != "row")), labels, alpha, delta)

@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from siltstone.llm import _text as T
+from siltstone.llm._columns import quoted
 from siltstone.scratch import Scratch
 
 ROUNDS = 4
@@ -278,24 +280,26 @@ def cut_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     copies = facts.where("copy").select("doc_id")
     gone = scratch.save(copies.union(removed.select("doc_id")).distinct(), "gone")
     small = gone.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES
-    same = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(docs.columns)
+    same = docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(quoted(docs.columns))
     columns = docs.columns
     text = columns.index("text")
-    mine = T.free_name(columns, "starts")
+    plain = [f"c{k}" for k in range(len(columns))]  # Arrow functions take no names with dots
 
     def cut(batches):
-        for b in T.slices(batches):
+        for b in T.slices(batches, column=plain[text]):
             texts = [_cut(t.encode(), np.asarray(s.values), size) for t, s in zip(b.column(text).to_pylist(), b.column(len(columns)))]
             out = list(b.columns[: len(columns)])
             out[text] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(out, columns)
+            yield pa.RecordBatch.from_arrays(out, plain)
 
-    changed = _affected(docs.where("doc_id IS NOT NULL"), removed).join(removed.withColumnRenamed("starts", mine), "doc_id").select(*(f"`{c}`" for c in columns), mine)
-    changed = changed.mapInArrow(T.frugal(cut), docs.schema)
+    lost = removed.select(F.col("doc_id").alias("of"), F.col("starts").alias("lost"))
+    changed = _affected(docs.where("doc_id IS NOT NULL"), removed).select(quoted(columns)).toDF(*plain)
+    changed = changed.join(lost, changed[plain[columns.index("doc_id")]] == lost["of"]).select(*plain, "lost")
+    changed = changed.mapInArrow(T.frugal(cut), StructType([StructField(c, f.dataType) for c, f in zip(plain, docs.schema)])).toDF(*columns)
     changed = changed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return same.unionByName(changed.select(columns))
+    return same.unionByName(changed.select(quoted(columns)))
 
 
 def _cut(text: bytes, starts: np.ndarray, size: int) -> str:
