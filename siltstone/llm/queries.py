@@ -91,3 +91,24 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op5_quality": op5_quality, "op8_toxicity": op8_toxicity}
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.periodic import find_runs
+
+    return find_runs(table(spark, sf_dir, "documents"), rewrite=True).drop("runs")
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {"op11_whitening": op11_whitening, "op12_periodic": op12_periodic, "op13_tokens": op13_tokens}

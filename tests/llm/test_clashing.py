@@ -6,11 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, html, minhash, ngram, packing, quality, rules, substring, toxicity, warc
+from siltstone.llm import decontaminate, html, minhash, ngram, packing, periodic, quality, rules, substring, token_counts, toxicity, warc, whitening
 
 HERE = Path(rules.__file__).parent
 SF = "/root/testdata/sf0.001"
-GIVEN = {"doc_id", "text", "lang", "source", "n_chars", "page_id", "url", "html", "item_id", "toxic", "quality", "passage"}
+GIVEN = {"doc_id", "text", "lang", "source", "n_chars", "page_id", "url", "html", "item_id", "toxic", "quality", "passage", "vec_id", "embedding"}
 NAMES = sorted(set(re.findall(r'(?:alias|withColumn|withColumns|drop|select)\("([a-z_0-9]+)"', "".join(p.read_text() for p in HERE.glob("*.py")))) - GIVEN) + ["a.b", "with space", "tick`s"]
 
 
@@ -27,7 +27,7 @@ def rows(table, columns=None):
 @pytest.fixture(scope="module")
 def tables(spark):
     read = lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
-    return {n: read(n) for n in ("documents", "pages", "labels", "benchmark")}
+    return {n: read(n) for n in ("documents", "pages", "labels", "benchmark", "embeddings")}
 
 
 OPERATORS = {
@@ -41,6 +41,9 @@ OPERATORS = {
     "op8": lambda t: toxicity.score(t["documents"], t["labels"]),
     "op9": lambda t: packing.pack(t["documents"]),
     "op10": lambda t: ngram.score(t["documents"]),
+    "op11": lambda t: whitening.whiten(t["embeddings"]),
+    "op12": lambda t: periodic.find_runs(t["documents"], rewrite=True),
+    "op13": lambda t: token_counts.token_counts(t["documents"]),
 }
 STAGES = {
     "quality_rules": lambda t: rules.select(t["documents"], t["labels"]),
