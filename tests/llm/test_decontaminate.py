@@ -59,7 +59,7 @@ def test_masks_hit_every_overlap_that_verification_takes(n):
             w = D.T.words(D.pa.array([" ".join("x" if i in wrong else t for i, t in enumerate(item))]), lower=True, spans=False, alphanumeric=True)
             if D.verify(index, w, 0, 0, np.array([0])):
                 taken += 1
-                assert [0, 0, 0] in index.hits(w).tolist(), wrong
+                assert [0, 0, 0] in index.hits(w, D.seeds_of(w, index.masks)).tolist(), wrong
     assert n > 12 and taken or taken == sum(comb(max(n - 2, 0), k) for k in range(n // 5 + 1))
 
 
@@ -104,6 +104,91 @@ def test_table_contains_verbatim_passages(spark):
     assert len(got) <= len(want) + 3
 
 
+def brute(docs, items):
+    """Every diagonal of every document and item, place by place."""
+    import re
+
+    tokens = lambda t: [x for x in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if x]
+    out = set()
+    for doc, text in docs:
+        words = tokens(text)
+        for item, wanted in items:
+            sought = tokens(wanted)
+            if not sought or not words:
+                continue
+            least, need, places = min(12, len(sought)), min(13, len(sought)), []
+            for d in range(-len(sought), len(words)):
+                at = [i for i in range(len(sought)) if 0 <= i + d < len(words)]
+                same = {i for i in at if words[i + d] == sought[i]}
+                inside = set()
+                for i in at:
+                    window = range(i, i + least)
+                    if i + least - 1 <= at[-1] and sum(j in same for j in window) >= 0.8 * least:
+                        inside |= set(window)
+                if inside & same:
+                    places.append((d, sorted(inside & same)))
+            best, k = None, 0
+            while k < len(places):
+                group = [places[k]]
+                while k + 1 < len(places) and places[k + 1][0] - places[k][0] <= len(sought):
+                    k += 1
+                    group.append(places[k])
+                k += 1
+                n = len({i for _, at in group for i in at})
+                lo, hi = min(d + at[0] for d, at in group), max(d + at[-1] + 1 for d, at in group)
+                if n >= 0.8 * need and (n >= need or hi - lo >= need) and (best is None or n > best[0]):
+                    best = n, lo, hi
+            if best:
+                out.add((doc, item, best[0], len(sought), best[1], best[2]))
+    return out
+
+
+def test_equals_all_diagonals(spark, make_docs):
+    r = random.Random(11)
+    say = lambda n, k: [f"w{r.randrange(k)}" for _ in range(n)]
+    items = [(i, say(n, 400)) for i, n in enumerate([1, 2, 4, 5, 7, 9, 10, 11, 12, 13, 18, 30, 64])] + [(50, say(15, 2)), (51, ["a"] * 20)]
+    docs = []
+    for k in range(60):
+        body = say(50, 400)
+        for i, item in r.sample(items, 2):
+            leak = [w if r.random() > 0.12 else "sub" for w in item]
+            if r.random() < 0.3:
+                leak = leak[r.randrange(len(leak)) :]
+            at = r.randrange(len(body))
+            body[at:at] = leak
+        docs.append((k, " ".join(body)))
+    docs += [(100, "a " * 50), (101, "w0 w1 " * 30), (102, ""), (103, None), (None, docs[0][1]), (104, docs[1][1]), (104, docs[1][1] + " x")]
+    texts = [(i, " ".join(w)) for i, w in items]
+    table = spark.createDataFrame(texts, "item_id long, text string")
+    got = [tuple(x)[:6] for x in D.overlaps(make_docs(docs), table).collect()]
+    assert set(got) == brute(docs, texts) and any(x[0] is None for x in got)
+
+
+@pytest.mark.parametrize("index", [2_000_000, 40, 300])
+def test_items_without_a_token_and_blocks_of_any_size(spark, make_docs, monkeypatch, index):
+    monkeypatch.setattr(D, "INDEX", index)
+    schema = "item_id long, text string"
+    long_ = " ".join(f"q{i}" for i in range(200))
+    docs = make_docs([(1, "x " + long_ + " y"), (2, "!!!"), (3, ""), (4, "one two three four five six")])
+    for texts in ([""], ["!!!"], ["", "!!!", " \t", None]):
+        assert D.overlaps(docs, spark.createDataFrame(list(enumerate(texts)), schema)).count() == 0
+    some = spark.createDataFrame([(1, long_), (2, ""), (3, "!!!"), (4, "one two three four five six"), (None, long_), (5, None)], schema)
+    got = {(r.doc_id, r.item_id, r.n_matched) for r in D.overlaps(docs, some).collect()}
+    assert got == {(1, 1, 200), (1, None, 200), (4, 4, 6)}
+    assert D.clean(docs, some).count() == 2
+
+
+def test_slices_of_hits(spark, make_docs, monkeypatch):
+    items, docs = [(1, "a " * 40), (2, "a b " * 20)], [(k, "a " * 90 + "a b " * 50) for k in range(3)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    before = {tuple(r) for r in D.overlaps(make_docs(docs), table).collect()}
+    w = D.T.words(D.pa.array([t for _, t in docs]), lower=True, spans=False, alphanumeric=True)
+    index = D.Index([1, 2], [t for _, t in items])
+    whole = index.hits(w, D.seeds_of(w, index.masks))
+    monkeypatch.setattr(D, "HITS", 50)
+    assert index.hits(w, D.seeds_of(w, index.masks)).tolist() == whole.tolist() and len(before) == 6
+
+
 def test_empty(spark, make_docs):
     items = spark.createDataFrame([(1, None)], "item_id long, text string")
     assert D.overlaps(make_docs([(1, "a b")]), items).count() == 0
