@@ -220,7 +220,7 @@ def index_items(items: DataFrame, scratch: Scratch) -> list[tuple[str, list[str]
             yield from put(ids, texts)
 
     dealt = items.coalesce(1) if blocks == 1 else items.repartition(blocks, F.xxhash64("item_id", "text"))
-    found = dealt.sortWithinPartitions("item_id", "text").mapInArrow(T.frugal(build), "name string, masks string, shift int").collect()
+    found = dealt.sortWithinPartitions("item_id", "text").mapInArrow(T.frugal(build), "name string, masks string, shift long").collect()
     return [(r.name, json.loads(r.masks), r["shift"]) for r in sorted(found)]
 
 
