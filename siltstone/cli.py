@@ -84,13 +84,25 @@ def inspect(spark, a):
     return inspect(_rows(spark, a.input)), []
 
 
-@command("release", files("input"), text("release"), number("seed", 7), flag("force"))
+def _outcome(spark, result):
+    problems = spark.createDataFrame([(x,) for x in result.errors], "problem string")
+    warnings = spark.createDataFrame([(x,) for x in result.warnings], "warning string")
+    counts = spark.createDataFrame(list(result.counts.items()), "split string, n long")
+    return {"problems": problems, "warnings": warnings, "counts": counts}, ["problems"]
+
+
+@command("release", files("input"), text("release"), number("seed", 7), number("min-rows", 1), flag("force"), flag("allow-family-overlap"), flag("allow-source-overlap"))
 def release(spark, a):
     from siltstone.plans.release import build_release
 
-    result = build_release(spark, a.input, a.release, seed=a.seed, force=a.force)
-    problems = spark.createDataFrame([(str(x),) for x in ([] if result["ok"] else result.get("errors") or ["not released"])], "problem string")
-    return {"problems": problems}, ["problems"]
+    return _outcome(spark, build_release(spark, a.input, a.release, seed=a.seed, force=a.force, allow_family_overlap=a.allow_family_overlap, allow_source_overlap=a.allow_source_overlap, min_rows=a.min_rows))
+
+
+@command("split", text("file"), text("target"), text("ratios", "0.7,0.15,0.15"), number("seed", 7), flag("allow-family-overlap"), flag("allow-unreviewed"))
+def split(spark, a):
+    from siltstone.plans.release import split_dataset
+
+    return _outcome(spark, split_dataset(spark, a.file, a.target, tuple(map(float, a.ratios.split(","))), a.seed, a.allow_family_overlap, a.allow_unreviewed))
 
 
 @command("import", text("adapter"), text("path"))

@@ -39,6 +39,23 @@ def canonical_sha256(raw: pd.Series) -> pd.Series:
     return raw.map(one, na_action="ignore")
 
 
+def compact(value) -> str:
+    """No spaces, keys in their order, other scripts kept."""
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
+@F.pandas_udf(StringType())
+def dumps_compact(raw: pd.Series) -> pd.Series:
+    """JSON texts without spaces, keys in their order."""
+    return raw.map(lambda t: compact(json.loads(t)), na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def with_value(raw: pd.Series, key: pd.Series, value: pd.Series) -> pd.Series:
+    """JSON objects with a key set to a string: in its place, or at the end."""
+    return pd.Series([compact(json.loads(t) | {k: x}) for t, k, x in zip(raw, key, value)], dtype=object)
+
+
 def first_object(text: str | None) -> dict | None:
     """The text as a JSON object, else the first object that can be read from a ``{`` in it."""
     if not text:

@@ -258,27 +258,38 @@ def said() -> Column:
     )
 
 
-def validate(scanned: DataFrame) -> DataFrame:
-    """All violations of a scan: (file, line, row_id, rule, field, severity, message, ord).
-
-    One scan evaluates the row rules; only duplicate ids (V-03) and families in several training splits
-    (V-22) need an aggregation.
-    """
+def judge(scanned: DataFrame) -> DataFrame:
+    """A scan with ``row_id``, ``findings`` (the problems of each row taken by itself) and ``trains``
+    (the split and family of a row that takes part in training splits), in one projection."""
     keyed = prepared(scanned).withColumn("row_id", F.when(F.col("problem").isNull(), ROW["id"].text()))
-    found = violations(keyed, [*row_rules(), *task_rules(), *answer_rules(), *distill_rules()], ["file", "line", "row_id"])
-    spoken = keyed.where(whole()).select("file", "line", "row_id", F.explode(said()).alias("rule"))
-    found = found.union(spoken.select("file", "line", "row_id", "rule", F.lit("messages[2].content"), F.lit("error"), F.concat(F.lit("unsupported claim "), F.col("rule")), F.lit(1000)))
-    good = keyed.where("problem IS NULL AND row_id IS NOT NULL")
-    place = F.struct("file_ord", "line")
-    first = good.groupBy(F.col("row_id").alias("k")).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = good.join(first, good.row_id == first.k).where(place != F.col("first"))
-    message = F.concat(F.lit("duplicate id, first on line "), F.col("first.line"))
+    claim = lambda rule: F.struct(rule.alias("rule"), F.lit("messages[2].content").alias("field"), F.lit("error").alias("severity"), F.concat(F.lit("unsupported claim "), rule).alias("message"), F.lit(1000).alias("ord"))
+    claims_ = F.coalesce(F.when(whole(), F.transform(said(), claim)), F.array().cast("array<struct<rule:string,field:string,severity:string,message:string,ord:int>>"))
+    trains = F.when(~is_distill() & ROW["split"].isin(V.TRAINING_SPLITS), F.struct(ROW["split"].text().alias("split"), ROW["design_family"].text().alias("family")))
+    return keyed.withColumn("findings", F.concat(row_findings(), claims_)).withColumn("trains", trains)
+
+
+def violations_of(judged: DataFrame) -> DataFrame:
+    """All violations of judged rows, with duplicate ids (V-03) and families in several training splits (V-22) of each file."""
+    found = judged.select("file", "line", "row_id", F.explode("findings").alias("x")).select("file", "line", "row_id", "x.*")
+    good = judged.where("problem IS NULL AND row_id IS NOT NULL").select("file", "line", "row_id", "trains")
+    first = good.groupBy(F.col("file").alias("f"), F.col("row_id").alias("k")).agg(F.min("line").alias("first"), F.count("*").alias("n")).where("n > 1")
+    again = good.join(first, (good.row_id == first.k) & (good.file == first.f)).where("line <> first")
+    message = F.concat(F.lit("duplicate row id; first seen on line "), F.col("first"))
     found = found.union(again.select("file", "line", "row_id", F.lit("V-03"), F.lit("id"), F.lit("error"), message, F.lit(1001)))
-    family = good.where(~is_distill() & ROW["split"].isin(V.TRAINING_SPLITS)).groupBy(ROW["design_family"].text().alias("family")).agg(F.min("file").alias("file"), F.collect_set(ROW["split"].text()).alias("s")).where("size(s) > 1")
-    none = F.lit(None).cast("int")
+    family = good.where("trains IS NOT NULL").groupBy("file", F.col("trains.family").alias("family")).agg(F.collect_set("trains.split").alias("s")).where("size(s) > 1")
+    none = F.lit(None).cast("long")
     return found.union(family.select("file", none, "family", F.lit("V-22"), F.lit("design_family"), F.lit("error"), F.concat(F.lit("family in splits "), F.array_join(F.sort_array("s"), ", ")), F.lit(1002)))
 
 
+def validate(scanned: DataFrame) -> DataFrame:
+    """All violations of a scan: (file, line, row_id, rule, field, severity, message, ord), each file by itself.
+
+    One scan evaluates the row rules; only duplicate ids and families in several training splits need an
+    aggregation.
+    """
+    return violations_of(judge(scanned))
+
+
 def verdict(found: DataFrame, strict: bool = False) -> bool:
     """No errors, and no warnings if strict."""
     return found.where("true" if strict else "severity = 'error'").limit(1).count() == 0

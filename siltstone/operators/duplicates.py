@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone import vocab as V
+from siltstone.functions.variant import Node
+from siltstone.sources.jsonl import WHITE
+
 #: Texts sought are sent to all workers up to this many characters at once, in blocks.
 BLOCK_CHARS = 8_000_000
 
@@ -23,6 +27,33 @@ def leaks(rows: DataFrame, column: str, split: str) -> DataFrame:
     return rows.where(F.col(column).isNotNull()).groupBy(F.sha2(column, 256).alias("fp")).agg(F.sort_array(F.collect_set(split)).alias("splits")).where("size(splits) > 1")
 
 
+def artifact_fingerprint(artifacts: Node) -> Column:
+    """SHA-256 over the names and texts of a task's artifacts, by name; null where none has a text."""
+    pieces = F.array(*[F.when(artifacts[n].is_text() & artifacts[n].as_("string").rlike(f"[^{WHITE}]"), F.concat(F.lit(n + "\0"), artifacts[n].as_("string"))) for n in sorted(V.ARTIFACTS)])
+    pieces = F.filter(pieces, lambda x: x.isNotNull())
+    return F.when(F.size(pieces) > 0, F.sha2(F.array_join(pieces, "\0"), 256))
+
+
+def _keyed(rows: DataFrame, kinds: dict[str, str], *more: str) -> DataFrame:
+    each = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("key")) for kind, c in kinds.items()])
+    return rows.select(*[F.col(c).alias(f"_{c}") for c in more], F.inline(each)).where("key IS NOT NULL")
+
+
+def overlaps(rows: DataFrame, kinds: dict[str, str], split: str) -> DataFrame:
+    """(kind, key, n, splits): keys that several rows share, for all kinds of keys in one pass.
+
+    A key's splits are combined before the shuffle, so a key that most rows share costs a few numbers a task.
+    Null keys are no keys.
+    """
+    found = _keyed(rows, kinds, split).groupBy("kind", "key").agg(F.count("*").alias("n"), F.sort_array(F.collect_set(f"_{split}")).alias("splits"))
+    return found.where("n > 1")
+
+
+def members(rows: DataFrame, shared: DataFrame, kinds: dict[str, str], name: str) -> DataFrame:
+    """(kind, key, name) of the rows behind some overlaps, one row for each."""
+    return _keyed(rows, kinds, name).join(shared.select("kind", "key"), ["kind", "key"], "left_semi").withColumnRenamed(f"_{name}", name)
+
+
 def contained(docs: DataFrame, sought: DataFrame, doc_key: str, item_key: str) -> DataFrame:
     """(doc, item) where an item's text lies in a document's text.
 

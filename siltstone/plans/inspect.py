@@ -1,4 +1,4 @@
-"""Composition of a dataset: counts by field, claim levels, missing checks, duplicate ids, and a card of a release."""
+"""Composition of a dataset: counts by field, claim levels, missing checks, duplicate ids."""
 
 from __future__ import annotations
 
@@ -37,13 +37,3 @@ def missing_checks(rows: DataFrame) -> DataFrame:
 def inspect(rows: DataFrame) -> dict[str, DataFrame]:
     ids = rows.select(Node("v")["id"].text().alias("id")).where("id IS NOT NULL")
     return {"counts": counts(rows), "claim_levels": claim_levels(rows), "missing_checks": missing_checks(rows), "duplicate_ids": duplicate_keys(ids, "id")}
-
-
-def card(name: str, tables: dict[str, DataFrame], command: str) -> str:
-    """SNK-7: a short Markdown card of a release, with its counts and the command that made it."""
-    lines = [f"# {name}", "", f"Made by `{command}`.", ""]
-    for field in FIELDS:
-        found = tables["counts"].where(F.col("field") == field).orderBy(F.desc("n"), "value").limit(20).collect()
-        lines += [f"## {field}", "", *[f"- {r.value}: {r.n}" for r in found], ""]
-    lines += ["## claim levels", "", *[f"- {r.domain} {r.level}: {r.n}" for r in tables["claim_levels"].orderBy("domain", "level").collect()], ""]
-    return "\n".join(lines)

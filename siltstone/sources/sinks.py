@@ -8,10 +8,12 @@ import json
 import os
 import re
 import tempfile
+import uuid
+from collections.abc import Iterable
 from hashlib import sha256
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CREATOR_KEY = "created_by"
@@ -50,6 +52,77 @@ def write_jsonl_parts(rows: DataFrame, path: str, order: list[str], column: str
     rows.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col(column).alias("value")).write.mode("overwrite").text(path)
 
 
+def _store(spark: SparkSession, path: str):
+    """The file system of a path and the path; a local one without its checksum files."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (store.getRawFileSystem() if store.getUri().getScheme() == "file" else store), target
+
+
+class _Output:
+    """A file that appears under its name when it is whole, with the SHA-256 of its bytes."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark.sparkContext._jvm
+        self.store, self.target = _store(spark, path)
+        self.store.mkdirs(self.target.getParent())
+        self.spare = self.jvm.org.apache.hadoop.fs.Path(self.target.getParent(), f".{self.target.getName()}-{uuid.uuid4().hex}")
+        self.digest = self.jvm.java.security.MessageDigest.getInstance("SHA-256")
+        self.out = self.jvm.java.security.DigestOutputStream(self.store.create(self.spare, True), self.digest)
+
+    def __enter__(self):
+        return self.out
+
+    def __exit__(self, kind, *_):
+        self.out.close()
+        if kind is not None:
+            self.store.delete(self.spare, False)
+            return
+        self.store.delete(self.target, False)
+        if not self.store.rename(self.spare, self.target):
+            raise OSError(f"could not write {self.target.toString()}")
+
+    def sha256(self) -> str:
+        return bytes(self.digest.digest()).hex()
+
+
+def write_ordered(rows: DataFrame, path: str, order: list[str], scratch, column: str = "raw") -> dict:
+    """One JSON text per line, by ``order``, as one file; {path, sha256, rows}.
+
+    Tasks write the parts, in global order; the parts are then appended by the driver's JVM, byte for byte.
+    """
+    spark, parts, seen = rows.sparkSession, f"{scratch.path}/parts-{uuid.uuid4().hex}", Observation()
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_.select(F.col(column).alias("value")).observe(seen, F.count("*").alias("n")).write.text(parts)
+    store, folder = _store(spark, parts)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = sorted((x.getPath() for x in store.listStatus(folder) if x.getPath().getName().startswith("part-")), key=lambda p: (len(p.getName()), p.getName()))
+    file = _Output(spark, path)
+    with file as out:
+        for part in found:
+            source = store.open(part)
+            try:
+                spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            finally:
+                source.close()
+    store.delete(folder, True)
+    return {"path": path.rsplit("/", 1)[-1], "sha256": file.sha256(), "rows": seen.get["n"]}
+
+
+def write_text(spark: SparkSession, path: str, pieces: Iterable[str]) -> dict:
+    """A text file from pieces, a megabyte at a time; {path, sha256, rows}."""
+    file, held, size = _Output(spark, path), [], 0
+    with file as out:
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size > 1 << 20:
+                out.write("".join(held).encode())
+                held, size = [], 0
+        out.write("".join(held).encode())
+    return {"path": path.rsplit("/", 1)[-1], "sha256": file.sha256(), "rows": 1}
+
+
 def compact(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 

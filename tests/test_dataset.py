@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from siltstone import vocab as V
 from siltstone.operators import dataset_rules, mutate, scoring
-from siltstone.plans import release
 from siltstone.sources import jsonl
 
 CODE = "module top(input clk, input rst_n, output reg [3:0] q);\n always @(posedge clk) if (!rst_n) q <= 0; else q <= q + 1;\nendmodule"
@@ -79,30 +78,6 @@ def test_table_rules(spark, tmp_path):
     assert sorted(r[1] for r in got if r[0] == "V-01") == [4, 5]
 
 
-def test_release_is_whole_and_repeatable(spark, tmp_path):
-    path = tmp_path / "in.jsonl"
-    rows = [row(k) for k in range(20)] + [row(40, license="TODO")]
-    path.write_text("\n".join(map(json.dumps, rows)))
-    out = [release.build_release(spark, [str(path)], str(tmp_path / f"o{k}"), (0.6, 0.2, 0.2)) for k in (1, 2)]
-    assert out[0]["ok"] and out[0] == out[1] and out[0]["counts"]["rejected"] == 1
-    kept = {}
-    for s in release.SPLITS:
-        a, b = (tmp_path / f"o{k}" / f"{s}.jsonl" for k in (1, 2))
-        assert a.read_bytes() == b.read_bytes()
-        kept[s] = [json.loads(x) for x in a.read_text().splitlines()]
-    assert sum(map(len, kept.values())) == 20
-    families = [{r["design_family"] for r in k} for k in kept.values()]
-    assert not (families[0] & families[1] or families[0] & families[2] or families[1] & families[2])
-    again = release.build_release(spark, [str(path)], str(tmp_path / "o1"))
-    assert not again["ok"]
-
-
-def test_split_families_meets_ratios():
-    got = release.split_families({f"f{k}": 10 for k in range(10)}, (0.8, 0.1, 0.1), 3)
-    assert sorted(list(got.values()).count(s) for s in release.SPLITS) == [1, 1, 8]
-    assert not release.ratios_valid((0.5, 0.6, -0.1))
-
-
 def test_scores(spark):
     good = row()["messages"][2]["content"] | {"source_id": "s", "evidence_used": [], "limitations": []}
     claims_ = copy.deepcopy(good)
