@@ -404,10 +404,10 @@ def ratio_split_sizes(spark, sf_dir):
 
 @query()
 def near_duplicate_pairs(spark, sf_dir):
-    """Pairs of nation names with a matching ratio of at least 0.6."""
+    """Pairs of benchmark items whose texts match to 0.95."""
     from siltstone.operators.near import near_pairs
 
-    return near_pairs(_t(spark, sf_dir, "nation"), "n_nationkey", "n_name", 0.6)
+    return near_pairs(_t(spark, sf_dir, "benchmark"), "item_id", "text", 0.95)
 
 
 @query("select doc_id, sha256(regexp_replace(text, '\\bthe\\b', 'this')) as fp from documents where regexp_matches(text, '\\bthe\\b')")
