@@ -36,6 +36,10 @@ def files(name: str) -> tuple[str, dict]:
     return f"--{name}", {"nargs": "+", "required": True}
 
 
+def several(name: str) -> tuple[str, dict]:
+    return f"--{name}", {"nargs": "*", "default": []}
+
+
 def text(name: str, default=None, **kw) -> tuple[str, dict]:
     return f"--{name}", {"default": default, "required": default is None and "type" not in kw and not kw.get("optional"), **{k: v for k, v in kw.items() if k != "optional"}}
 
@@ -164,20 +168,31 @@ def normalize_validate(spark, a):
     return {"issues": issues, "errors": issues.where("severity = 'error'")}, ["errors"]
 
 
-@command("audit", files("input"))
+def _tasks(spark, a):
+    return _rows(spark, a.tasks) if a.tasks else None
+
+
+@command("audit", files("input"), several("tasks"))
 def audit(spark, a):
-    from siltstone.operators.audit import audit as run
+    from siltstone.operators import audit_rules
+    from siltstone.sources import answer_files
 
-    issues = run(_items(spark, a.input))
-    return {"issues": issues, "errors": issues.where("severity = 'error'"), "by_severity": issues.groupBy("severity").count()}, ["errors"]
+    rows, problems = answer_files.read(spark, answer_files.found(spark, a.input))
+    issues = audit_rules.audit(rows.select("file", "row_index", F.parse_json("raw").alias("item")), _tasks(spark, a))
+    return {"issues": issues, "problems": problems, "errors": issues.where("severity = 'error'"), "by_severity": issues.groupBy("severity").count()}, ["errors", "problems"]
 
 
-@command("repair", files("input"))
+@command("repair", files("input"), several("tasks"), text("target", optional=True))
 def repair(spark, a):
-    from siltstone.operators.audit import repair as run
-
-    rows = _items(spark, a.input).withColumn("before", F.to_json("item")).withColumn("raw", run(F.col("before")))
-    return {"rows": rows.select("file", "row_index", "raw"), "changed": rows.where("raw <> before").select("file", "row_index")}, []
+    from siltstone.operators import audit_rules
+    from siltstone.sources import answer_files
+
+    rows, problems = answer_files.read(spark, answer_files.found(spark, a.input))
+    done = audit_rules.repair(rows, _tasks(spark, a))
+    if a.target:  # the files by name, in their containers
+        answer_files.write(done.withColumn("file", F.element_at(F.split("file", "/"), -1)), a.target)
+    left = audit_rules.audit(done.select("file", "row_index", F.parse_json("raw").alias("item")), _tasks(spark, a))
+    return {"rows": done.select("file", "row_index", "raw"), "changes": audit_rules.change_rows(done), "manual": left.where("severity = 'manual_review'"), "problems": problems}, ["problems"]
 
 
 @command("assemble", files("input"), files("tasks"), text("priority", "repaired,combined,batch,other"))

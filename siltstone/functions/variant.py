@@ -6,6 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def strict_json(raw: Column) -> Column:
+    """The one JSON value that a text is, null for any other text.
+
+    The engine's parser stops after the first value. What follows it would have to close the array or the object
+    that the text is put into, and nothing closes both; a second element shows in the array's size.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    alone = F.try_parse_json(F.concat(F.lit('{"":'), raw, F.lit("}"))).isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
+
+
 class Node:
     """A place in a variant column, by JSON path."""
 

@@ -1,13 +1,11 @@
-"""Audit, repair and priority assembly of answers kept in files."""
+"""Priority assembly of answers kept in files."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone import vocab as V
 from siltstone.functions.variant import Node
-from siltstone.operators.rules import Rule, violations
 
 # Tiers of answer files, best first, and what in a path makes one; every path is of tier other too.
 PRIORITY = ("repaired", "combined", "batch", "other")
@@ -16,47 +14,6 @@ MARKERS = {
     "combined": ("assembled", "combined", "clean", "merged"),
     "batch": ("batch_", "teacher_answer_returns", "teacher_answer_batches", "answer"),
 }
-GENERIC = ("clk", "clock", "rst", "reset", "signal", "signals", "input", "output", "unknown", "n/a")
-
-
-def answer_rules(column: str = "item") -> list[Rule]:
-    a = Node(column)
-    levels = F.lit(False)
-    for d in V.CLAIM_DOMAINS:
-        levels = levels | ~a["claim_levels"][d].isin(V.CLAIM_LEVELS)
-    names = F.coalesce(a["issue_summary"][0]["evidence"]["signal_names"].as_("array<string>"), F.array().cast("array<string>"))
-    rules = [Rule(f"missing_{f}", f, "error", a[f].absent()) for f in ("source_id", *V.ANSWER_FIELDS, "evidence_used", "limitations")]
-    return rules + [
-        Rule("schema_alias", "schema_version", "warning", a["schema_version"].isin([V.ANSWER_SCHEMA[0]])),
-        Rule("schema_unknown", "schema_version", "error", a["schema_version"].present() & ~a["schema_version"].isin(V.ANSWER_SCHEMA)),
-        Rule("claim_level", "claim_levels", "error", a["claim_levels"].is_object() & levels),
-        Rule("generic_signals", "issue_summary", "warning", F.exists(names, is_generic)),
-        Rule("text_verified", "answer", "error", F.lower(a.json()).contains("verified by text inspection")),
-        Rule("empty_issue", "issue_summary", "manual_review", a["issue_summary"].is_list() & (F.size(a["issue_summary"].items()) == 0)),
-    ]
-
-
-def is_generic(name: Column) -> Column:
-    """A label instead of a signal, or no identifier (with an index at most)."""
-    return F.lower(name).isin(*GENERIC) | ~name.rlike(r"^[A-Za-z_][A-Za-z0-9_$.]*(?:\[[^\]]*\])?$")
-
-
-def audit(answers: DataFrame) -> DataFrame:
-    """Issues of answer rows (file, row_index, item)."""
-    keyed = answers.withColumn("source_id", Node("item")["source_id"].text())
-    return violations(keyed, answer_rules(), ["file", "row_index", "source_id"])
-
-
-def repair(text: Column) -> Column:
-    """Safe textual repairs of an answer's JSON; a second pass changes nothing."""
-    fixes = [
-        (r'"schema_version"\s*:\s*"rtl_answer_v0\.1"', '"schema_version":"rtl_answer.v0.1"'),
-        (r"(?i)verified by text inspection", "reviewed by text inspection"),
-        (r"(?i)\bguaranteed to\b", "expected to"),
-    ]
-    for pattern, new in fixes:
-        text = F.regexp_replace(text, pattern, new)
-    return text
 
 
 def priority(path: Column, order: tuple[str, ...] = PRIORITY) -> Column:

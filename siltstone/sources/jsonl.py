@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siltstone.functions.variant import strict_json
 from siltstone.scratch import Scratch
 
 ROWS = "file string, file_ord int, line long, raw string, v variant, problem string"
@@ -105,7 +106,7 @@ def scan(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     line = F.when((offset >= 0) & (offset < F.col("n")), F.col("before") + offset + 1).otherwise(F.raise_error(F.lit("the files' splits differ from those counted")).cast("long"))
     d = lines.withColumn("filled", filled).where("filled OR start = 0").join(places, ["path", "start"]).withColumn("line", line)
     first = F.col("marked") & (F.col("line") == 1)
-    v = F.try_parse_json("raw")
+    v = strict_json(F.col("raw"))
     utf8 = F.is_valid_utf8("raw")
     bad = v.isNull() | first
     problem = F.when(~utf8, F.lit("line is not UTF-8")).when(bad, F.lit(_MALFORMED)).when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), F.lit("row must be a JSON object"))
@@ -128,7 +129,7 @@ def payload_rows(scanned: DataFrame, column: str = "raw") -> DataFrame:
 
     Adds row_index (from 0), ``v`` of each row and ``kind``: json_array, json_wrapper or json_single.
     """
-    v = F.try_parse_json(column)
+    v = strict_json(F.col(column))
     list_of = lambda path: F.try_variant_get(v, path, "array<variant>")
     kind = F.when(list_of("$").isNotNull(), "json_array").when(list_of("$.answers").isNotNull() | list_of("$.rows").isNotNull(), "json_wrapper").when(F.schema_of_variant(v).startswith("OBJECT"), "json_single")
     items = F.coalesce(list_of("$"), list_of("$.answers"), list_of("$.rows"), F.when(F.schema_of_variant(v).startswith("OBJECT"), F.array(v)))

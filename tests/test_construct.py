@@ -29,15 +29,10 @@ def test_constructors(spark, tmp_path):
     assert q.source_id == "row_1" and '"task_type":"rtl_bug_review"' in q.user_prompt and "counter wraps" not in q.user_prompt
 
 
-def test_audit_repair_assemble(spark):
+def test_assemble(spark):
     good = row()["messages"][2]["content"] | {"source_id": "s", "evidence_used": [], "limitations": []}
     rows = [("x/a.json", json.dumps([good, good | {"source_id": "t"}])), ("repaired/b.json", json.dumps([good | {"schema_version": "rtl_answer.v0.1"}])), ("c.json", json.dumps([good, {}]))]
     answers = jsonl.payload_rows(spark.createDataFrame(rows, "file string, raw string")).cache()
-    issues = {(r.file, r.row_index, r.rule) for r in audit.audit(answers).collect()}
-    assert ("x/a.json", 0, "schema_alias") in issues and ("c.json", 1, "missing_source_id") in issues and not any(f == "repaired/b.json" for f, _, _ in issues)
     chosen, others = audit.assemble(answers)
     assert {(r.source_id, r.file) for r in chosen.collect()} == {("s", "repaired/b.json"), ("t", "x/a.json")}
     assert sorted(r.relation for r in others.collect()) == ["conflicting", "conflicting"]
-    once = answers.select(audit.repair(F.to_json("item")).alias("t"))
-    assert once.exceptAll(once.select(audit.repair(F.col("t")).alias("t"))).count() == 0
-    assert once.where(F.col("t").contains("rtl_answer_v0.1")).count() == 0

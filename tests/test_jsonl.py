@@ -97,3 +97,21 @@ def test_odd_files(spark, tmp_path):
     assert jsonl.scan(spark, []).count() == 0 and jsonl.scan(spark, str(tmp_path / "zero.jsonl")).count() == 1
     folder = jsonl.scan(spark, str(tmp_path))
     assert folder.select("file").distinct().count() == len(files)
+
+
+def test_a_line_is_one_json_value(spark):
+    from siltstone.functions.variant import strict_json
+
+    texts = ['{"a":1}', ' {"a":1} ', '{"a":1} x', '{"a":1}}', '{"a":1}]', '{"a":1}\n{"b":2}', '{"a":1},', '{"a":1},{"b":2}', '1,"x":2', "[1]", "[1] ]", "", " ", "null", '"a"', '{"a":1}]}', '{"a":1}}]', '],[1', "{", '{"a":[1,2,{"b":null}]}']
+
+    def plain(t):
+        try:
+            json.loads(t)
+            return True
+        except ValueError:
+            return False
+
+    from pyspark.sql import functions as F
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strict_json(F.col("t")).isNotNull().alias("ok")).collect()
+    assert {r.t: r.ok for r in got} == {t: plain(t) for t in texts}
