@@ -6,9 +6,10 @@ Kneser-Ney model, built from the continuation counts of both classes together. I
 class has seen after a context the shared part cancels, so an unseen inflection of a toxic stem keeps
 the evidence of the stem and a rare word carries none.
 
-A text is judged by length-normalised comparisons of the two log-likelihoods: of the whole text, and of
-its stretches of ``STRETCHES`` words, of which the most toxic one counts. A logistic fit on labelled
-documents that the models have not seen turns them into a probability.
+A text is judged by length-normalised comparisons of the two log-likelihoods: of the whole text, of its
+stretches of ``STRETCHES`` words, of which the most toxic one counts, of its ``LEADING`` most toxic words, and of
+all words that speak for toxicity, by the root of the text's length. A logistic fit turns them into a probability;
+it is made on labelled documents, each by a model that has not seen its third of them.
 """
 
 from __future__ import annotations
@@ -23,10 +24,13 @@ from siltstone.llm import _text as T
 from siltstone.llm._labelled import held_out, logistic, logistic_score, sample_ids
 from siltstone.scratch import Scratch
 
-ORDER = 6
-#: Labelled documents the models are fitted on, of each class at most; a third of them calibrates.
+#: Letters of a gram, in bytes: a stem of ten, in scripts of one byte, is known with the word's start.
+ORDER = 12
+#: Labelled documents the models are fitted on, of each class at most.
 PER_CLASS = 4000
+THIRDS = 3
 STRETCHES = (1, 3, 12)
+LEADING = (2, 4, 8)
 _U = np.uint64
 _START, _STOP = 2, 3  # bytes that begin and end a word
 
@@ -139,11 +143,12 @@ def distinct_words(column: pa.Array):
     return [data[w.start[i] : w.end[i]].tobytes().lower() for i in first], which, w.rows
 
 
-FEATURES = 1 + len(STRETCHES)
+FEATURES = 2 + len(STRETCHES) + len(LEADING)
 
 
 def features(each: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Per row: the ratio of the two log-likelihoods by word, of all words and of the most toxic stretch of each length."""
+    """Per row: the ratio of the two log-likelihoods by word, of all words, of the most toxic stretch of each length, of the
+    most toxic words, and what speaks for toxicity by the root of the length."""
     n = np.diff(rows)
     out = np.zeros((len(n), FEATURES))
     full = np.flatnonzero(n > 0)
@@ -157,14 +162,22 @@ def features(each: np.ndarray, rows: np.ndarray) -> np.ndarray:
         start = T.spread(first, many)
         end = np.minimum(start + size, np.repeat(last, many))
         out[full, k] = np.maximum.reduceat(total[end] - total[start], np.concatenate([[0], np.cumsum(many)[:-1]])) / np.minimum(size, last - first)
+    toxic = np.flatnonzero(each > 0)
+    row = np.searchsorted(rows, toxic, "right") - 1
+    order = np.lexsort((-each[toxic], row))
+    value, row = each[toxic][order], row[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    for k, size in enumerate(LEADING, 1 + len(STRETCHES)):
+        out[:, k] = np.bincount(row, np.where(place < size, value, 0.0), len(n)) / size
+    out[:, -1] = np.bincount(row, value, len(n)) / np.sqrt(n + 1)
     return out
 
 
 class Scorer:
     """Features of Arrow columns, by a model in the shared folder."""
 
-    def __init__(self, folder: str):
-        self.model = {k: X.get(folder, k, np.float32 if k.endswith("_ratio") else _U) for k in ("gram", "gram_ratio", "context", "context_ratio")}
+    def __init__(self, folder: str, name: str = "all"):
+        self.model = {k: X.get(folder, f"{name}-{k}", np.float32 if k.endswith("_ratio") else _U) for k in ("gram", "gram_ratio", "context", "context_ratio")}
 
     def features(self, column: pa.Array) -> np.ndarray:
         words, which, rows = distinct_words(column)
@@ -177,42 +190,58 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class:
 
     Labels are learned from a bounded sample outside the held-out fold (crc32(doc_id as text) modulo 5
     is 0). Null, empty or blank text: the score of a text without evidence. Null doc_id: scored,
-    held_out false. Repeated rows: scored each. Without labels of both classes every score is the share
-    of toxic labels (0.5 without any). Other columns are ignored. Empty table: empty result.
+    held_out false. Repeated rows: scored each, equal texts alike. Texts of any length are scored whole. Without
+    labels of both classes every score is the share of toxic labels (0.5 without any). Other columns are
+    ignored. Empty table: empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     folder = f"{scratch.path}/model"
     docs = docs.select("doc_id", "text")
     ids = scratch.save(sample_ids(labels, "toxic", per_class), "ids")  # at most 2 * per_class rows
-    chosen = docs.join(F.broadcast(ids), "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)))
+    chosen = docs.join(F.broadcast(ids), "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(THIRDS)).cast("int"))
     chosen = scratch.save(chosen, "chosen")
 
     def count(batches):
         for b in T.slices(batches):
             words, which, rows = distinct_words(b.column("text"))
-            y = np.repeat(np.asarray(b.column("y")), np.diff(rows))
-            toxic, total = np.bincount(which, y, len(words)).astype(np.int64), np.bincount(which, minlength=len(words))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(toxic), pa.array(total - toxic)], ["word", "t", "o"])
-
-    counted = chosen.where("part > 0").mapInArrow(T.frugal(count), "word binary, t long, o long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    table = counted.orderBy("word").toArrow()  # the words of the bounded sample
+            lengths, y, part = np.diff(rows), np.asarray(b.column("y")), np.asarray(b.column("part"))
+            for k in range(THIRDS):
+                mine = np.repeat(part == k, lengths)
+                at = which[mine]
+                total = np.bincount(at, minlength=len(words))
+                toxic = np.bincount(at, np.repeat(y, lengths)[mine], len(words)).astype(np.int64)
+                on = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(on), k, np.int32)), pa.array([words[i] for i in on], pa.binary()), pa.array(toxic[on]), pa.array((total - toxic)[on])], ["part", "word", "t", "o"])
+
+    counted = chosen.mapInArrow(T.frugal(count), "part int, word binary, t long, o long").groupBy("part", "word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    table = counted.orderBy("word", "part").toArrow()  # the words of the bounded sample
     shares = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}
     blank = shares.get(1, 0) / sum(shares.values()) if shares else 0.5
     weights = None
     if len(shares) == 2 and table.num_rows:
-        model = fit(table.column("word").to_pylist(), table.column("t").to_numpy().astype(float), table.column("o").to_numpy().astype(float))
-        for name, array in model.items():
-            X.put(folder, name, array)
-        del model, table
+        part = table.column("part").to_numpy()
+        for name, mine in (("all", part >= 0), *((str(k), part != k) for k in range(THIRDS))):
+            some = table.filter(pa.array(mine)).group_by("word").aggregate([("t", "sum"), ("o", "sum")])
+            if some.num_rows:
+                model = fit(some.column("word").to_pylist(), some.column("t_sum").to_numpy().astype(float), some.column("o_sum").to_numpy().astype(float))
+                for part_name, array in model.items():
+                    X.put(folder, f"{name}-{part_name}", array)
+                del model
+        del table
 
         def look(batches):
-            scorer = Scorer(folder)
+            scorers = [Scorer(folder, str(k)) for k in range(THIRDS)]
             for b in T.slices(batches):
-                x = scorer.features(b.column("text"))
+                part = np.asarray(b.column("part"))
+                x = np.zeros((b.num_rows, FEATURES))
+                for k, scorer in enumerate(scorers):
+                    at = np.flatnonzero(part == k)
+                    if len(at):
+                        x[at] = scorer.features(b.column("text").take(pa.array(at)))
                 yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
-        fitted = chosen.where("part = 0").select("y", "text").mapInArrow(T.frugal(look), "y int, x array<double>").toArrow()
+        fitted = chosen.select("y", "text", "part").mapInArrow(T.frugal(look), "y int, x array<double>").toArrow()
         x, y = np.array(fitted.column("x").to_pylist()).reshape(-1, FEATURES), fitted.column("y").to_numpy()
         if len(y) and 0 < y.sum() < len(y):
             weights = logistic(x, y)

@@ -76,3 +76,27 @@ def test_table_quality(spark):
     truth = {r.doc_id: r.quality == 1 for r in labels.collect()}
     rows = [r for r in quality.score(docs, labels).collect() if r.doc_id in truth]
     assert auc(rows, truth) > 0.9
+
+
+def test_toxic_documents_of_the_held_out_fold(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic == 1 for r in labels.where("toxic IS NOT NULL").collect()}
+    rows = [r for r in toxicity.score(docs.join(labels.select("doc_id"), "doc_id"), labels).collect() if r.held_out and r.doc_id in truth]
+    hit = sum(truth[r.doc_id] and r.predicted for r in rows)
+    recall, precision = hit / sum(truth[r.doc_id] for r in rows), hit / sum(r.predicted for r in rows)
+    assert recall >= 0.8 and precision >= 0.9 and auc(rows, truth) > 0.94
+
+
+def test_features_are_by_row():
+    r = np.random.RandomState(1)
+    sizes = np.array([0, 1, 2, 30, 0, 5])
+    each, rows = r.normal(size=sizes.sum()), np.concatenate([[0], np.cumsum(sizes)])
+    got = toxicity.features(each, rows)
+    for k, n in enumerate(sizes):
+        w = each[rows[k] : rows[k + 1]]
+        if not n:
+            assert not got[k].any()
+            continue
+        up = np.sort(np.maximum(w, 0))[::-1]
+        want = [w.mean(), *(max(w[i : i + s].sum() for i in range(max(n - s + 1, 1))) / min(s, n) for s in toxicity.STRETCHES), *(up[:s].sum() / s for s in toxicity.LEADING), up.sum() / np.sqrt(n + 1)]
+        assert np.allclose(got[k], want)
