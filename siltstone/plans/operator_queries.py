@@ -1,17 +1,19 @@
-"""Queries of the operators on dataset rows, tasks and answers, which are made of the documents table.
+"""Queries of the operators on dataset rows, tasks and answers, which are made of the texts of the tables.
 
-Each document gives one row, and its id, language and length decide what is in it, so that DuckDB can say
-from these columns alone what the operator has to find.
+Each document gives one row. Its words become the names in designs, prompts, paths and answers, or stand-ins for the
+words that an operator looks for, and the SQL works the expected result out of the same text in its own way.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions import claims
 from siltstone.functions.variant import Node
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,33 +45,76 @@ def _pick_sql(values: list, by: str = "doc_id") -> str:
     return f"[{', '.join(map(one, values))}][({by} % {len(values)} + 1)::INT]"
 
 
+PLACES = 6
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
+
+
+def _named(spark, sf_dir) -> DataFrame:
+    """Each document with six names n0 ... n5, of words spread over its whole text."""
+    d = _docs(spark, sf_dir).withColumn("w", _words(F.col("text"))).withColumn("n", F.size("w"))
+    at = lambda k: F.coalesce(F.try_element_at("w", (1 + F.floor(F.col("n") * k / PLACES)).cast("int")), F.lit("none"))
+    return d.select("*", *[F.concat(F.lit(f"{chr(97 + k)}_"), at(k)).alias(f"n{k}") for k in range(PLACES)])
+
+
+NAMED = f"""
+with w as (select *, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') w from documents),
+n as (select *, len(w)::INT n, {", ".join(f"'{chr(97 + k)}_' || coalesce(w[1 + len(w) * {k} // {PLACES}], 'none') n{k}" for k in range(PLACES))} from w)
+"""
+
+
 # claims
 
-_SAID = [
-    ("it is verified correct", True), ("it was not verified correct", False), ("without a run, nothing is verified correct", False), ("it fails. correctness is verified", True),
-    ("not proven correct; later " + "x" * 170 + " proven correct", True), ("nothing to say", False), ("never: verified correct, nor proven correct", False),
-]
+def _stand_in(text: Column, words: dict[str, str]) -> Column:
+    """A text with some of its words exchanged, and a letter of ASCII for each other character, whose word ends engines see differently."""
+    text = F.regexp_replace(text, r"[^\x00-\x7F]", "x")
+    for old, new in words.items():
+        text = F.regexp_replace(text, rf"(?i)\b(?:{old})\b", new)
+    return text
 
 
-@query(f"select doc_id, {_pick_sql([x for _, x in _SAID])} as claimed from documents")
-def unnegated_claims(spark, sf_dir):
-    from siltstone.functions.claims import unnegated_claim
+def _stand_in_sql(words: dict[str, str]) -> str:
+    sql = r"regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', 'x', 'g')"
+    for old, new in words.items():
+        sql = f"regexp_replace({sql}, '(?i)\\b(?:{old})\\b', '{new}', 'g')"
+    return sql
 
-    return _docs(spark, sf_dir).select("doc_id", unnegated_claim(_pick([t for t, _ in _SAID])).alias("claimed"))
 
+def _unexcused_sql(t: str, claim: str, negation: str, back: int) -> str:
+    """Whether a claim of a fixed wording stands in ``t`` without a negation in the characters before it: each claim by its own prefix."""
+    neg = negation.replace("'", "''")
+    piece = f"string_split_regex({t}, '(?i)\\b{claim}\\b')"
+    many = back // len(claim) + 2
+    before = f"right(array_to_string(p[greatest(1, i - {many}):i], '{claim}'), {back})"
+    return f"""(select coalesce(bool_or(not regexp_matches({before} || '{claim}', '(?i){neg}[\\w\\s,;:()/-]{{0,{back}}}\\b{claim}')), false)
+      from (select p, unnest(range(1, len(p))) i from (select {piece} p)))"""
 
-_OUTCOMES = [
-    ("It passed simulation and lint passed.", "lint,simulation"), ("It was synthesized; met timing, lower power.", "power,synthesis,timing"), ("Toggles reduced. Formal proved it.", "equivalence,toggle"),
-    ("Nothing was run.", ""), ("It is not verified.", ""), ("It is verified.", "verified"), ("Lint clean, verified by simulation.", "lint,simulation,verified"),
-]
+
+_CLAIMED = {"the|de|der|la": "not", "of|en|und|que": "verified correct", "and|est|die": "."}
+_TOOLED = {"and|et|und": "passed simulation", "in|pas": "lint clean", "is|des|der": "is verified", "to|de|la": "not", "on|que|die": "met timing", "for|les": "lower power", "a|du|das": "formal passed"}
 
 
-@query(f"select doc_id, {_pick_sql([x for _, x in _OUTCOMES])} as tools from documents")
+@query(f"with t as (select doc_id, {_stand_in_sql(_CLAIMED)} t from documents) select doc_id, {_unexcused_sql('t', 'verified correct', claims.NEGATION, claims.LOOK_BACK)} as claimed from t")
+def unnegated_claims(spark, sf_dir):
+    """Whether a text claims without denial, where its own frequent words stand for claims, negations and stops."""
+    return _docs(spark, sf_dir).select("doc_id", claims.unnegated_claim(_stand_in(F.coalesce("text", F.lit("")), _CLAIMED)).alias("claimed"))
+
+
+_TOOL_SQL = ", ".join(f"case when regexp_matches(t, '(?i){p}') then '{k}' end" for k, p in claims.TOOL_CLAIMS.items())
+
+
+@query(f"""
+with t as (select doc_id, {_stand_in_sql(_TOOLED)} t from documents),
+s as (select doc_id, list_filter([{_TOOL_SQL}, case when {_unexcused_sql('t', 'verified', claims.VERIFIED_NEGATION, claims.VERIFIED_BACK)} then 'verified' end], lambda x: x is not null) k from t)
+select doc_id, array_to_string(list_sort(k), ',') as tools from s
+""")
 def unsupported_tool_claims(spark, sf_dir):
+    """The tools whose outcome a text claims, where its own frequent words stand for the claims."""
     from siltstone import vocab as V
-    from siltstone.functions.claims import tool_claims
 
-    said = tool_claims(_pick([t for t, _ in _OUTCOMES]), dict.fromkeys(V.TOOLS, F.lit(False)))
+    said = claims.tool_claims(_stand_in(F.coalesce("text", F.lit("")), _TOOLED), dict.fromkeys(V.TOOLS, F.lit(False)))
     return _docs(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(said), ",").alias("tools"))
 
 
@@ -85,94 +130,146 @@ def import_warning_codes(spark, sf_dir):
     return _docs(spark, sf_dir).where("text IS NOT NULL").select("doc_id", F.array_join(F.array_sort(import_warnings(F.col("source"), F.col("text"))), ",").alias("codes"))
 
 
-_CODE = [
-    ("module a(input clk, input rst_n, output reg [3:0] q);\n always @(posedge clk) if (!rst_n) q <= 0; else q <= q + 1;\nendmodule", "a", "rst_n", "clk", "q"),
-    ("  module b (input areset, input [1:0] d,\n output y_cnt);\nendmodule\nmodule c; endmodule", "b", "areset", "", "y_cnt"),
-    ("no code", None, "", "", ""),
-]
+_CODE = [("module a(input clk, input rst_n, output reg [3:0] q);\n always @(posedge clk) if (!rst_n) q <= 0; else q <= q + 1;\nendmodule",)]
 
+_SEQUENTIAL = "module {0} (input {1}_clk, input {2}_rst_n, output reg [3:0] {3}_q);\n always @(posedge {1}_clk) if (!{2}_rst_n) {3}_q <= 0; else {3}_q <= {3}_q + 1;\nendmodule\nmodule {4}; endmodule"
+_PLAIN = "  module {4} (input areset, input [1:0] {5}_d,\n output {0}_y);\n assign {0}_y = {5}_d[0];\nendmodule"
 
-@query(f"""
-select doc_id, {_pick_sql([c[1] for c in _CODE])} as top_module, {_pick_sql([c[2] for c in _CODE])} as resets, {_pick_sql([c[3] for c in _CODE])} as clocks,
-  {_pick_sql([c[4] for c in _CODE])} as outputs from documents
+
+def _filled(template: str) -> Column:
+    """A template with the document's names in it."""
+    parts = re.split(r"\{(\d)\}", template)
+    return F.concat(*[F.col(f"n{x}") if k % 2 else F.lit(x) for k, x in enumerate(parts) if x])
+
+
+def _filled_sql(template: str) -> str:
+    parts = re.split(r"\{(\d)\}", template)
+    return " || ".join(f"n{x}" if k % 2 else "'" + x.replace("'", "''") + "'" for k, x in enumerate(parts) if x)
+
+
+@query(f"""{NAMED}, k as (select *, case when n % 3 = 0 then 2 when n % 3 = 1 then 1 else 0 end kind from n)
+select doc_id, case kind when 2 then n0 when 1 then n4 end as top_module, case kind when 2 then n2 || '_rst_n' when 1 then 'areset' else '' end as resets, case kind when 2 then n1 || '_clk' else '' end as clocks,
+  case kind when 2 then n3 || '_q' when 1 then n0 || '_y' else '' end as outputs from k
 """)
 def rtl_summaries(spark, sf_dir):
+    """Designs named after words of the text, with and without a clock; a third are the text itself, which is no design."""
     from siltstone.functions import rtl
 
-    code = _pick([c[0] for c in _CODE])
-    about, ports = rtl.summary(code), rtl.port_directions(code)
+    code = F.when(F.col("n") % 3 == 0, _filled(_SEQUENTIAL)).when(F.col("n") % 3 == 1, _filled(_PLAIN)).otherwise(F.coalesce("text", F.lit("")))
+    d = _named(spark, sf_dir).select("doc_id", code.alias("code"))
+    about, ports = rtl.summary(F.col("code")), rtl.port_directions(F.col("code"))
     outputs = F.map_keys(F.map_filter(ports, lambda k, v: v == "output"))
-    return _docs(spark, sf_dir).select("doc_id", about["top_module"].alias("top_module"), F.array_join(about["reset_signals"], ",").alias("resets"), F.array_join(about["clock_signals"], ",").alias("clocks"), F.array_join(outputs, ",").alias("outputs"))
+    return d.select("doc_id", about["top_module"].alias("top_module"), F.array_join(about["reset_signals"], ",").alias("resets"), F.array_join(about["clock_signals"], ",").alias("clocks"), F.array_join(outputs, ",").alias("outputs"))
 
 
 _EDITS = [
-    ("if (!rst_n) q <= 0;", "wrong_reset_polarity", None), ("assign w = a << 2;", "shift_direction_flip", "assign w = a >> 2;"), ("assign z = sel ? a : b;", "wrong_mux_select_polarity", "assign z = !sel ? a : b;"),
-    ("if (my_count < 9) x = 1;", "off_by_one_counter_limit", "if (my_count <= 9) x = 1;"), ("always @* if (c) y = a; else y = b;", "incomplete_comb_assignment", "always @* if (c) y = a; else begin\n     /* incomplete_comb_assignment removed assignment to y */\n end"),
-    ("always @(posedge clk) q <= d;", "blocking_nonblocking_swap_in_clocked_block", "always @(posedge clk) q = d;"), ("output [3:0] q; assign q = a;", "width_truncation_output", "output [3:0] q; assign q = a[0];"),
-    ("if (rst) state <= 2'b00;", "wrong_fsm_reset_state", "if (rst) state <= 2'b01;"),
+    ("wrong_reset_polarity", "module {0} (input {1}_clk, input {2}_rst_n, output reg {3}_q);\n always @(posedge {1}_clk) if (!{2}_rst_n) {3}_q <= {4};\nendmodule", "if (!{2}_rst_n)", "if ({2}_rst_n)"),
+    ("shift_direction_flip", "assign {0} = {1} << 2; assign {2} = {3} >> 1;", "{1} << 2", "{1} >> 2"),
+    ("wrong_mux_select_polarity", "assign {0} = {1}_sel ? {2} : {3};", "{1}_sel ?", "!{1}_sel ?"),
+    ("off_by_one_counter_limit", "if ({0}_count < 9) {1} = 1;", "{0}_count < 9", "{0}_count <= 9"),
+    ("incomplete_comb_assignment", "always @* if ({0}) {1} = {2}; else {1} = {3};", "else {1} = {3};", "else begin\n     /* incomplete_comb_assignment removed assignment to {1} */\n end"),
+    ("blocking_nonblocking_swap_in_clocked_block", "always @(posedge {0}) {1} <= {2}; always @(posedge {0}) {3} <= {1};", "{1} <= {2};", "{1} = {2};"),
+    ("width_truncation_output", "output [3:0] {0}_q; assign {0}_q = {1};", "= {1};", "= {1}[0];"),
+    ("wrong_fsm_reset_state", "if ({0}_rst) {1}_state <= 2'b00;", "2'b00", "2'b01"),
 ]
 
 
-@query(f"""
-with e as (select doc_id, {_pick_sql([e[1] for e in _EDITS])} as bug_type, {_pick_sql([e[2] for e in _EDITS])} as mutated from documents)
-select * from e where mutated is not null
-""")
+def _edits_sql() -> str:
+    """The designs by the number of words, and each with its first fitting place exchanged as text."""
+    code = " ".join(f"when {k} then {_filled_sql(e[1])}" for k, e in enumerate(_EDITS))
+    old, new = (" ".join(f"when {k} then {_filled_sql(e[i])}" for k, e in enumerate(_EDITS)) for i in (2, 3))
+    types = " ".join(f"when {k} then '{e[0]}'" for k, e in enumerate(_EDITS))
+    return f"""{NAMED}, c as (select doc_id, case n % 8 {types} end bug_type, case n % 8 {code} end code, case n % 8 {old} end old, case n % 8 {new} end new from n)
+select doc_id, bug_type, left(code, instr(code, old)::BIGINT - 1) || new || substr(code, instr(code, old)::BIGINT + length(old)) as mutated from c"""
+
+
+@query(_edits_sql())
 def mutations(spark, sf_dir):
-    """The edit that each text is made for, of all edits that fit it."""
+    """Designs named after words of the text, one shape for each edit; of all edits that fit, the one the shape is made for."""
     from siltstone.operators.mutate import mutate
 
-    d = _docs(spark, sf_dir).select("doc_id", _pick([e[0] for e in _EDITS]).alias("code"), _pick([e[1] for e in _EDITS]).alias("want"))
-    found = mutate(d, "doc_id", "code", 99)
-    return found.join(d.select("doc_id", "want"), "doc_id").where("bug_type = want").select("doc_id", "bug_type", "mutated")
+    kind, code, want = F.col("n") % len(_EDITS), F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, e in enumerate(_EDITS):
+        code, want = F.when(kind == k, _filled(e[1])).otherwise(code), F.when(kind == k, e[0]).otherwise(want)
+    d = _named(spark, sf_dir).select(F.struct("doc_id", want.alias("want")).alias("key"), code.alias("code"))
+    return mutate(d, "key", "code", 99).where("bug_type = key.want").select("key.doc_id", "bug_type", "mutated")
 
 
 _PROMPTS = [
-    ("Write a module named Foo.\n - input clk\n - output q (4 bits)\n", "Foo", "input clk|output q (4 bits)", False, False),
-    ("Fix this.\nmodule TopModule (\n  input a,\n  output b\n);\nendmodule\nUnfortunately, this module has a bug.", "TopModule", "input a|output b", True, False),
-    ("Use\nmodule helper (\n  input a\n);\nendmodule\n", "helper", "input a", False, True),
-    ("A top-level module with the following interface", "TopModule", "", False, False), ("Nothing", None, "", False, False),
+    ("Write a module named {0}.\n - input {1}\n - output {2} ({3} bits)\n", "'{0}'", "'input {1}|output {2} ({3} bits)'", False, False),
+    ("Fix this.\nmodule TopModule (\n  input {0},\n  output {1}\n);\nendmodule\nUnfortunately, this module has a bug.", "'TopModule'", "'input {0}|output {1}'", True, False),
+    ("Use\nmodule {2} (\n  input {3}\n);\nendmodule\n", "'{2}'", "'input {3}'", False, True),
+    ("A top-level module with the following interface: {4}", "'TopModule'", "''", False, False),
 ]
 
 
-@query(f"""
-select doc_id, {_pick_sql([p[1] for p in _PROMPTS])} as target, {_pick_sql([p[2] for p in _PROMPTS])} as ports, {_pick_sql([p[3] for p in _PROMPTS])} as candidate, {_pick_sql([p[4] for p in _PROMPTS])} as context from documents
-""")
+def _prompts_sql() -> str:
+    column = lambda i: " ".join(f"when {k} then {_filled_sql(p[i][1:-1]) if p[i] != chr(39) * 2 else p[i]}" for k, p in enumerate(_PROMPTS))
+    flag = lambda i: " or ".join(f"n % 5 = {k}" for k, p in enumerate(_PROMPTS) if p[i])
+    return f"{NAMED} select doc_id, case n % 5 {column(1)} end as target, case n % 5 {column(2)} else '' end as ports, ({flag(3)}) as candidate, ({flag(4)}) as context from n"
+
+
+@query(_prompts_sql())
 def prompt_interfaces(spark, sf_dir):
+    """Prompts about modules and ports named after words of the text; a fifth are the text itself."""
     from siltstone.functions import prompts
 
-    p = _pick([x[0] for x in _PROMPTS])
-    ports = F.array_join(F.transform(prompts.interface_ports(p), lambda x: F.regexp_replace(x, r"\s+", " ")), "|")
-    return _docs(spark, sf_dir).select("doc_id", prompts.target_module(p).alias("target"), ports.alias("ports"), prompts.embedded_candidate(p).isNotNull().alias("candidate"), prompts.embedded_context(p).isNotNull().alias("context"))
+    prompt = F.coalesce("text", F.lit(""))
+    for k, p in enumerate(_PROMPTS):
+        prompt = F.when(F.col("n") % 5 == k, _filled(p[0])).otherwise(prompt)
+    d = _named(spark, sf_dir).select("doc_id", prompt.alias("p"))
+    ports = F.array_join(F.transform(prompts.interface_ports(F.col("p")), lambda x: F.regexp_replace(x, r"\s+", " ")), "|")
+    return d.select("doc_id", prompts.target_module(F.col("p")).alias("target"), ports.alias("ports"), prompts.embedded_candidate(F.col("p")).isNotNull().alias("candidate"), prompts.embedded_context(F.col("p")).isNotNull().alias("context"))
 
 
 # files
 
-_PATHS = [
-    ("/x/repaired/a.json", "repaired", 0), ("/x/assembled/a.jsonl", "combined", 1), ("/x/batch_001.json", "batch", 2), ("/x/answers.json", "batch", 2), ("/x/y.json", "other", 3), ("/x/repaired/clean_batch_1.json", "repaired", 0),
-]
+# folders and names that a path is made of, by words of the page's address and text
+_FOLDERS = ["repaired", "assembled", "x", "merged", "Teacher_Answer_Returns", "distill", "eval", "raw", "clean", "answers"]
+_FILE_NAMES = ["batch_001.json", "assembly_report.md", "y.json", "answers.jsonl", "prompts.jsonl", "triage_report.json", "t.txt"]
+_SCHEMAS = ["rtl_answer_v0.1", "rtl_task_v0.1", "train/chat row with messages", "unknown"]
+_PATH_SQL = f"""
+with u as (select page_id, url, length(html) h, len(regexp_extract_all(html, '<p>')) p from pages),
+p as (select page_id, h, p, regexp_replace(url, '^[a-z]+://', '') || '/' || {json.dumps(_FOLDERS).replace('"', "'")}[1 + h % {len(_FOLDERS)}] || '/' || {json.dumps(_FOLDERS).replace('"', "'")}[1 + p % {len(_FOLDERS)}] || '/' || {json.dumps(_FILE_NAMES).replace('"', "'")}[1 + (h + p) % {len(_FILE_NAMES)}] as path,
+  {json.dumps(_SCHEMAS).replace('"', "'")}[1 + h % {len(_SCHEMAS)}] as schema from u)
+"""
 
 
-@query(f"select doc_id, {_pick_sql([p[1] for p in _PATHS])} as tier, {_pick_sql([p[2] for p in _PATHS])} as place from documents")
-def answer_file_tiers(spark, sf_dir):
-    from siltstone.operators.audit import priority, tier
+def _paths(spark, sf_dir) -> DataFrame:
+    """Paths of the pages' addresses with folders, file names and row schemas that their lengths and paragraphs pick."""
+    h, p = F.length("html"), F.regexp_count("html", F.lit("<p>"))
+    of = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (1 + k % len(values)).cast("int"))
+    path = F.concat_ws("/", F.regexp_replace("url", "^[a-z]+://", ""), of(_FOLDERS, h), of(_FOLDERS, p), of(_FILE_NAMES, h + p))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", path.alias("path"), of(_SCHEMAS, h).alias("schema"))
 
-    p = _pick([x[0] for x in _PATHS])
-    return _docs(spark, sf_dir).select("doc_id", tier(p).alias("tier"), priority(p).alias("place"))
 
+@query(_PATH_SQL + """
+, t as (select page_id, lower(path) l from p)
+select page_id, case when contains(l, 'repaired') then 'repaired' when regexp_matches(l, 'assembled|combined|clean|merged') then 'combined' when regexp_matches(l, 'batch_|teacher_answer_returns|teacher_answer_batches|answer') then 'batch' else 'other' end as tier,
+  case when contains(l, 'repaired') then 0 when regexp_matches(l, 'assembled|combined|clean|merged') then 1 when regexp_matches(l, 'batch_|answer') then 2 else 3 end::INT as place from t
+""")
+def answer_file_tiers(spark, sf_dir):
+    from siltstone.operators.audit import priority, tier
 
-_FILES = [
-    ("reports/assembly_report.md", None, "assembly_report"), ("x/triage_report.json", None, "validation_report"), ("answers/repaired/a/b.json", "rtl_answer_v0.1", "repaired_answer_batch"), ("a/merged/x.jsonl", "rtl_answer.v0.1", "assembled_answer_jsonl"),
-    ("teacher_returns/x.jsonl", "rtl_answer_v0.1", "teacher_answer_batch"), ("x/t.jsonl", "rtl_task_v0.1", "normalized_task"), ("a/distill/s/t.jsonl", "train/chat row with messages", "distill_dataset"), ("a/eval/prompts.jsonl", "unknown", "eval_prompt"),
-    ("a/eval/run/x.json", None, "eval_run"), (".local_data/x.v", None, "raw_source"), ("x.txt", None, "unknown"),
-]
+    return _paths(spark, sf_dir).select("page_id", tier(F.col("path")).alias("tier"), priority(F.col("path")).alias("place"))
 
 
-@query(f"select doc_id, {_pick_sql([p[2] for p in _FILES])} as role from documents")
+@query(_PATH_SQL + """
+, t as (select page_id, lower(path) l, regexp_extract(lower(path), '[^/]*$') f, schema from p)
+select page_id, case
+  when regexp_matches(f, '\\.(json|md)$') and contains(f, 'assembly') and contains(f, 'report') then 'assembly_report'
+  when regexp_matches(f, '(validation|readiness_report|triage_report|selection_report).*\\.(json|md)$') then 'validation_report'
+  when schema = 'rtl_answer_v0.1' then case when contains(l, '/repaired/') then 'repaired_answer_batch' when f like '%.jsonl' and (contains(l, '/merged/') or regexp_matches(f, 'assembled|clean')) then 'assembled_answer_jsonl'
+    when contains(l, 'teacher_answer_returns') or starts_with(f, 'batch_') then 'teacher_answer_batch' when f like '%.jsonl' then 'assembled_answer_jsonl' else 'teacher_answer_batch' end
+  when schema = 'rtl_task_v0.1' then 'normalized_task'
+  when schema like '%messages' and contains(l, '/distill/') then 'distill_dataset'
+  when contains(l, '/eval/') then case when contains(l, 'prompt') then 'eval_prompt' else 'eval_run' end
+  when schema like '%messages' then 'unknown' when contains(l, '/raw/') then 'raw_source' else 'unknown' end as role from t
+""")
 def file_roles(spark, sf_dir):
     from siltstone.operators.workspace import role
 
-    schema = _pick([p[1] or "" for p in _FILES])
-    return _docs(spark, sf_dir).select("doc_id", role(_pick([p[0] for p in _FILES]), F.when(schema != "", schema)).alias("role"))
+    return _paths(spark, sf_dir).select("page_id", role(F.col("path"), F.col("schema")).alias("role"))
 
 
 @query("""
@@ -214,36 +311,55 @@ def first_with_maps(spark, sf_dir):
 # answers
 
 _TASK = {"schema_version": "rtl_task_v0.1", "task_type": "rtl_bug_review", "artifacts": {"rtl_code": _CODE[0][0]}, "extracted_rtl_summary": {"top_module": "a", "registered_signals": ["q"]}}
-_REASON = "the register wraps after sixteen cycles"
+_PLANS = [["lint"], ["compile", "simulate"], ["lint", "simulation", "synthesis area", "toggle vcd", "power report"], []]
+_SEVERITIES = ["low", "huge", "high"]
+
+
+def _row_text() -> str:
+    """A dataset row that keeps every rule, around a design named after words of the document."""
+    from siltstone import vocab as V
+
+    task = {
+        "schema_version": "rtl_task_v0.1", "domain": "digital_rtl", "task_type": "rtl_bug_review", "user_goal": "find_correctness_bug", "design_context": dict.fromkeys(V.CONTEXT_FIELDS, "x"),
+        "artifacts": dict.fromkeys(V.ARTIFACTS) | {"rtl_code": _SEQUENTIAL}, "extracted_rtl_summary": dict.fromkeys(V.SUMMARY_FIELDS, []) | {"top_module": "{0}", "registered_signals": ["{3}_q"]},
+        "constraints": dict.fromkeys(V.CONSTRAINTS, True), "assumptions": [], "required_output": list(V.REQUIRED_OUTPUT),
+    }
+    return json.dumps({
+        "id": "row_{0}", "dataset_version": "dataset_v0.1", "split": "unsplit", "source": "public_rtllm", "license": "MIT", "design_family": "{1}", "task_family": "rtl_bug_review", "created_by": "t",
+        "review_status": "reviewed", "provenance": dict.fromkeys(V.PROVENANCE_FIELDS, "p"), "tool_checks": dict.fromkeys(V.TOOLS),
+        "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": task}, {"role": "assistant", "content": {"issue_summary": []}}],
+    })
 
 
 def _rows(spark, sf_dir) -> DataFrame:
-    """A dataset row ``v`` and a candidate ``answer`` for each document."""
-    odd, long_, en = F.col("doc_id") % 2 == 1, F.col("n_chars") > 500, F.col("lang") == "en"
-    plan = [["lint"], ["compile", "simulate"], ["lint", "simulation", "synthesis area", "toggle vcd", "power report"], []]
-    levels = {"correctness": "insufficient_evidence", "area": "insufficient_evidence", "activity": "insufficient_evidence", "power": "insufficient_evidence"}
+    """A dataset row ``v`` and a candidate ``answer`` for each document: the text's digits, words and length decide how good it is."""
+    from siltstone import vocab as V
+
+    en, said = F.col("lang") == "en", F.array_join(F.slice("w", 1, 1 + F.col("n") % 6), " ")
+    levels = dict.fromkeys(V.CLAIM_DOMAINS, "insufficient_evidence")
+    pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (1 + k % len(values)).cast("int"))
     parts = [
-        F.lit('{"schema_version":"rtl_answer_v0.1","task_type":"rtl_bug_review","source_id":"s","evidence_used":[],"limitations":[],"patch":{},"functional_risk":["x"],"safe_optimization":{},"claim_levels":' + json.dumps(levels) + ',"issue_summary":[{"issue":"'),
-        F.when(odd, "counter wraps").otherwise(""), F.lit('","severity":"'), _pick(["low", "huge", "high"]), F.lit('","evidence":{"signal_names":["q"],"code_location":{"module":"A","block":"always"},"reason":"'),
-        F.when(long_, _REASON).otherwise("short"), F.lit('"}}],"time_reasoning":{"clock_cycle_behavior":"'), F.when(long_, "every cycle adds one to the register").otherwise("baseline"),
+        F.lit('{"schema_version":"rtl_answer_v0.1","task_type":"rtl_bug_review","source_id":"s","evidence_used":[],"limitations":[],"patch":{},"functional_risk":["x"],"safe_optimization":{"recommendation":"none","patch_style":"explanation_only","expected_effect":"none"},"claim_levels":' + json.dumps(levels) + ',"issue_summary":[{"issue":"'),
+        F.when(F.coalesce("text", F.lit("")).rlike("[0-9]"), "counter wraps").otherwise(""), F.lit('","severity":"'), pick(_SEVERITIES, F.length(F.coalesce("text", F.lit("")))), F.lit('","evidence":{"signal_names":["'), F.concat("n3", F.lit("_q")),
+        F.lit('"],"code_location":{"module":"'), F.upper("n0"), F.lit('","block":"always","line_range":"2"},"reason":"'), said, F.lit('"}}],"time_reasoning":{"clock_cycle_behavior":"'), said,
         F.lit('","latency_or_state_risk":"none","reset_behavior_risk":"none"},"space_reasoning":{"hardware_resources_involved":["register"],"area_risk":"'), F.when(en, "synthesis evidence").otherwise("small"),
-        F.lit('","activity_risk":"unknown"},"verification_plan":'), _pick([json.dumps(p) for p in plan]), F.lit("}"),
+        F.lit('","activity_risk":"unknown"},"verification_plan":'), pick([json.dumps(p) for p in _PLANS], F.col("n")), F.lit("}"),
     ]
-    row = {"id": "r", "task_family": "rtl_bug_review", "source": "public_rtllm", "tool_checks": {}, "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": _TASK}, {"role": "assistant", "content": {"issue_summary": []}}]}
-    return _docs(spark, sf_dir).select("doc_id", "lang", F.parse_json(F.lit(json.dumps(row))).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
+    d = _named(spark, sf_dir)
+    return d.select("doc_id", "lang", F.coalesce("text", F.lit("")).rlike("[0-9]").alias("digits"), F.parse_json(_filled(_row_text())).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
 
 
-@query("""
-with d as (select doc_id, (doc_id % 2)::INT o, (n_chars > 500)::INT l, (lang = 'en')::INT e, doc_id % 3 m, doc_id % 4 k from documents)
-select doc_id, round(0.2 * 6 / 6, 6) as schema_, round(0.25 * (o + case when m <> 1 then 1 else 0 end + 3 + l) / 6, 6) as grounding, round(0.2 * (l + 2 + e) / 5, 6) as reasoning,
-  round(0.1 * case k when 0 then 1 when 1 then 2 when 2 then 5 else 0 end / 5, 6) as verification, 0.05 as alignment, 0.2 as claim_safety, 0.25 as score from d
+@query(NAMED + """
+, d as (select doc_id, regexp_matches(coalesce(text, ''), '[0-9]')::INT o, (length(array_to_string(w[1:1 + n % 6], ' ')) >= 20)::INT l, coalesce(lang = 'en', false)::INT e, length(coalesce(text, '')) % 3 m, n % 4 k from n),
+p as (select *, 0.2 as schema_, round(0.25 * (o + case when m <> 1 then 1 else 0 end + 3 + l) / 6, 6) as grounding, round(0.2 * (l + 2 + e) / 5, 6) as reasoning, round(0.1 * case k when 0 then 1 when 1 then 2 when 2 then 5 else 0 end / 5, 6) as verification from d)
+select doc_id, schema_, grounding, reasoning, verification, 0.05 as alignment, 0.2 as claim_safety,
+  case when o = 0 or m = 1 or k = 3 then least(0.25, round(schema_ + 0.25 * (o + case when m <> 1 then 1 else 0 end + 3 + l) / 6 + reasoning + verification + 0.25, 6)) else round(schema_ + 0.25 * (o + 1 + 3 + l) / 6 + reasoning + verification + 0.25, 6) end as score from p
 """)
 def evaluator_scores(spark, sf_dir):
-    """Scores are capped, as the rows themselves break rules of the catalogue."""
+    """Scores of answers to whole rows; those that break a rule are capped."""
     from siltstone.operators.scoring import score_answers
 
-    s = score_answers(_rows(spark, sf_dir)).select("doc_id", F.col("schema").alias("schema_"), "grounding", "reasoning", "verification", "alignment", "claim_safety", "score")
-    return s.withColumn("score", F.when(F.col("score") <= 0.25, 0.25).otherwise(F.col("score")))
+    return score_answers(_rows(spark, sf_dir).select("doc_id", "v", "answer")).select("doc_id", F.col("schema").alias("schema_"), "grounding", "reasoning", "verification", "alignment", "claim_safety", "score")
 
 
 @query("""
@@ -267,16 +383,18 @@ def prediction_categories(spark, sf_dir):
     return predictions.score(prompts, given).select(F.col("source_id").cast("long").alias("doc_id"), *kept)
 
 
-@query("""
-with d as (select doc_id, doc_id % 2 <> (doc_id + 1) % 2 as flip, doc_id % 3 as m, doc_id % 4 k from documents)
-select d.doc_id, (case when doc_id % 2 = 1 then 1 else 0 end)::INT as difference_score, doc_id % 2 = 1 as issue_text_changed, false as signal_names_changed, false as patch_provided_changed, doc_id % 2 = 0 as exact_same from d
+@query(NAMED + """
+, d as (select doc_id, regexp_matches(coalesce(text, ''), '[0-9]') o, regexp_matches(n3, 'th|en') s from n)
+select doc_id, (o::INT + s::INT)::INT as difference_score, o as issue_text_changed, s as signal_names_changed, false as patch_provided_changed, not o and not s as exact_same from d
 """)
 def answer_differences(spark, sf_dir):
-    """Each answer against itself without the text of its issue."""
+    """Each answer against itself without the text of its issue, and with its signal's name without some letters."""
     from siltstone.operators.differences import row_differences
 
     d = _rows(spark, sf_dir).withColumn("id", F.col("doc_id").cast("string"))
-    bare = d.select("id", F.parse_json(F.regexp_replace(F.to_json("answer"), "counter wraps", "")).alias("answer"))
+    signal = F.concat(F.lit('"signal_names":["'), F.regexp_replace(F.get_json_object(F.to_json("answer"), "$.issue_summary[0].evidence.signal_names[0]"), "th|en", "x"), F.lit('"]'))
+    bare = F.regexp_replace(F.regexp_replace(F.to_json("answer"), F.lit("counter wraps"), F.lit("")), F.lit(r'"signal_names":\[[^\]]*\]'), signal)
+    bare = d.select("id", F.parse_json(bare).alias("answer"))
     found = row_differences(d.select("id", "v"), d.select("id", "answer"), bare)
     return found.select(F.col("id").cast("long").alias("doc_id"), "difference_score", "issue_text_changed", "signal_names_changed", "patch_provided_changed", "exact_same")
 
