@@ -41,58 +41,73 @@ def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate([[0], np.cumsum([len(w) + 2 for w in words])]).astype(np.int64)
 
 
-def grams(flat: np.ndarray, off: np.ndarray, order: int):
-    """(word, context name, gram name) of every letter after the start mark, for one order.
+class Letters:
+    """Names of the grams of every letter, order by order.
 
-    The context is the ``order`` - 1 bytes before, or all since the start mark if these are fewer.
+    A gram is the last ``order`` bytes up to a letter, or all since the word's start mark if these are fewer. It is
+    named by the gram one shorter that ends before it, which is its context, and its own letter, so an order follows
+    from the one below with one pass, and only neighbouring orders are held.
     """
-    n = len(flat)
-    ranges = T.Ranges(flat.astype(_U))
-    counts = np.diff(off) - 1
-    at = T.spread(off[:-1] + 1, counts)
-    first = np.maximum(at - (order - 1), np.repeat(off[:-1], counts))
-    word = np.repeat(np.arange(len(counts)), counts)
-    context = ranges.names(first, at) if n else np.zeros(0, _U)
-    return word, context, gram_name(context, flat[at])
 
+    def __init__(self, flat: np.ndarray, off: np.ndarray):
+        self.starts = off[:-1]
+        self.letter = T.mix(flat.astype(_U) + _U(77))
+        self.inner = np.ones(len(flat), bool)
+        self.inner[self.starts] = False
+        self.names = self.letter.copy()  # of all bytes, for the present order
+        self.names[self.starts] = _U(1)
+        self.context = np.zeros(len(flat), _U)  # order 1 has one context
+        self.counts = np.diff(off) - 1
 
-def gram_name(context: np.ndarray, letter: np.ndarray) -> np.ndarray:
-    return T.mix(context + T.mix(letter.astype(_U) + _U(77)))
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(context, gram) of every letter for the present order."""
+        return self.context[self.inner], self.names[self.inner]
 
+    def rise(self) -> None:
+        """Go on to the next order."""
+        self.context[1:] = self.names[:-1]
+        self.names = T.mix(self.context * _U(0x9E3779B97F4A7C15) + self.letter)  # the factor keeps ab and ba apart
+        self.names[self.starts] = _U(1)
 
-def _sums(keys: np.ndarray, *values: np.ndarray):
-    names, back = np.unique(keys, return_inverse=True)
-    return names, back, *(np.bincount(back, v, len(names)) for v in values)
+    def words(self) -> np.ndarray:
+        """The word of every letter."""
+        return np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
+
+
+def _distinct(keys: np.ndarray, *values: np.ndarray):
+    """(names, a place of each, the name of each key, and the sums of the values; their number where none are given)."""
+    names, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    sums = [np.bincount(back, v, len(names)) for v in values] or [np.bincount(back, minlength=len(names)).astype(float)]
+    return names, first, back, *sums
 
 
 def fit(words: list[bytes], toxic: np.ndarray, ordinary: np.ndarray) -> dict[str, np.ndarray]:
     """Log ratios of seen letters by gram, and of unseen letters by context."""
-    flat, off = spell(words)
-    # the shared model: continuation counts, order by order
-    shared = None
-    for order in range(1, ORDER):
-        longer = grams(flat, off, order + 1)[2]
-        _, context, gram = grams(flat, off, order)
-        first = np.unique(longer, return_index=True)[1]  # distinct longer grams
-        context, gram = context[first], gram[first]
-        g, back, n = _sums(gram, np.ones(len(gram)))
-        one = np.zeros(len(g), np.int64)
-        one[back] = np.arange(len(gram))
-        c, home, total, types = _sums(context[one], n, np.ones(len(g)))
+    letters = Letters(*spell(words))
+    # the shared model: continuation counts, order by order; below, here and above are the grams of three orders
+    shared, below = None, None
+    context, here = letters.grams()
+    for _ in range(1, ORDER):
+        letters.rise()
+        context_above, above = letters.grams()
+        first = np.unique(above, return_index=True)[1]  # distinct longer grams
+        g, one, back, n = _distinct(here[first])
+        one = first[one]
+        c, _, home, total, types = _distinct(context[one], n, np.ones(len(g)))
         d = _discount(n)
-        lower = 1 / 256 if shared is None else _look(shared, lower_grams(flat, off, order - 1, first[one]))
+        lower = 1 / 256 if shared is None else _look(shared, below[one])
         p = (np.maximum(n - d, 0) + d * types[home] * lower) / total[home]
         shared = (g, p)
-    word, context, gram = grams(flat, off, ORDER)
-    low = _look(shared, grams(flat, off, ORDER - 1)[2])
+        below, here, context = here, above, context_above
+        del above, context_above, first, back, home
+    word, gram = letters.words(), here
+    del letters, here
     out = {}
     parts = []
-    g, back, nt, no = _sums(gram, toxic[word], ordinary[word])
-    one = np.zeros(len(g), np.int64)
-    one[back] = np.arange(len(gram))
-    low, context = low[one], context[one]
+    g, one, _, nt, no = _distinct(gram, toxic[word], ordinary[word])
+    low, context = _look(shared, below[one]), context[one]
     for n in (nt, no):
-        c, home, total, types = _sums(context, n, (n > 0).astype(float))
+        c, _, home, total, types = _distinct(context, n, (n > 0).astype(float))
         d = _discount(n[n > 0])
         gamma = np.where(total > 0, d * types / np.maximum(total, 1e-9), 1.0)
         top = np.where(total[home] > 0, np.maximum(n - d, 0) / np.maximum(total[home], 1e-9), 0)
@@ -102,11 +117,6 @@ def fit(words: list[bytes], toxic: np.ndarray, ordinary: np.ndarray) -> dict[str
     return out
 
 
-def lower_grams(flat, off, order, at):
-    """Names of the grams of a lower order at the given letters; order 0 has one name."""
-    return grams(flat, off, order)[2][at] if order else np.zeros(len(at), _U)
-
-
 def _discount(n: np.ndarray) -> float:
     n1, n2 = int((n == 1).sum()), int((n == 2).sum())
     return n1 / (n1 + 2 * n2) if n1 else 0.5
@@ -127,8 +137,10 @@ def _looked_up(names: np.ndarray, values: np.ndarray, query: np.ndarray):
 
 def ratios(model: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
     """The log-likelihood ratio of each word alone."""
-    flat, off = spell(words)
-    word, context, gram = grams(flat, off, ORDER)
+    letters = Letters(*spell(words))
+    for _ in range(1, ORDER):
+        letters.rise()
+    word, (context, gram) = letters.words(), letters.grams()
     seen, hit = _looked_up(model["gram"], model["gram_ratio"], gram)
     rest, known = _looked_up(model["context"], model["context_ratio"], context)
     each = np.where(hit, seen, np.where(known, rest, 0.0))
