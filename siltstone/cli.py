@@ -128,13 +128,13 @@ def import_records(spark, a):
     return {"index": index, "tasks": good, "skipped": skipped, "families": index.groupBy("rough_design_family").count()}, []
 
 
-@command("mutate", files("input"), text("code", "rtl_code"), number("per-row", 1), number("seed", 42), number("limit", None))
+@command("mutate", files("input"), number("per-row", 1), number("target", None), number("rows", None), number("seed", 42))
 def mutate(spark, a):
-    from siltstone.operators.mutate import mutate as run
+    from siltstone.operators.synthesize import synthesize
 
-    v = Node("v")
-    rows = _rows(spark, a.input).select(v["source_id"].text().alias("source_id"), F.coalesce(v[a.code].text(), v["artifacts"][a.code].text()).alias("code"))
-    return {"variants": run(rows, "source_id", "code", a.per_row, a.seed, a.limit)}, []
+    made = synthesize(jsonl.scan(spark, a.input), a.per_row, a.target, a.rows, a.seed)
+    totals = spark.createDataFrame([(made.processed, made.emitted_rows, made.shortfall)], "processed long, emitted long, shortfall long")
+    return {"variants": made.emitted.orderBy("rank", "k").select("raw"), "skipped": made.skipped, "totals": totals, "bug_types": made.bug_types(), "reasons": made.reasons()}, []
 
 
 @command("teacher-export", files("input"), number("size", 5), number("start", 0), number("limit", None))
@@ -206,13 +206,13 @@ def assemble(spark, a):
     return {"rows": kept, "others": others.select("source_id", "file", "row_index", "relation"), "missing": tasks.join(chosen, "source_id", "left_anti"), "extra": chosen.join(tasks, "source_id", "left_anti").select("source_id", "file")}, ["missing"]
 
 
-@command("distill", files("tasks"), files("answers"), text("sizes"), number("seed", 42), text("system", SYSTEM), flag("by-hash"))
+@command("distill", files("tasks"), files("answers"), text("sizes"), number("seed", 42), text("system", SYSTEM))
 def distill(spark, a):
     from siltstone.operators import distill as D
 
     tasks, answers = _keyed(_rows(spark, a.tasks), "task"), _items(spark, a.answers).select(Node("item")["source_id"].text().alias("source_id"), F.col("item").alias("answer"))
     sizes = dict(zip(D.SPLITS, map(int, a.sizes.split(","))))
-    rows = D.rows(tasks, answers, D.assign(tasks, sizes, a.seed, not a.by_hash), a.seed, a.system)
+    rows = D.rows(tasks, answers, D.assign(tasks, sizes, a.seed), a.seed, a.system)
     checks = D.row_checks(rows.select(F.parse_json(F.to_json(F.struct("*"))).alias("v")))
     return {"rows": rows, "problems": D.preflight(tasks, answers), "checks": checks}, ["problems"]
 
@@ -269,15 +269,13 @@ def score(spark, a):
     return {"rows": rows, "categories": P.category_counts(rows), "failures": P.failures_by_source(rows), "extra": P.extra(asked, given), "bad_prompts": bad, "bad_predictions": odd.where("severity = 'error'"), "warnings": odd.where("severity = 'warning'")}, ["bad_prompts", "bad_predictions"]
 
 
-@command("compare", files("runs"))
+@command("compare", files("runs"), several("metrics"))
 def compare(spark, a):
-    from siltstone.plans.evaluate import compare_runs
+    from siltstone.plans import evaluate as E
 
-    rows = None
-    for path in a.runs:
-        one = _rows(spark, path).select(F.lit(path).alias("run"), Node("v")["id"].text().alias("id"), Node("v")["score"].as_("double").alias("score"))
-        rows = one if rows is None else rows.unionByName(one)
-    return compare_runs(rows), []
+    rows, bad = E.load_results(jsonl.scan(spark, a.runs))
+    _, odd = E.load_objects(spark, a.metrics, E.METRICS)
+    return E.compare_runs(rows.withColumnRenamed("file", "run")) | {"weakest": E.weakest(rows), "problems": bad, "metric_problems": odd}, ["problems", "metric_problems"]
 
 
 @command("differences", files("dataset"), files("a"), files("b"))
@@ -338,7 +336,16 @@ def promote(spark, a):
     from siltstone.operators.review import promote as run
 
     good, bad = run(_rows(spark, a.input), a.allow_stub)
-    return {"accepted": good.select("raw"), "rejected": bad.select("file", "line", "problems")}, []
+    return {"accepted": good.select("raw"), "rejected": bad.select("file", "line", "reason", "problems"), "reasons": bad.groupBy("reason").count()}, []
+
+
+@command("finalize", text("selected"), text("reviewed"), text("golden"), text("target"), number("seed", 7), flag("allow-source-overlap"), flag("force"))
+def finalize(spark, a):
+    from siltstone.plans.finalize import finalize_batch
+
+    made = finalize_batch(spark, a.selected, a.reviewed, a.golden, a.target, a.seed, a.allow_source_overlap, a.force)
+    stages = spark.createDataFrame([(k, k in made.reused, json.dumps(x)) for k, x in made.done.items()], "stage string, reused boolean, found string")
+    return {"stages": stages, "problems": spark.createDataFrame([(x,) for x in made.errors], "problem string")}, ["problems"]
 
 
 @command("review-packet", files("input"))

@@ -12,7 +12,7 @@ from siltstone.functions import json_text
 from siltstone.functions.variant import Node
 from siltstone.operators import teacher
 from siltstone.operators.keys import duplicate_keys
-from siltstone.operators.split import global_rank
+from siltstone.operators.split import global_rank, shuffled
 
 # Names that mark a distilled row and its set.
 STAGE, STATUS, APPROVAL, SOURCE = "teacher_distill_pilot", "teacher_distilled_unreviewed", "not_approved", "teacher_generated"
@@ -22,8 +22,6 @@ NOTES = (
     "Teacher-distilled pilot row assembled from clean rtl_task_v0.1 and rtl_answer_v0.1 JSON. "
     "Not human-reviewed. Not golden. Not approved. Confirm license/provenance before any broader release or promotion."
 )
-#: Ids that are shuffled on the driver at most; beyond, order them by hash.
-SHUFFLE_IDS = 1_000_000
 
 
 def provenance(task: Node) -> Column:
@@ -86,11 +84,11 @@ def dealing(n: int, sizes: dict[str, int]) -> tuple[list[tuple[int, int, list[st
     return pieces, left
 
 
-def assign(tasks: DataFrame, sizes: dict[str, int], seed: int, shuffled: bool = True) -> DataFrame:
+def assign(tasks: DataFrame, sizes: dict[str, int], seed: int) -> DataFrame:
     """SPL-4: (source_id, split) for tasks (source_id, task): rows with a candidate dealt in turn, the others filled in.
 
-    ``shuffled``: the order is Python's seeded shuffle of the sorted ids, on the driver, for at most
-    ``SHUFFLE_IDS`` tasks. Otherwise it is that of a hash of seed and id, ranked in Spark, at any size.
+    The order is Python's seeded shuffle of the sorted ids, first of the rows with a candidate, then of the others. Ids are
+    ranked in Spark; only the shuffled numbers of the ranks are made on the driver.
     """
     spark = tasks.sparkSession
     d = tasks.select("source_id", teacher.has_candidate(Node("task")).alias("candidate"))
@@ -99,18 +97,11 @@ def assign(tasks: DataFrame, sizes: dict[str, int], seed: int, shuffled: bool =
     if n + m != sum(sizes.values()):
         raise ValueError(f"{n + m} tasks for splits of {sum(sizes.values())}")
     pieces, left = dealing(n, sizes)
-    if shuffled:
-        if n + m > SHUFFLE_IDS:
-            raise ValueError(f"more than {SHUFFLE_IDS} tasks: order them by hash")
-        draw, ranked = random.Random(seed), []
-        for kind in (True, False):
-            ids = sorted(r.source_id for r in d.where(F.col("candidate") == kind).collect())
-            draw.shuffle(ids)
-            ranked += [(x, kind, k) for k, x in enumerate(ids)]
-        d = spark.createDataFrame(ranked, "source_id string, candidate boolean, rank long")
-    else:
-        hashed = d.withColumn("h", F.sha2(F.concat_ws(":", F.lit(str(seed)), "source_id"), 256))
-        d = global_rank(hashed.where("candidate"), "h", "rank").unionByName(global_rank(hashed.where("NOT candidate"), "h", "rank")).drop("h")
+    draw, ranked = random.Random(seed), None
+    for kind, many in ((True, n), (False, m)):
+        part = global_rank(d.where(F.col("candidate") == kind), "source_id", "_row").join(shuffled(spark, many, draw, "_row", "rank"), "_row").drop("_row")
+        ranked = part if ranked is None else ranked.unionByName(part)
+    d = ranked
     dealt, filled, at = F.lit(None).cast("string"), F.lit(None).cast("string"), m
     for a, b, turn in reversed(pieces):
         dealt = F.when(F.col("rank") < b, F.element_at(F.array(*map(F.lit, turn)), (F.col("rank") % 3 + 1).cast("int"))).otherwise(dealt)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siltstone.functions import rtl
 
@@ -53,26 +52,50 @@ def _first(found: Column) -> Column:
     return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
 
 
-def _edit(text: Column | None, signals: Column, confidence: str) -> Column:
-    return F.when(text.isNotNull(), F.struct(text.alias("mutated"), signals.alias("signals"), F.lit(confidence).alias("confidence")))
+# How each edit is summed up; {0} is its signal, {1} and {2} the old and the new text.
+SUMMARIES = {
+    "reset": "Changed reset polarity check from '{1}' to '{2}'.",
+    "select": "Inverted mux select polarity for signal {0}.",
+    "branch": "Inverted branch select polarity for signal {0}.",
+    "else": "Removed an else-branch assignment for combinational signal {0}.",
+    "limit": "Changed counter limit comparison for {0} from '{1}' to '{2}'.",
+    "shift": "Flipped shift direction for assignment to {0} from '{1}' to '{2}'.",
+    "blocking": "Changed a clocked nonblocking assignment on {0} to a blocking assignment.",
+    "width": "Truncated the RHS driving vector output {0} to only bit 0.",
+    "state": "Changed the reset-state assignment for {0} from '{1}' to '{2}'.",
+}
+
+
+def _summary(kind: str, *values: Column) -> Column:
+    out = F.lit(SUMMARIES[kind])
+    for k, v in enumerate(values):
+        out = F.replace(out, F.lit(f"{{{k}}}"), F.coalesce(v, F.lit("")))
+    return out
+
+
+def _edit(text: Column | None, signals: Column, confidence: str, said: Column) -> Column:
+    return F.when(text.isNotNull(), F.struct(text.alias("mutated"), signals.alias("signals"), F.lit(confidence).alias("confidence"), said.alias("summary")))
 
 
 def candidates(text: Column) -> dict[str, Column]:
-    """Bug type -> (mutated, signals, confidence), null where the type does not apply."""
+    """Bug type -> (mutated, signals, confidence, summary), null where the type does not apply."""
     group = lambda pattern, k: F.regexp_extract(text, pattern, k)
     about = rtl.summary(text)
 
     def reset(name):
         low = F.concat(F.lit(r"if\s*\(\s*[!~]\s*"), _exact(name), F.lit(r"\s*\)"))
         high = F.concat(F.lit(r"if\s*\(\s*"), _exact(name), F.lit(r"\s*\)"))
-        new = F.coalesce(first_edit(text, low, F.concat(F.lit("if ("), name, F.lit(")"))), first_edit(text, high, F.concat(F.lit("if (!"), name, F.lit(")"))))
-        return _edit(new, F.array(name), "medium")
+        plain, negated = F.concat(F.lit("if ("), name, F.lit(")")), F.concat(F.lit("if (!"), name, F.lit(")"))
+        new = F.coalesce(first_edit(text, low, plain), first_edit(text, high, negated))
+        was = F.regexp_substr(text, low)
+        said = F.when(was.isNotNull(), _summary("reset", name, was, plain)).otherwise(_summary("reset", name, F.regexp_substr(text, high), negated))
+        return _edit(new, F.array(name), "medium", said)
 
     def truncated(name):
         drive = F.concat(F.lit(r"(?:assign\s+)?"), _exact(name), F.lit(rf"\s*(?:<=|=)\s*{_ID}\s*;"))
         found = F.regexp_substr(text, drive)
         right = F.regexp_extract(found, rf"({_ID})\s*;$", 1)
-        return _edit(first_edit(text, drive, F.concat(F.regexp_replace(found, rf"{_ID}\s*;$", ""), right, F.lit("[0];"))), F.array(name, right), "low")
+        return _edit(first_edit(text, drive, F.concat(F.regexp_replace(found, rf"{_ID}\s*;$", ""), right, F.lit("[0];"))), F.array(name, right), "low", _summary("width", name))
 
     def restarted(name):
         clears = F.concat(F.lit(rf"(?i){_RESET_HEAD}"), _exact(name), F.lit(rf"(?:\[[^\]]+\])?\s*(?:<=|=)\s*(?:{_LITERAL})\s*;"))
@@ -81,7 +104,7 @@ def candidates(text: Column) -> dict[str, Column]:
         part = [F.regexp_extract(found, whole, k) for k in range(5)]
         new = toggled(part[4])
         edited = first_edit(text, clears, F.concat(part[1], part[2], F.lit(" "), part[3], F.lit(" "), new, F.lit(";")))
-        return _edit(F.when(new != part[4], edited), F.array(name), "low")
+        return _edit(F.when(new != part[4], edited), F.array(name), "low", _summary("state", name, part[4], new))
 
     sel, branch = group(TERNARY, 1), group(BRANCH, 1)
     mux = F.coalesce(
@@ -96,27 +119,40 @@ def candidates(text: Column) -> dict[str, Column]:
     shift = F.concat(group(SHIFT, 1), F.lit(" "), group(SHIFT, 2), F.lit(" "), group(SHIFT, 3), turned, group(SHIFT, 5), F.lit(";"))
     return {
         "wrong_reset_polarity": _first(F.transform(about["reset_signals"], reset)),
-        "wrong_mux_select_polarity": _edit(mux, F.array(F.when(sel != "", sel).otherwise(branch)), "medium"),
-        "incomplete_comb_assignment": _edit(F.when(text.rlike(COMBINATIONAL), first_edit(text, ELSE, gap)), F.array(dropped), "low"),
-        "off_by_one_counter_limit": _edit(first_edit(text, LIMIT, F.concat(group(LIMIT, 1), F.lit(" "), other, F.lit(" "), F.trim(group(LIMIT, 3)))), F.array(group(LIMIT, 1)), "medium"),
-        "shift_direction_flip": _edit(first_edit(text, SHIFT, shift), F.array(_base(group(SHIFT, 1))), "medium"),
+        "wrong_mux_select_polarity": _edit(mux, F.array(F.when(sel != "", sel).otherwise(branch)), "medium", F.when(sel != "", _summary("select", sel)).otherwise(_summary("branch", branch))),
+        "incomplete_comb_assignment": _edit(F.when(text.rlike(COMBINATIONAL), first_edit(text, ELSE, gap)), F.array(dropped), "low", _summary("else", dropped)),
+        "off_by_one_counter_limit": _edit(first_edit(text, LIMIT, F.concat(group(LIMIT, 1), F.lit(" "), other, F.lit(" "), F.trim(group(LIMIT, 3)))), F.array(group(LIMIT, 1)), "medium", _summary("limit", group(LIMIT, 1), op, other)),
+        "shift_direction_flip": _edit(first_edit(text, SHIFT, shift), F.array(_base(group(SHIFT, 1))), "medium", _summary("shift", _base(group(SHIFT, 1)), group(SHIFT, 4), turned)),
         "blocking_nonblocking_swap_in_clocked_block": _edit(
-            F.when(text.rlike(CLOCKED), first_edit(text, NONBLOCKING, F.concat(group(NONBLOCKING, 1), F.lit(" = "), F.trim(group(NONBLOCKING, 2)), F.lit(";")))), F.array(_base(group(NONBLOCKING, 1))), "medium"
+            F.when(text.rlike(CLOCKED), first_edit(text, NONBLOCKING, F.concat(group(NONBLOCKING, 1), F.lit(" = "), F.trim(group(NONBLOCKING, 2)), F.lit(";")))), F.array(_base(group(NONBLOCKING, 1))), "medium", _summary("blocking", _base(group(NONBLOCKING, 1)))
         ),
         "width_truncation_output": _first(F.transform(rtl.vector_outputs(text), truncated)),
         "wrong_fsm_reset_state": _first(F.transform(about["suspected_fsm_signals"], restarted)),
     }
 
 
+EDIT = "struct<bug_type:string,mutated:string,signals:array<string>,confidence:string,summary:string>"
+
+
+def edits(text: Column) -> Column:
+    """All edits that change a text, in the order of their types: an array of ``EDIT``."""
+    each = F.array(*[F.when(c.isNotNull(), F.struct(F.lit(k).alias("bug_type"), *[c[n].alias(n) for n in ("mutated", "signals", "confidence", "summary")])) for k, c in candidates(text).items()])
+    return F.filter(each, lambda x: x.isNotNull() & (x["mutated"] != text))
+
+
+def chosen(found: Column, key: Column, per_row: int, seed: int) -> Column:
+    """The ``per_row`` first of some edits by the hash of seed, key and type."""
+    ranked = F.transform(found, lambda x: F.struct(F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), x["bug_type"]), 256).alias("rank"), x.alias("edit")))
+    return F.transform(F.slice(F.array_sort(ranked), 1, per_row), lambda x: x["edit"])
+
+
 def mutate(rows: DataFrame, key: str, text: str, per_row: int = 1, seed: int = 42, limit: int | None = None) -> DataFrame:
     """(key, bug_type, mutated, signals, confidence): of the edits that change a text, the ``per_row`` first by the hash of seed, key and type.
 
     ``limit``: only so many rows in all, by key and hash.
     """
-    each = F.array(*[F.when(c.isNotNull(), F.struct(F.lit(k).alias("bug_type"), c["mutated"].alias("mutated"), c["signals"].alias("signals"), c["confidence"].alias("confidence"))) for k, c in candidates(F.col(text)).items()])
-    out = rows.select(key, text, F.explode(each).alias("m")).select(key, text, "m.*").where(F.col("mutated").isNotNull() & (F.col("mutated") != F.col(text)))
-    out = out.withColumn("_rank", F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), "bug_type"), 256))
-    out = out.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("_rank"))).where(F.col("_n") <= per_row)
+    picked = chosen(edits(F.col(text)), F.col(key), per_row, seed)
+    out = rows.select(key, F.posexplode(picked).alias("_n", "m"))
     if limit is not None:
-        out = out.orderBy(key, "_rank").limit(limit)
-    return out.select(key, "bug_type", "mutated", "signals", "confidence")
+        out = out.orderBy(key, "_n").limit(limit)
+    return out.select(key, "m.bug_type", "m.mutated", "m.signals", "m.confidence")

@@ -2,48 +2,99 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import vocab as V
+from siltstone.functions.json_text import with_value
 from siltstone.functions.variant import Node
-from siltstone.operators import keys
+from siltstone.operators import dataset_rules, keys
 from siltstone.operators.dataset_rules import ANSWER, ROW, TASK, evidence, passed
-from siltstone.operators.rules import Rule, gate, violations
+from siltstone.operators.rules import Rule, violations
+from siltstone.scratch import Scratch
 
 PUBLIC = ("public_verilog_eval", "public_rtllm", "public_rtllm_2", "public_rtlfixer", "public_openllm_rtl", "llm_converted_public")
 SEVERITY_RANK = {"critical": 0, "important": 1, "minor": 2}
 
 
-def is_stub():
-    """A placeholder answer: its wording, or no claim above insufficient evidence outside tool reports."""
-    text = F.lower(ANSWER.json())
-    lowest = F.lit(True)
-    for d in V.CLAIM_DOMAINS:
-        lowest = lowest & ANSWER["claim_levels"][d].isin(["insufficient_evidence"])
-    idle = lowest & ANSWER["safe_optimization"]["patch_style"].isin(["explanation_only"]) & ~TASK["task_type"].isin(["rtl_tool_report_explanation"])
-    return text.contains("stub answer") | text.contains("imported public") | idle
-
+# Wording of imported drafts, phrases that say nothing of a clock, licenses that say nothing.
+STUBS = ("Imported public dataset draft row requires review", "Treat this as a draft review seed only", "No optimization effect is claimed", "Imported public artifacts may be incomplete")
+IDLE_CLOCK = ("Cycle-level behavior was not verified during import", "must be reviewed against the task intent")
+UNCERTAIN = ("unknown", "uncertain", "todo")
+EXPLAINS = "rtl_tool_report_explanation"
+#: Reasons of a rejection by what its errors begin with, the first that fits.
+REASONS = (("stub", "stub answer"), ("license", "license gate"), ("provenance", "provenance gate"), ("source", "public source gate"), ("duplicate", "duplicate id"))
 
-def promotion_rules(allow_stub: bool = False) -> list[Rule]:
-    license_ = F.lower(F.coalesce(ROW["license"].text(), F.lit("")))
-    plan = F.lower(ANSWER["verification_plan"].json())
-    return [
-        Rule("source", "source", "error", ~ROW["source"].isin(PUBLIC)),
-        Rule("license", "license", "error", ~ROW["license"].filled() | license_.rlike("unknown|uncertain|todo")),
-        Rule("provenance", "provenance", "error", ~ROW["provenance"]["public_dataset_name"].filled() | ~ROW["provenance"]["notes"].filled()),
-        Rule("rejected", "review_status", "error", ROW["review_status"].isin(["rejected"])),
-        Rule("stub", "answer", "error", is_stub() if not allow_stub else F.lit(False)),
-        Rule("plan", "verification_plan", "error", ~plan.rlike("lint|compile")),
-    ]
 
-
-def promote(rows: DataFrame, allow_stub: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected with problems). Only accepted rows occupy an id: the first of them wins."""
-    judged = gate(rows.withColumn("id", ROW["id"].text()), promotion_rules(allow_stub))
-    tagged = keys.tag_best(judged.where("accepted"), "id", ["file_ord", "line"])
+def is_stub():
+    """PRO-3: wording of an import, or, outside explanations of reports, an answer that claims nothing or only explains."""
+    first, levels = ANSWER["issue_summary"][0], ANSWER["claim_levels"].fields()
+    imported = first["severity"].isin(["low"]) & F.coalesce(F.lower(first["issue"].text()).contains("imported public"), F.lit(False))
+    claims_nothing = (F.size(levels) > 0) & ~F.exists(F.map_values(levels), lambda x: ~F.coalesce((F.schema_of_variant(x) == "STRING") & (F.try_variant_get(x, "$", "string") == "insufficient_evidence"), F.lit(False)))
+    idle = claims_nothing | ANSWER["safe_optimization"]["patch_style"].isin(["explanation_only"])
+    return ANSWER.json().rlike("|".join(STUBS)) | imported | (idle & ~ANSWER["task_type"].isin([EXPLAINS]))
+
+
+def _said(tests) -> Column:
+    """The names of the tests that hold, in order."""
+    return F.filter(F.array(*[F.when(F.coalesce(when, F.lit(False)), F.lit(name)) for name, when in tests]), lambda x: x.isNotNull())
+
+
+def quality_errors() -> Column:
+    """PRO-2: what a task and its answer lack for promotion, in order."""
+    text = lambda x, path: F.when(F.schema_of_variant(F.try_variant_get(x, path, "variant")) == "STRING", F.trim(F.try_variant_get(x, path, "string")))
+    items, code = ANSWER["issue_summary"].items(), _any_code() | TASK["artifacts"]["after_rtl_code"].filled()
+
+    def of_issue(x, k):
+        at = F.concat(F.lit("issue_summary["), k.cast("string"), F.lit("]."))
+        names = F.coalesce(F.try_variant_get(x, "$.evidence.signal_names", "array<variant>"), F.array().cast("array<variant>"))
+        named = F.exists(names, lambda n: F.coalesce(F.length(text(n, "$")) > 0, F.lit(False)))
+        return F.array(F.when(~F.coalesce(F.length(text(x, "$.evidence.reason")) > 0, F.lit(False)), F.concat(at, F.lit("reason"))), F.when(code & ~named, F.concat(at, F.lit("signal_names"))))
+
+    time, space = ANSWER["time_reasoning"]["clock_cycle_behavior"], ANSWER["space_reasoning"]
+    plan = F.lower(F.array_join(F.transform(ANSWER["verification_plan"].items(), lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x))), " "))
+    risk = lambda name, pattern: ~F.coalesce(space[name].text().rlike("(?i)" + pattern), F.lit(False))
+    balance = TASK["task_type"].isin(["rtl_area_activity_review"])
+    rest = _said([
+        ("clock_cycle_behavior", ~time.filled() | time.text().rlike("|".join(IDLE_CLOCK))), ("area_risk", risk("area_risk", "evidence|synthesis|tool|report|unavailable")),
+        ("activity_risk", risk("activity_risk", "evidence|vcd|toggle|activity|tool|report|unavailable")), ("verification_plan", ~plan.rlike("lint|compile")),
+        ("verification_plan.synthesis", balance & ~plan.contains("synthesis")), ("verification_plan.toggle", balance & ~plan.rlike("vcd|toggle")),
+    ])
+    issues = F.when(F.size(items) == 0, F.array(F.lit("issue_summary"))).otherwise(F.filter(F.flatten(F.transform(items, of_issue)), lambda x: x.isNotNull()))
+    return F.when(TASK.is_object() & ANSWER.is_object(), F.concat(issues, rest)).otherwise(F.array(F.lit("messages")))
+
+
+def promotion_errors(allow_stub: bool = False) -> Column:
+    """PRO-1: what bars a row of a public source from promotion, in order."""
+    p, license_ = ROW["provenance"], F.lower(F.trim(F.coalesce(ROW["license"].text(), F.lit(""))))
+    gate_ = _said([
+        ("source", ~ROW["source"].isin(PUBLIC)), ("license", ~ROW["license"].filled()), ("license uncertain", license_.isin(*UNCERTAIN)), ("provenance", ~p.is_object()),
+        ("provenance.public_dataset_name", p.is_object() & ~p["public_dataset_name"].filled()), ("provenance.notes", p.is_object() & ~p["notes"].filled()), ("rejected", ROW["review_status"].isin(["rejected"])),
+        ("answer", ~ANSWER.is_object()), ("stub", ANSWER.is_object() & is_stub() & F.lit(not allow_stub)),
+    ])
+    return F.concat(gate_, F.when(ANSWER.is_object(), quality_errors()).otherwise(F.array().cast("array<string>")))
+
+
+def promote(rows: DataFrame, allow_stub: bool = False, target: str = "validated") -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows: accepted with ``review_status`` set to ``target`` in raw and v, rejected with ``problems`` and ``reason``.
+
+    A row needs an id, must pass the promotion rules, and, with its new status, all rules of the catalogue, warnings
+    included. Only accepted rows occupy an id: the first of them wins.
+    """
+    if target not in ("validated", "reviewed"):
+        raise ValueError(f"rows are promoted to validated or reviewed, not {target}")
+    columns = list(dict.fromkeys([*rows.columns, "id"]))
+    d = rows.withColumn("id", ROW["id"].text()).withColumn("own", F.concat(_said([("id", ~F.coalesce(F.col("id") != "", F.lit(False)))]), promotion_errors(allow_stub)))
+    d = d.withColumn("given", F.col("v")).withColumn("text", with_value("raw", F.lit("review_status"), F.lit(target))).withColumn("v", F.parse_json("text")).withColumn("problem", F.lit(None).cast("string"))
+    judged = dataset_rules.judge(d).withColumn("problems", F.when(F.size("own") > 0, F.col("own")).otherwise(F.transform("findings", lambda x: F.concat_ws(" ", x["rule"], F.when(x["field"] != "", x["field"])))))
+    judged = Scratch(rows.sparkSession, "promote").save(judged.select(*[c for c in columns if c != "v"], "v", "given", "text", "problems"), "judged")
+    tagged = keys.tag_best(judged.where("size(problems) = 0"), "id", ["file_ord", "line"])
     again = tagged.where("NOT kept").withColumn("problems", F.array(F.lit("duplicate"))).select(judged.columns)
-    return tagged.where("kept").drop("size", "kept", "problems", "accepted"), judged.where("NOT accepted").unionByName(again).drop("accepted")
+    reason = F.lit("promotion gate failed")
+    for start, said in reversed(REASONS):
+        reason = F.when(F.exists("problems", lambda x, s=start: x.startswith(s)), said).otherwise(reason)
+    accepted = tagged.where("kept").withColumn("raw", F.col("text")).select(*columns)
+    return accepted, judged.where("size(problems) > 0").unionByName(again).withColumn("v", F.col("given")).withColumn("reason", reason).select(*columns, "problems", "reason")
 
 
 def readiness(selected: DataFrame, reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:

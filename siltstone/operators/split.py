@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import random
+from array import array
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -64,6 +68,21 @@ def global_rank(rows: DataFrame, key: str, name: str) -> DataFrame:
     return placed.join(F.broadcast(table), "_range").withColumn(name, F.col("_place") + F.col("_shift")).select(*rows.columns, name)
 
 
+def shuffled_places(n: int, draw: random.Random) -> array:
+    """The place of each of n rows after a shuffle by ``draw``: 16 bytes a row on the driver, of numbers alone."""
+    order = array("q", range(n))
+    draw.shuffle(order)
+    places = array("q", bytes(8 * n))
+    for place, row in enumerate(order):
+        places[row] = place
+    return places
+
+
+def shuffled(spark: SparkSession, n: int, draw: random.Random, row: str, place: str) -> DataFrame:
+    """(row, place) of ``shuffled_places``, to be joined with ranked rows; the rows themselves stay on the executors."""
+    return spark.createDataFrame(pd.DataFrame({row: range(n), place: shuffled_places(n, draw)}), f"{row} long, {place} long")
+
+
 def largest_remainder(groups: DataFrame, size: str, ratios: list[tuple[str, int]]) -> DataFrame:
     """(group columns, split, n_rows): whole shares of ``size`` by percent, leftovers by largest remainder, then order."""
     shares = F.array(*[F.struct(F.lit(k).alias("o"), F.lit(s).alias("split"), F.floor(F.col(size) * r / 100).alias("f"), (F.col(size) * r % 100).alias("rem")) for k, (s, r) in enumerate(ratios)])

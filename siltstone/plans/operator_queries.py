@@ -308,6 +308,67 @@ def first_with_maps(spark, sf_dir):
     return first_wins(d, "source", ["o", "doc_id"]).select("source", "doc_id", F.col("m")["chars"].alias("chars"))
 
 
+@query("""
+select 'source' as kind, source as key, count(*) as n, string_agg(distinct lang, ',' order by lang) as splits from documents where source is not null group by source having count(*) > 1
+union all select 'text', sha256(text), count(*), string_agg(distinct lang, ',' order by lang) from documents where text is not null group by text having count(*) > 1
+""")
+def shared_keys(spark, sf_dir):
+    """Sources and texts that several documents have, with the languages they are spread over."""
+    from siltstone.operators.duplicates import overlaps
+
+    d = _docs(spark, sf_dir).withColumn("fp", F.sha2("text", 256))
+    return overlaps(d, {"source": "source", "text": "fp"}, "lang").select("kind", "key", "n", F.array_join("splits", ",").alias("splits"))
+
+
+@query("""
+select doc_id, case when text is not null and count(*) over (partition by text) > 1 then min(doc_id) over (partition by text) end as text_first,
+  case when count(*) over (partition by source) > 1 then min(doc_id) over (partition by source) end as source_first from documents
+""")
+def first_seen_keys(spark, sf_dir):
+    """For texts and sources that repeat, the first document that has them."""
+    from siltstone.operators.keys import first_seen
+
+    d = _docs(spark, sf_dir).select("doc_id", "source", F.sha2("text", 256).alias("fp"))
+    return first_seen(d, {"text": "fp", "source": "source"}, F.col("doc_id"), []).select("doc_id", "text_first", "source_first")
+
+
+@query("""
+with o as (select doc_id, text, source, row_number() over (order by source, doc_id) r, 2 * row_number() over (order by source, doc_id) - 1 as line from documents)
+select doc_id, line, length(text)::BIGINT as chars from o
+""")
+def jsonl_round_trip(spark, sf_dir):
+    """Documents written as one JSON lines file in the order of their sources, a blank line after each, and read back with line numbers."""
+    from siltstone.scratch import Scratch
+    from siltstone.sources import jsonl, sinks
+
+    scratch = Scratch(spark, "round-trip")
+    raw = F.concat(F.to_json(F.struct("doc_id", "text")), F.lit("\n"))
+    path = f"{scratch.path}/documents.jsonl"
+    sinks.write_ordered(_docs(spark, sf_dir).select("source", "doc_id", raw.alias("raw")), path, ["source", "doc_id"], scratch)
+    v = Node("v")
+    return jsonl.rows(jsonl.scan(spark, path)).select(v["doc_id"].as_("long").alias("doc_id"), "line", F.length(v["text"].text()).cast("long").alias("chars"))
+
+
+@query(NAMED + """
+, k as (select doc_id, row_number() over (order by doc_id) - 1 r, coalesce(lang = 'en', false) fits, n0 from n),
+e as (select *, sum(fits::INT) over (order by r) upto, (select count(*) // 20 + 1 from documents) target from k)
+select doc_id, r as place, fits as emitted, case when fits then 'm_' || n0 else 'schema_version_mismatch' end as what from e where upto - fits::INT < target
+""")
+def planted_until_target(spark, sf_dir):
+    """Candidates with planted bugs, from tasks named after words of the documents, until a twentieth of their number is met; and what was skipped on the way."""
+    from siltstone.operators.synthesize import synthesize
+
+    d = _named(spark, sf_dir)
+    code = "module m_{0} (input {1}_clk, input {2}_rst_n, output reg [3:0] {3}_q);\n always @(posedge {1}_clk) if (!{2}_rst_n) {3}_q <= 0; else {3}_q <= {3}_q + 1;\nendmodule"
+    parts = ['{"schema_version":"', '","source_id":"', '","artifacts":{"rtl_code":' + json.dumps(code) + "}}"]
+    raw = F.concat(F.lit(parts[0]), F.when(F.col("lang") == "en", "rtl_task_v0.1").otherwise("other"), F.lit(parts[1]), F.col("doc_id").cast("string"), _filled(parts[2]))
+    scanned = d.select(F.lit(None).cast("string").alias("problem"), F.lit(0).alias("file_ord"), F.col("doc_id").alias("line"), raw.alias("raw"))
+    made = synthesize(scanned, 1, spark.read.parquet(f"{sf_dir}/documents.parquet").count() // 20 + 1)
+    name = F.regexp_extract(F.get_json_object("raw", "$.artifacts.before_rtl_code"), r"module (\w+)", 1)
+    emitted = made.emitted.select(F.get_json_object("raw", "$.source_variant_of").cast("long").alias("doc_id"), F.col("rank").alias("place"), F.lit(True).alias("emitted"), name.alias("what"))
+    return emitted.union(made.skipped.select(F.col("line"), "rank", F.lit(False), F.array_join("reasons", ",")))
+
+
 # answers
 
 _TASK = {"schema_version": "rtl_task_v0.1", "task_type": "rtl_bug_review", "artifacts": {"rtl_code": _CODE[0][0]}, "extracted_rtl_summary": {"top_module": "a", "registered_signals": ["q"]}}
@@ -425,7 +486,7 @@ def finetune_problems(spark, sf_dir):
 
 @query()
 def distill_splits(spark, sf_dir):
-    """Documents dealt to three splits of fixed sizes by hash; those in English have a candidate."""
+    """Documents dealt to three splits of fixed sizes; those in English have a candidate."""
     from siltstone.operators.distill import assign
 
     d = _docs(spark, sf_dir)
@@ -433,7 +494,7 @@ def distill_splits(spark, sf_dir):
     n = d.count()
     sizes = {"train": n - 2 * (n // 10), "validation": n // 10, "test": n // 10}
     d = d.select(F.format_string("d%07d", "doc_id").alias("source_id"), F.parse_json(task).alias("task"))
-    return assign(d, sizes, 7, shuffled=False)
+    return assign(d, sizes, 7)
 
 
 @query("select doc_id, rule from (select doc_id, unnest(list_filter([case when doc_id % 2 = 0 then 'other_task' end, case when lang = 'de' then 'unsupported_claim' end], lambda x: x is not null)) as rule from documents)")

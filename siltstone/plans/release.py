@@ -11,11 +11,9 @@ from __future__ import annotations
 
 import json
 import random
-from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ from siltstone.functions.json_text import canonical_json, dumps_compact, with_va
 from siltstone.functions.variant import Node
 from siltstone.operators import dataset_rules, duplicates
 from siltstone.operators.keys import first_seen, place_number
-from siltstone.operators.split import global_rank
+from siltstone.operators.split import global_rank, shuffled
 from siltstone.scratch import Scratch
 from siltstone.sources import jsonl, sinks
 
@@ -60,16 +58,6 @@ def split_families(sizes: dict[str, int], ratios, seed: int) -> dict[str, tuple[
     return out
 
 
-def shuffled_places(n: int, seed: int) -> array:
-    """The place of each of n rows after a shuffle with ``seed``: 16 bytes a row on the driver, of numbers alone."""
-    order = array("q", range(n))
-    random.Random(seed).shuffle(order)
-    places = array("q", bytes(8 * n))
-    for place, row in enumerate(order):
-        places[row] = place
-    return places
-
-
 def split_rows(rows: DataFrame, ratios, seed: int, allow_family_overlap: bool = False) -> DataFrame:
     """rows (family, file_ord, line, ...) with ``split`` and ``place``, their order in the split.
 
@@ -86,7 +74,7 @@ def split_rows(rows: DataFrame, ratios, seed: int, allow_family_overlap: bool =
     n = rows.count()
     first = round(n * ratios[0])
     second = first + round(n * ratios[1])
-    places = spark.createDataFrame(pd.DataFrame({"_n": range(n), "place": shuffled_places(n, seed)}), "_n long, place long")
+    places = shuffled(spark, n, random.Random(seed), "_n", "place")
     split = F.when(F.col("place") < first, "train").when(F.col("place") < second, "val").otherwise("test")
     return ranked.join(places, "_n").drop("_n").withColumn("split", split)
 

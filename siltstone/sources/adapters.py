@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path, PurePosixPath
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone import vocab as V
 from siltstone.functions.variant import Node
+from siltstone.scratch import Scratch
 from siltstone.sources import jsonl
 
 MAX_BYTES = 1 << 20
@@ -22,57 +22,89 @@ ALIASES = {
 REQUIRED = ("id", "source", "license", "design_family", "task_type", "user_goal")
 
 
-def path_problem(path: str, root: str) -> str | None:
-    """Why a side file's path is refused, or None: absolute, outside the root, missing, no regular file, too large."""
-    p = PurePosixPath(path)
-    if p.is_absolute():
-        return "absolute path"
-    base, target = Path(root).resolve(), (Path(root) / path).resolve()
-    if base != target and base not in target.parents:
-        return "path leaves the root"
-    if not target.exists():
-        return "file not found"
-    if not target.is_file():
-        return "not a regular file"
-    return "file too large" if target.stat().st_size > MAX_BYTES else None
+def normal_path(path: Column) -> Column:
+    """A relative path without ".", ".." and empty parts; null if it leaves its root."""
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(False).alias("out"))
+
+    def step(state, part):
+        up, size = part == "..", F.size(state["kept"])
+        kept = F.when(part.isin("", "."), state["kept"]).when(up, F.slice(state["kept"], F.lit(1), F.greatest(size - 1, F.lit(0)))).otherwise(F.array_append(state["kept"], part))
+        return F.struct(kept.alias("kept"), (state["out"] | (up & (size == 0))).alias("out"))
+
+    return F.aggregate(F.split(path, "/"), start, step, lambda x: F.when(~x["out"], F.array_join(x["kept"], "/")))
 
 
-def manifest(spark: SparkSession, path: str, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(examples, rejections) of a manifest whose side files lie beside it.
+def _unschemed(path: Column) -> Column:
+    return F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
 
-    Paths are short metadata and are checked on the driver; contents are read by Spark and joined.
-    All problems of a row are reported together. ``limit`` counts accepted rows, in line order.
+
+def side_files(spark: SparkSession, root: str, wanted: DataFrame, most: int = MAX_BYTES) -> DataFrame:
+    """wanted (..., path) with ``text`` of the file at that path below ``root``, or ``refused`` with the reason.
+
+    The folder is listed as a table and joined by relative path; contents are read by tasks, of files that are
+    asked for and not too large. No path passes through the driver.
+    """
+    base = F.regexp_replace(_unschemed(F.lit(jsonl._fs(spark, root)[0].makeQualified(jsonl._fs(spark, root)[1]).toString())), "/+$", "")
+    below = F.expr("substring(whole, length(base) + 2)")
+    files = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).withColumn("whole", _unschemed(F.col("path"))).withColumn("base", base)
+    asked = wanted.withColumn("_norm", normal_path(F.col("path")))
+    sizes = files().select(below.alias("_norm"), F.col("length").alias("_size"))
+    names = asked.select("_norm").distinct()
+    texts = files().where(F.col("length") <= most).select(below.alias("_norm"), "content").join(names, "_norm", "left_semi")
+    told = asked.join(sizes, "_norm", "left").join(texts, "_norm", "left")
+    text = F.col("content").cast("string")
+    refused = (
+        F.when(F.length(F.trim("path")) == 0, "artifact path must be a non-empty string or null")
+        .when(F.col("path").startswith("/"), "absolute path").when(F.col("_norm").isNull(), "path leaves the root").when(F.col("_size").isNull(), "file not found")
+        .when(F.col("_size") > most, "file too large").when(~F.is_valid_utf8(text), "not UTF-8")
+    )
+    return told.withColumn("refused", refused).withColumn("text", F.when(F.col("refused").isNull(), text)).drop("_norm", "_size", "content")
+
+
+def manifest(spark: SparkSession, path: str, limit: int | None = None, source: str | None = None, license: str | None = None, most: int = MAX_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(examples, rejections) of a manifest, or of the manifest.jsonl of a folder, whose side files lie below its folder.
+
+    A row is rejected for the first thing wrong with its fields, or for all that is wrong with its files. ``limit``
+    counts accepted rows in line order; lines after the last of them are not looked at, so they are no rejections
+    either. ``source`` and ``license`` stand in for those of the rows.
     """
-    root = str(Path(path).parent)
+    if not path.endswith((".json", ".jsonl")):
+        path = f"{path.rstrip('/')}/manifest.jsonl"
+    root = path.rsplit("/", 1)[0] if "/" in path else "."
     scanned = jsonl.scan(spark, path)
     v = Node("v")
-    each = F.explode(F.array(*[F.struct(F.lit(p.removesuffix("_path")).alias("name"), v["artifacts"][p].text().alias("path")) for p in PATHS]))
-    wanted = jsonl.rows(scanned).select("line", each.alias("a")).select("line", "a.*").where("path IS NOT NULL")
-    paths = [r.path for r in wanted.select("path").distinct().collect()]
-    checked = [(p, path_problem(p, root)) for p in paths]
-    status = spark.createDataFrame(checked, "path string, refused string")
-    good = [str(Path(root) / p) for p, why in checked if why is None]
-    side = spark.read.format("binaryFile").load(good) if good else None
-    prefix = f"file:{Path(root).resolve()}/"
-    if side is not None:
-        texts = side.select(F.expr(f"substr(replace(path, 'file:///', 'file:/'), {len(prefix) + 1})").alias("path"), F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).alias("text"))
-    else:
-        texts = spark.createDataFrame([], "path string, text string")
-    joined = wanted.join(status, "path").join(texts, "path", "left").withColumn("why", F.coalesce("refused", F.when(F.col("text").isNull(), "not UTF-8")))
-    per_row = joined.groupBy("line").agg(
-        F.map_from_entries(F.filter(F.collect_list(F.when(F.col("why").isNull(), F.struct("name", "text"))), lambda x: x.isNotNull())).alias("artifacts"),
-        F.sort_array(F.filter(F.collect_list(F.when(F.col("why").isNotNull(), F.concat_ws(": ", "name", "why"))), lambda x: x.isNotNull())).alias("bad"),
+    given = {"source": F.lit(source) if source else v["source"].text(), "license": F.lit(license) if license else v["license"].text()}
+    blank = lambda c: ~F.coalesce(F.length(F.trim(c)) > 0, F.lit(False))
+    missing = F.filter(F.array(*[F.when(v[f].absent(), F.lit(f)) for f in sorted((*REQUIRED, "artifacts", "provenance"))]), lambda x: x.isNotNull())
+    tests = [
+        (F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", "))), (~F.coalesce(given["source"].isin(*V.SOURCES), F.lit(False)), F.lit("invalid source")),
+        (~v["task_type"].isin(V.TASK_TYPES), F.lit("invalid task_type")), (~v["user_goal"].isin(V.USER_GOALS), F.lit("invalid user_goal")), (blank(v["id"].text()), F.lit("blank id")),
+        (blank(given["license"]), F.lit("blank license")), (blank(v["design_family"].text()), F.lit("blank design_family")), (~v["artifacts"].is_object(), F.lit("artifacts must be an object")),
+        (~v["provenance"].is_object(), F.lit("provenance must be an object")),
+    ]
+    wrong = F.lit(None).cast("string")
+    for when, said in reversed(tests):
+        wrong = F.when(when, said).otherwise(wrong)
+    rows = jsonl.rows(scanned).withColumn("wrong", wrong)
+    each = F.array(*[F.struct(F.lit(p.removesuffix("_path")).alias("name"), v["artifacts"][p].present().alias("set"), v["artifacts"][p].kind.alias("kind"), v["artifacts"][p].text().alias("path")) for p in PATHS])
+    wanted = rows.where("wrong IS NULL").select("line", F.inline(each)).where("`set` AND kind <> 'VOID'").select("line", "name", F.coalesce("path", F.lit("")).alias("path"))
+    read = side_files(spark, root, wanted, most)
+    per_row = read.groupBy("line").agg(
+        F.map_from_entries(F.filter(F.collect_list(F.when(F.col("refused").isNull(), F.struct("name", "text"))), lambda x: x.isNotNull())).alias("artifacts"),
+        F.sort_array(F.filter(F.collect_list(F.when(F.col("refused").isNotNull(), F.concat_ws(": ", "name", "refused"))), lambda x: x.isNotNull())).alias("bad"),
     )
-    rows = jsonl.rows(scanned).join(per_row, "line", "left")
-    missing = F.filter(F.array(*[F.when(~v[f].filled(), F.lit(f"missing {f}")) for f in REQUIRED]), lambda x: x.isNotNull())
-    none = F.when(F.size(F.coalesce(F.map_keys("artifacts"), F.array().cast("array<string>"))) + F.size(F.coalesce("bad", F.array().cast("array<string>"))) == 0, F.array(F.lit("no artifacts"))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("errors", F.concat(missing, F.coalesce("bad", F.array().cast("array<string>")), none))
-    found = rows.where(F.size("errors") == 0).select("line", *[v[f].text().alias("source_id" if f == "id" else f) for f in REQUIRED], "artifacts", v["provenance"].value.alias("provenance"))
+    none = F.array().cast("array<string>")
+    rows = rows.join(per_row, "line", "left").withColumn("bad", F.coalesce("bad", none))
+    bare = F.when(F.size(F.coalesce(F.map_keys("artifacts"), none)) == 0, F.array(F.lit("no artifacts"))).otherwise(none)
+    rows = rows.withColumn("errors", F.when(F.col("wrong").isNotNull(), F.array("wrong")).otherwise(F.concat("bad", F.when(F.size("bad") == 0, bare).otherwise(none))))
+    rows = Scratch(spark, "manifest").save(rows.select("line", *[(given[f] if f in given else v[f].text()).alias("source_id" if f == "id" else f) for f in REQUIRED], "artifacts", v["provenance"].value.alias("provenance"), "errors"), "rows")
+    found = rows.where(F.size("errors") == 0).drop("errors")
+    rejected = rows.where(F.size("errors") > 0).select("line", "source_id", "errors").union(jsonl.problems(scanned).select("line", F.lit(None).cast("string").alias("source_id"), F.array("problem").alias("errors")))
     if limit is not None:
         found = found.orderBy("line").limit(limit)
-    rejected = rows.where(F.size("errors") > 0).select("line", v["id"].text().alias("source_id"), "errors")
-    bad = jsonl.problems(scanned).select("line", F.lit(None).cast("string").alias("source_id"), F.array("problem").alias("errors"))
-    return found, rejected.union(bad)
+        if limit and (last := found.agg(F.count("*").alias("n"), F.max("line").alias("line")).first()).n == limit:
+            rejected = rejected.where(F.col("line").isNull() | (F.col("line") < last.line))
+    return found, rejected
 
 
 def first_filled(v: Node, names: tuple[str, ...]) -> Column:
@@ -106,15 +138,31 @@ def directory(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return wide.where(F.size("errors") == 0).drop("errors"), wide.where(F.size("errors") > 0).select("source_id", "errors")
 
 
+def _unknown(spark: SparkSession, said: str) -> tuple[DataFrame, DataFrame]:
+    """No example, and one rejection of the whole input."""
+    return spark.createDataFrame([], "line long, source_id string"), spark.createDataFrame([(None, None, [said])], "line long, source_id string, errors array<string>")
+
+
 def problems(spark: SparkSession, path: str):
     """SRC-6: benchmark problems by the shape of ``path``: a folder with a manifest.jsonl, a JSON lines file, or a folder of prompt, reference and test files."""
-    if path.endswith((".json", ".jsonl")):
-        return manifest(spark, path) if path.rsplit("/", 1)[-1].startswith("manifest") else export(spark, path)
+    if path.endswith(".jsonl"):
+        return manifest(spark, path) if path.rsplit("/", 1)[-1] == "manifest.jsonl" else export(spark, path)
     inside = f"{path.rstrip('/')}/manifest.jsonl"
-    return manifest(spark, inside) if jsonl._exists(spark, inside) else directory(spark, path)
+    if jsonl._exists(spark, inside):
+        return manifest(spark, inside)
+    store, target = jsonl._fs(spark, path)
+    if store.exists(target) and store.getFileStatus(target).isDirectory():
+        return directory(spark, path)
+    return _unknown(spark, "layout not recognized: expected a manifest.jsonl, JSON lines or a folder of prompts and references")
+
+
+def manifest_only(spark: SparkSession, path: str):
+    """SRC-9 and SRC-10: collections that are known by their manifest alone; any other layout is one rejection."""
+    inside = path if path.endswith("manifest.jsonl") else f"{path.rstrip('/')}/manifest.jsonl"
+    return manifest(spark, inside) if jsonl._exists(spark, inside) else _unknown(spark, "layout not recognized: expected a manifest.jsonl")
 
 
-ADAPTERS = {"manifest": manifest, "export": export, "directory": directory, "verilog_eval": problems, "rtllm": manifest, "rtlfixer": manifest}
+ADAPTERS = {"manifest": manifest, "export": export, "directory": directory, "verilog_eval": problems, "rtllm": manifest_only, "rtlfixer": manifest_only}
 
 
 def adapter(name: str):

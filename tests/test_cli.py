@@ -81,12 +81,11 @@ def test_normalised_rows(spark, tmp_path):
 
 def test_config():
     assert config.is_safe_name("a b-1.x") and not any(map(config.is_safe_name, ("", "CON", "x.", "a/b", "x" * 81, None)))
-    assert config.validate_endpoint("http://127.0.0.1:8000/v1/chat/completions") == "127.0.0.1"
-    for bad in ("ftp://localhost/v1/chat/completions", "http://u:p@localhost/v1/chat/completions", "http://localhost/x", "http://example.org/v1/chat/completions"):
-        with pytest.raises(ValueError):
-            config.validate_endpoint(bad)
-    models, problems = config.effective_models({"defaults": {"temperature": 0.0}, "models": [{"name": "a", "model": "m"}, {"name": "A", "model": "m", "x": 1}, {"name": "b", "model": "", "retries": "2"}, 3]})
-    assert len(models) == 3 and len(problems) == 5 and models[0]["temperature"] == 0.0
+    suite = {"defaults": {"temperature": 0.5, "y": 1}, "models": [{"name": "a", "model": "m"}, {"name": "A", "model": "m", "x": 1}, {"name": "b", "model": " ", "retries": "2"}, 3, {"name": "a", "model": "n"}, {"name": "c", "model": "m", "retries": True, "top_p": None}]}
+    models, problems = config.effective_models(suite)
+    assert [m["name"] for m in models] == ["a", "A", "c"] and models[0]["temperature"] == 0.5 and models[0]["max_tokens"] == 8192 and models[0]["retries"] == 1
+    assert problems == ["defaults.y is unknown", "models[1].x is unknown", "models[2] names no model", "models[3] is no object", "models[4] repeats a name", "models[5].retries has the wrong type"]
+    assert config.effective_models({"models": {}})[1] == ["models must be an array"]
     base = {"mean_score": 0.9}
     tuned = {"candidate_rows": 100, "matched_rows": 100, "missing_candidates": 0, "extra_candidates": 0, "safety_failures": 0, "mean_score": 1.0}
     rows = [{"mentions_mutation_type": {"t": True}, "mentions_mutated_signal_names": {"t": True}}] * 100

@@ -16,15 +16,33 @@ def scan(spark, tmp_path, rows, name="in.jsonl"):
 
 
 def test_manifest(spark, tmp_path):
-    (tmp_path / "a.v").write_text("module a; endmodule")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub/a b+%.v").write_text("module a; endmodule")
     (tmp_path / "bad.v").write_bytes(b"\xff\xfe")
-    base = dict.fromkeys(adapters.REQUIRED, "x")
-    rows = [base | {"id": "1", "artifacts": {"rtl_code_path": "a.v"}}, base | {"id": "2", "artifacts": {"rtl_code_path": "../x.v", "testbench_path": "none.v"}}, base | {"id": "3", "license": " ", "artifacts": {"rtl_code_path": "a.v"}}, base | {"id": "4", "artifacts": {"rtl_code_path": "/etc/passwd"}}, "{oops", base | {"id": "5", "artifacts": {"rtl_code_path": "bad.v"}}, base | {"id": "6", "artifacts": {}}]
-    (tmp_path / "m.jsonl").write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
-    found, rejected = adapters.manifest(spark, str(tmp_path / "m.jsonl"))
-    assert [(r.source_id, r.artifacts) for r in found.collect()] == [("1", {"rtl_code": "module a; endmodule"})]
+    (tmp_path / "big.v").write_text("x" * 200)
+    base = {"id": "x", "source": "public_rtllm", "license": "MIT", "design_family": "f", "task_type": "rtl_bug_review", "user_goal": "find_correctness_bug", "provenance": {"origin": "o"}}
+    good = {"rtl_code_path": "sub/./x/../a b+%.v", "testbench_path": None}
+    rows = [
+        base | {"id": "1", "artifacts": good}, base | {"id": "2", "artifacts": {"rtl_code_path": "../x.v", "testbench_path": "none.v"}}, base | {"id": "3", "license": " ", "artifacts": good},
+        base | {"id": "4", "artifacts": {"rtl_code_path": "/etc/passwd"}}, "{oops", base | {"id": "5", "artifacts": good | {"lint_log_path": "bad.v"}}, base | {"id": "6", "artifacts": {}},
+        base | {"id": "7", "artifacts": {"rtl_code_path": "big.v", "testbench_path": "sub"}}, base | {"id": "8", "source": "x", "artifacts": good}, base | {"id": "9", "artifacts": {"rtl_code_path": 5}},
+        {"id": "10", "artifacts": good}, base | {"id": "11", "artifacts": good}, base | {"id": "12", "artifacts": {}},
+    ]
+    (tmp_path / "manifest.jsonl").write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+    found, rejected = adapters.manifest(spark, str(tmp_path), most=100)
+    assert sorted((r.source_id, r.artifacts) for r in found.collect()) == [("1", {"rtl_code": "module a; endmodule"}), ("11", {"rtl_code": "module a; endmodule"})]
     got = {r.source_id: r.errors for r in rejected.collect()}
-    assert got == {"2": ["rtl_code: path leaves the root", "testbench: file not found"], "3": ["missing license"], "4": ["rtl_code: absolute path"], None: ["malformed JSON"], "5": ["rtl_code: not UTF-8"], "6": ["no artifacts"]}
+    assert got == {
+        "2": ["rtl_code: path leaves the root", "testbench: file not found"], "3": ["blank license"], "4": ["rtl_code: absolute path"], None: ["malformed JSON"], "5": ["lint_log: not UTF-8"], "6": ["no artifacts"],
+        "7": ["rtl_code: file too large", "testbench: file not found"], "8": ["invalid source"], "9": ["rtl_code: artifact path must be a non-empty string or null"],
+        "10": ["missing design_family, license, provenance, source, task_type, user_goal"], "12": ["no artifacts"],
+    }
+    found, rejected = adapters.adapter("rtllm")(spark, str(tmp_path))
+    assert found.count() == 2
+    few, before = adapters.manifest(spark, str(tmp_path / "manifest.jsonl"), limit=1, license="BSD")
+    assert [(r.source_id, r.license) for r in few.collect()] == [("1", "BSD")] and before.count() == 0
+    none, why = adapters.adapter("rtlfixer")(spark, str(tmp_path / "sub"))
+    assert none.count() == 0 and why.first().errors[0].startswith("layout not recognized")
 
 
 def test_export_and_directory(spark, tmp_path):
@@ -42,11 +60,47 @@ def test_export_and_directory(spark, tmp_path):
         adapters.adapter("none")
 
 
-def test_promotion_first_accepted_wins(spark, tmp_path):
-    s = scan(spark, tmp_path, [row(1, license="TODO"), edit(("messages", 2, "content", "claim_levels", "area"), "suggestion_only"), edit(("messages", 2, "content", "claim_levels", "area"), "suggestion_only"), row(2)])
-    good, bad = review.promote(jsonl.rows(s))
-    assert [r.line for r in good.collect()] == [2]
-    assert {r.line: r.problems for r in bad.collect()} == {1: ["license", "stub"], 3: ["duplicate"], 4: ["stub"]}
+def promotable(k=1, **over):
+    """A row of a public source that may be promoted."""
+    r = edit(("messages", 2, "content", "claim_levels", "area"), "suggestion_only", k=k) | over
+    answer = r["messages"][2]["content"]
+    answer["safe_optimization"]["patch_style"] = "minimal"
+    answer["time_reasoning"] |= {"clock_cycle_behavior": "adds one each cycle"}
+    answer["space_reasoning"] |= {"area_risk": "no synthesis evidence", "activity_risk": "toggle data unavailable"}
+    answer["verification_plan"] = ["Lint", "simulate"]
+    return r
+
+
+def changed(path, value, k=1):
+    r = promotable(k)
+    at = r["messages"][2]["content"]
+    for p in path[:-1]:
+        at = at[p]
+    at[path[-1]] = value
+    return r
+
+
+def test_promotion(spark, tmp_path):
+    cases = [
+        (promotable(1, license="TODO"), ["license uncertain"], "license gate"), (promotable(1), None, None), (promotable(1), ["duplicate"], "duplicate id"), (row(2), None, "stub answer"),
+        (promotable(3, source="handwritten_golden"), ["source"], "public source gate"), (promotable(4, provenance={"public_dataset_name": " "}), ["provenance.public_dataset_name", "provenance.notes"], "provenance gate"),
+        (promotable(5, review_status="rejected"), ["rejected"], "promotion gate failed"), (promotable(6, id=""), ["id"], "promotion gate failed"), (changed(("safe_optimization", "patch_style"), "explanation_only", 7), ["stub"], "stub answer"),
+        (changed(("functional_risk",), ["No optimization effect is claimed"], 8), ["stub"], "stub answer"), (changed(("issue_summary",), [], 9), ["issue_summary"], "promotion gate failed"),
+        (changed(("issue_summary", 0, "evidence"), {"signal_names": [" "], "reason": ""}, 10), ["issue_summary[0].reason", "issue_summary[0].signal_names"], "promotion gate failed"),
+        (changed(("time_reasoning", "clock_cycle_behavior"), "It must be reviewed against the task intent.", 11), ["clock_cycle_behavior"], "promotion gate failed"),
+        (changed(("space_reasoning",), {"area_risk": "none", "activity_risk": None}, 12), ["area_risk", "activity_risk"], "promotion gate failed"), (changed(("verification_plan",), ["look"], 13), ["verification_plan"], "promotion gate failed"),
+        (promotable(14) | {"messages": []}, ["answer"], "promotion gate failed"), (promotable(15, created_by=""), ["V-09 created_by"], "promotion gate failed"),
+    ]
+    good, bad = review.promote(jsonl.rows(scan(spark, tmp_path, [r for r, _, _ in cases])))
+    kept = good.collect()
+    assert [(r.line, json.loads(r.raw)["review_status"]) for r in kept] == [(2, "validated")]
+    got = {r.line: (r.problems, r.reason) for r in bad.collect()}
+    assert sorted(got) == [k for k, (_, _, why) in enumerate(cases, 1) if why]
+    for k, (_, problems, why) in enumerate(cases, 1):
+        if why:
+            assert got[k][1] == why and (problems is None or got[k][0] == problems), (k, got[k])
+    with pytest.raises(ValueError):
+        review.promote(jsonl.rows(scan(spark, tmp_path, [row(1)])), target="draft")
 
 
 def test_readiness_and_triage(spark, tmp_path):
@@ -87,3 +141,17 @@ def test_inventory(spark, tmp_path):
     assert [tuple(r) for r in workspace.safe_to_archive(f).collect()] == [("copy.jsonl", "answers.jsonl")]
     moves = {r.path: r.new_path for r in workspace.cleanup_plan(f).collect()}
     assert moves == {"answers.jsonl": "answers/assembled/answers.jsonl", "copy.jsonl": "answers/assembled/copy.jsonl", "t.json": "normalized/tasks/t.json", "raw/a.jsonl": "raw/internal/a.jsonl"}
+
+
+def test_run_files(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps(dict.fromkeys(evaluate.METRICS, 1)))
+    (tmp_path / "part.json").write_text(json.dumps(dict.fromkeys(evaluate.METRICS[2:], 1)))
+    (tmp_path / "list.json").write_text("[1]")
+    (tmp_path / "bad.json").write_text("{} x")
+    found, wrong = evaluate.load_objects(spark, [str(tmp_path / f"{n}.json") for n in ("good", "part", "list", "bad", "none")], evaluate.METRICS)
+    assert sorted(r.file.rsplit("/", 1)[-1] for r in found.collect()) == ["good.json", "part.json"]
+    got = sorted((r.file.rsplit("/", 1)[-1], r.problem) for r in wrong.collect())
+    assert got == [("bad.json", "malformed JSON"), ("list.json", "not a JSON object"), ("none.json", "file not found"), ("part.json", "missing matched_rows"), ("part.json", "missing mean_score")]
+    rows, bad = evaluate.load_results(scan(spark, tmp_path, [{"id": "a", "score": 1, "errors": [1, 2]}, {"id": "", "score": 1}, {"id": "b", "score": "x"}, {"id": "c", "score": 0.5, "safety_failures": ["s"]}, "{"]))
+    assert sorted((r.id, r.score, r.errors, r.failures) for r in rows.collect()) == [("a", 1.0, 2, 0), ("c", 0.5, 0, 1)]
+    assert sorted((r.line, r.problem) for r in bad.collect()) == [(2, "id must be a non-empty string"), (3, "score must be numeric"), (5, "malformed JSON")]

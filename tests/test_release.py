@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators import duplicates, keys
+from siltstone.operators import duplicates, keys, split
 from siltstone.plans import release
 from siltstone.plans.release import SPLITS, build_release, split_dataset
 from test_dataset import edit, row
@@ -188,4 +188,4 @@ def test_first_seen(spark):
 def test_shuffled_places(n):
     order = list(range(n))
     random.Random(4).shuffle(order)
-    assert [order.index(k) for k in range(n)] == list(release.shuffled_places(n, 4))
+    assert [order.index(k) for k in range(n)] == list(split.shuffled_places(n, random.Random(4)))
