@@ -75,6 +75,10 @@ def promotion_errors(allow_stub: bool = False) -> Column:
     return F.concat(gate_, F.when(ANSWER.is_object(), quality_errors()).otherwise(F.array().cast("array<string>")))
 
 
+def _starts(start: str):
+    return lambda x: x.startswith(start)
+
+
 def promote(rows: DataFrame, allow_stub: bool = False, target: str = "validated") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows: accepted with ``review_status`` set to ``target`` in raw and v, rejected with ``problems`` and ``reason``.
 
@@ -92,7 +96,7 @@ def promote(rows: DataFrame, allow_stub: bool = False, target: str = "validated"
     again = tagged.where("NOT kept").withColumn("problems", F.array(F.lit("duplicate"))).select(judged.columns)
     reason = F.lit("promotion gate failed")
     for start, said in reversed(REASONS):
-        reason = F.when(F.exists("problems", lambda x, s=start: x.startswith(s)), said).otherwise(reason)
+        reason = F.when(F.size(F.filter("problems", _starts(start))) > 0, said).otherwise(reason)
     accepted = tagged.where("kept").withColumn("raw", F.col("text")).select(*columns)
     return accepted, judged.where("size(problems) > 0").unionByName(again).withColumn("v", F.col("given")).withColumn("reason", reason).select(*columns, "problems", "reason")
 

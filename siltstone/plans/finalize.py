@@ -22,7 +22,7 @@ from siltstone.plans import evaluate, release
 from siltstone.scratch import Scratch
 from siltstone.sources import jsonl, sinks
 
-NOTE = "_stage.json"
+NOTE = "stage.json"
 
 
 class Stopped(Exception):
