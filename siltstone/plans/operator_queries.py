@@ -321,15 +321,15 @@ def shared_keys(spark, sf_dir):
 
 
 @query("""
-select doc_id, case when text is not null and count(*) over (partition by text) > 1 then min(doc_id) over (partition by text) end as text_first,
-  case when count(*) over (partition by source) > 1 then min(doc_id) over (partition by source) end as source_first from documents
+select doc_id, case when text is not null and count(*) over (partition by text) > 1 then min(doc_id) over (partition by text) else -1 end as text_first,
+  case when count(*) over (partition by source) > 1 then min(doc_id) over (partition by source) else -1 end as source_first from documents
 """)
 def first_seen_keys(spark, sf_dir):
-    """For texts and sources that repeat, the first document that has them."""
+    """For texts and sources that repeat, the first document that has them; -1 for others."""
     from siltstone.operators.keys import first_seen
 
     d = _docs(spark, sf_dir).select("doc_id", "source", F.sha2("text", 256).alias("fp"))
-    return first_seen(d, {"text": "fp", "source": "source"}, F.col("doc_id"), []).select("doc_id", "text_first", "source_first")
+    return first_seen(d, {"text": "fp", "source": "source"}, F.col("doc_id"), []).select("doc_id", *[F.coalesce(f"{k}_first", F.lit(-1)).alias(f"{k}_first") for k in ("text", "source")])
 
 
 @query("""
@@ -407,7 +407,7 @@ def _rows(spark, sf_dir) -> DataFrame:
         F.lit('","activity_risk":"unknown"},"verification_plan":'), pick([json.dumps(p) for p in _PLANS], F.col("n")), F.lit("}"),
     ]
     d = _named(spark, sf_dir)
-    return d.select("doc_id", "lang", F.coalesce("text", F.lit("")).rlike("[0-9]").alias("digits"), F.parse_json(_filled(_row_text())).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
+    return d.select("doc_id", "lang", "n", F.coalesce("text", F.lit("")).rlike("[0-9]").alias("digits"), F.parse_json(_filled(_row_text())).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
 
 
 @query(NAMED + """
@@ -423,8 +423,8 @@ def evaluator_scores(spark, sf_dir):
     return score_answers(_rows(spark, sf_dir).select("doc_id", "v", "answer")).select("doc_id", F.col("schema").alias("schema_"), "grounding", "reasoning", "verification", "alignment", "claim_safety", "score")
 
 
-@query("""
-with d as (select doc_id, doc_id % 5 k from documents)
+@query(NAMED + """
+, d as (select doc_id, n % 5 k from n)
 select doc_id, case k when 0 then 'parsed_object' when 1 then 'parsed_json' when 2 then 'extracted_json' when 3 then 'parse_failed' else 'missing_prediction' end as parse_status,
   k < 3 as json_valid, k < 3 as schema_valid, k < 3 as required_fields_valid, k < 3 as claim_safety_valid, case when k < 3 then true else false end as reference_only_behavior_valid,
   null::BOOLEAN as candidate_bug_behavior_valid, k < 3 as exact_expected_match_optional, false as overall_valid from d
@@ -433,7 +433,7 @@ def prediction_categories(spark, sf_dir):
     """Predictions as an object, as JSON text, within other text, as a list, and none; ids never match, so none is valid overall."""
     from siltstone.operators import predictions
 
-    d, k = _rows(spark, sf_dir), F.col("doc_id") % 5
+    d, k = _rows(spark, sf_dir), F.col("n") % 5
     d = d.withColumn("source_id", F.col("doc_id").cast("string"))
     task = F.parse_json(F.lit(json.dumps(_TASK | {"source_rtl_role": "reference_rtl"})))
     prompts = d.select("source_id", F.lit("rtl_bug_review").alias("family"), task.alias("task"), F.col("answer").alias("expected"), F.parse_json(F.lit("{}")).alias("checks"))
@@ -470,16 +470,18 @@ def message_lengths(spark, sf_dir):
 
 
 @query("""
-select doc_id, rule from (select doc_id, unnest(list_filter([case when k = 1 then 'approved' end, case when k = 2 then 'three_messages' end, case when k = 3 then 'role' end], lambda x: x is not null)) as rule from (select doc_id, doc_id % 4 k from documents))
+select doc_id, rule from (select doc_id, unnest(list_filter([case when k = 1 then 'approved' end, case when k = 2 then 'three_messages' end, case when k = 3 then 'role' end], lambda x: x is not null)) as rule from (select doc_id, len(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) % 4 k from documents))
 """)
 def finetune_problems(spark, sf_dir):
+    """Chat rows around the texts; the number of a text's words decides what is wrong with its row."""
     from siltstone.operators.finetune import check
 
-    k = F.col("doc_id") % 4
+    k = F.size(_words(F.col("text"))) % 4
     message = lambda role, content: '{"role":"' + role + '","content":' + content + "}"
-    three = [message("system", '"s"'), message("user", '{"schema_version":"rtl_task_v0.1"}'), message("assistant", '{"schema_version":"rtl_answer_v0.1"}')]
+    three = [message("system", '"s"'), message("user", '{"schema_version":"rtl_task_v0.1","prompt":@}'), message("assistant", '{"schema_version":"rtl_answer_v0.1"}')]
     whole = ",".join(three)
     raw = F.when(k == 1, '{"approval_status":"approved","messages":[' + whole + "]}").when(k == 2, '{"messages":[' + three[0] + "]}").when(k == 3, '{"messages":[' + whole.replace('"user"', '"tool"') + "]}").otherwise('{"messages":[' + whole + "]}")
+    raw = F.replace(raw, F.lit("@"), F.to_json(F.coalesce("text", F.lit("")).cast("variant")))
     d = _docs(spark, sf_dir).select(F.lit("train").alias("split"), F.col("doc_id").cast("int").alias("line"), F.lit(None).cast("string").alias("problem"), raw.alias("raw"), F.parse_json(raw).alias("v"))
     return check(d).select(F.col("line").cast("long").alias("doc_id"), "rule")
 
@@ -497,14 +499,14 @@ def distill_splits(spark, sf_dir):
     return assign(d, sizes, 7)
 
 
-@query("select doc_id, rule from (select doc_id, unnest(list_filter([case when doc_id % 2 = 0 then 'other_task' end, case when lang = 'de' then 'unsupported_claim' end], lambda x: x is not null)) as rule from documents)")
+@query("select doc_id, rule from (select doc_id, unnest(list_filter([case when len(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) % 2 = 0 then 'other_task' end, case when regexp_matches(text, '[0-9]') then 'unsupported_claim' end], lambda x: x is not null)) as rule from documents)")
 def teacher_answer_problems(spark, sf_dir):
     """Answers with another task's type, or with a claim that no tool backs."""
     from siltstone.operators import teacher
     from siltstone.operators.rules import violations
 
     d = _rows(spark, sf_dir)
-    task = F.parse_json(F.when(F.col("doc_id") % 2 == 0, '{"task_type":"rtl_area_activity_review"}').otherwise('{"task_type":"rtl_bug_review"}'))
-    said = F.parse_json(F.regexp_replace(F.to_json("answer"), r'"functional_risk":\["x"\]', F.when(F.col("lang") == "de", '"functional_risk":["lint clean"]').otherwise('"functional_risk":["x"]')))
+    task = F.parse_json(F.when(F.col("n") % 2 == 0, '{"task_type":"rtl_area_activity_review"}').otherwise('{"task_type":"rtl_bug_review"}'))
+    said = F.parse_json(F.regexp_replace(F.to_json("answer"), r'"functional_risk":\["x"\]', F.when(F.col("digits"), '"functional_risk":["lint clean"]').otherwise('"functional_risk":["x"]')))
     d = d.select("doc_id", said.alias("answer"), task.alias("task"))
     return violations(d, teacher.answer_rules(Node("answer"), Node("task")), ["doc_id"]).select("doc_id", "rule")
