@@ -71,7 +71,8 @@ def _stand_in(text: Column, words: dict[str, str]) -> Column:
     """A text with some of its words exchanged, and a letter of ASCII for each other character, whose word ends engines see differently."""
     text = F.regexp_replace(text, r"[^\x00-\x7F]", "x")
     for old, new in words.items():
-        text = F.regexp_replace(text, rf"(?i)\b(?:{old})\b", new)
+        letters = "".join(sorted({w[0] for w in old.split("|")}))  # looked at before a word's edge
+        text = F.regexp_replace(text, rf"(?i)(?=[{letters}])\b(?:{old})\b", new)
     return text
 
 
