@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import rtl
+from siltstone.functions.once import let
 
 # The shapes of text that the edits look for.
 _ID = r"[A-Za-z_][A-Za-z0-9_$]*"
@@ -74,7 +75,7 @@ def _summary(kind: str, *values: Column) -> Column:
 
 
 def _edit(text: Column | None, signals: Column, confidence: str, said: Column) -> Column:
-    return F.when(text.isNotNull(), F.struct(text.alias("mutated"), signals.alias("signals"), F.lit(confidence).alias("confidence"), said.alias("summary")))
+    return let(text, lambda t: F.when(t.isNotNull(), F.struct(t.alias("mutated"), signals.alias("signals"), F.lit(confidence).alias("confidence"), said.alias("summary"))))
 
 
 def candidates(text: Column) -> dict[str, Column]:
@@ -99,12 +100,14 @@ def candidates(text: Column) -> dict[str, Column]:
 
     def restarted(name):
         clears = F.concat(F.lit(rf"(?i){_RESET_HEAD}"), _exact(name), F.lit(rf"(?:\[[^\]]+\])?\s*(?:<=|=)\s*(?:{_LITERAL})\s*;"))
-        found = F.regexp_substr(text, clears)
         whole = rf"(?is)^({_RESET_HEAD})({_PLACE})\s*(<=|=)\s*({_LITERAL})\s*;$"
-        part = [F.regexp_extract(found, whole, k) for k in range(5)]
-        new = toggled(part[4])
-        edited = first_edit(text, clears, F.concat(part[1], part[2], F.lit(" "), part[3], F.lit(" "), new, F.lit(";")))
-        return _edit(F.when(new != part[4], edited), F.array(name), "low", _summary("state", name, part[4], new))
+
+        def reset_to(found):
+            part = [F.regexp_extract(found, whole, k) for k in range(5)]
+            edited = lambda new: first_edit(text, clears, F.concat(part[1], part[2], F.lit(" "), part[3], F.lit(" "), new, F.lit(";")))
+            return let(toggled(part[4]), lambda new: _edit(F.when(new != part[4], edited(new)), F.array(name), "low", _summary("state", name, part[4], new)))
+
+        return let(F.regexp_substr(text, clears), reset_to)
 
     sel, branch = group(TERNARY, 1), group(BRANCH, 1)
     mux = F.coalesce(
@@ -136,8 +139,11 @@ EDIT = "struct<bug_type:string,mutated:string,signals:array<string>,confidence:s
 
 def edits(text: Column) -> Column:
     """All edits that change a text, in the order of their types: an array of ``EDIT``."""
-    each = F.array(*[F.when(c.isNotNull(), F.struct(F.lit(k).alias("bug_type"), *[c[n].alias(n) for n in ("mutated", "signals", "confidence", "summary")])) for k, c in candidates(text).items()])
-    return F.filter(each, lambda x: x.isNotNull() & (x["mutated"] != text))
+
+    def typed(k, c):
+        return let(c, lambda e: F.when(e.isNotNull(), F.struct(F.lit(k).alias("bug_type"), *[e[n].alias(n) for n in ("mutated", "signals", "confidence", "summary")])))
+
+    return let(text, lambda t: F.filter(F.array(*[typed(k, c) for k, c in candidates(t).items()]), lambda x: x.isNotNull() & (x["mutated"] != t)))
 
 
 def chosen(found: Column, key: Column, per_row: int, seed: int) -> Column:

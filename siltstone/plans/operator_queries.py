@@ -193,7 +193,7 @@ def mutations(spark, sf_dir):
     for k, e in enumerate(_EDITS):
         code, want = F.when(kind == k, _filled(e[1])).otherwise(code), F.when(kind == k, e[0]).otherwise(want)
     d = _named(spark, sf_dir).select(F.struct("doc_id", want.alias("want")).alias("key"), code.alias("code"))
-    return mutate(d, "key", "code", 99).where("bug_type = key.want").select("key.doc_id", "bug_type", "mutated")
+    return mutate(d, "key", "code", 99).where("bug_type <=> key.want").select("key.doc_id", "bug_type", "mutated")
 
 
 _PROMPTS = [
