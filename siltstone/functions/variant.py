@@ -36,16 +36,16 @@ class Node:
         return F.schema_of_variant(self.value)
 
     def present(self) -> Column:
-        return self.value.isNotNull()
+        return self.is_object() | self.value.isNotNull()  # the value of an object is a copy of all below
 
     def absent(self) -> Column:
-        return self.value.isNull()
+        return ~self.present()
 
     def is_object(self) -> Column:
-        return self.as_("map<string,variant>").isNotNull()  # cheaper than the schema of all below
+        return self.as_("struct<>").isNotNull()  # cheaper than a copy, or the schema, of all below
 
     def is_list(self) -> Column:
-        return self.as_("array<variant>").isNotNull()
+        return self.as_("array<struct<>>").isNotNull()
 
     def is_text(self) -> Column:
         return F.coalesce(self.kind == "STRING", F.lit(False))
@@ -98,17 +98,19 @@ class Node:
         return F.transform(kept, lambda x: F.try_variant_get(x, "$", "string"))
 
 
+def _members(fields: Column) -> Column:
+    """The members of an object as JSON texts ``"key":value``, keys in order: the fields are read once, not once a key."""
+    texts = F.transform(F.map_entries(fields), lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("text")))
+    return F.transform(F.array_sort(texts), lambda m: F.concat(F.to_json(m["key"].cast("variant")), F.lit(":"), m["text"]))
+
+
 def object_json(fields: Column) -> Column:
     """The JSON text of an object, from its values (variants) by key, keys in order."""
-    entries = F.array_sort(F.map_keys(fields))
-    each = F.transform(entries, lambda k: F.concat(F.to_json(k.cast("variant")), F.lit(":"), F.to_json(F.element_at(fields, k))))
-    return F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.array_join(_members(fields), ","), F.lit("}"))
 
 
 def replaced(node: Node, values: dict[str, Column]) -> Column:
     """The JSON text of an object with some keys set to other JSON texts."""
-    kept = F.map_filter(node.fields(), lambda k, v: ~k.isin(*values))
-    parts = [F.when(c.isNotNull(), F.concat(F.lit(f'"{k}":'), c)) for k, c in values.items()]
-    rest = object_json(kept)
-    inner = F.filter(F.array(F.when(F.length(rest) > 2, F.substring(rest, F.lit(2), F.length(rest) - 2)), *parts), lambda x: x.isNotNull())
-    return F.concat(F.lit("{"), F.array_join(inner, ","), F.lit("}"))
+    kept = _members(F.map_filter(node.fields(), lambda k, v: ~k.isin(*values)))
+    parts = [F.concat(F.lit(f'"{k}":'), c) for k, c in values.items()]  # null for a null text, and left out
+    return F.concat(F.lit("{"), F.array_join(F.concat(kept, F.array(*parts)), ","), F.lit("}"))

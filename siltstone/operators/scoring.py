@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone import vocab as V
 from siltstone.functions import rtl
+from siltstone.functions.once import let
 from siltstone.functions.variant import Node, replaced
 from siltstone.operators import dataset_rules
 from siltstone.scratch import Scratch
@@ -63,11 +64,11 @@ def schema_tests(a: Node, family: Column) -> list[Column]:
 
 def grounding_tests(a: Node, signals: Column, modules: Column, artifacts: Column) -> list[Column]:
     """SCO-3: the first issue only."""
-    issue, text = a["issue_summary"][0], F.lower(a.json())
+    issue = a["issue_summary"][0]
     place, on = issue["evidence"]["code_location"]["module"].text(), issue.is_object()
     named = F.exists(issue["evidence"]["signal_names"].strings(), lambda s: F.length(F.trim(s)) > 0)
-    known = place.isNotNull() & ((F.size(modules) == 0) | F.array_contains(modules, F.lower(place)))
-    mentioned = F.exists(F.concat(signals, artifacts), lambda s: text.contains(F.lower(s)))
+    known = place.isNotNull() & let(modules, lambda m: (F.size(m) == 0) | F.array_contains(m, F.lower(place)))
+    mentioned = let(F.lower(a.json()), lambda text: F.exists(F.concat(signals, artifacts), lambda s: text.contains(F.lower(s))))
     tests = [issue["issue"].filled(), issue["severity"].isin(V.SEVERITIES), named, known, specific(issue["evidence"]["reason"].text()), mentioned]
     return [on & F.coalesce(t, F.lit(False)) for t in tests]
 
