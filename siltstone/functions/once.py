@@ -16,10 +16,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def opened(pattern: str) -> str:
+def opened(pattern: str, letters: str = "") -> str:
     r"""A pattern ``\bword...|\bword...`` behind a look at its first letters, which spares most places the test for a word's edge.
 
-    Every alternative has to begin with an edge and a letter.
+    Every alternative has to begin with an edge and a letter, or ``letters`` has to name all letters a match can begin with.
     """
-    letters = "".join(sorted(set(_OPENING.findall(pattern))))
+    letters = letters or "".join(sorted(set(_OPENING.findall(pattern))))
     return f"(?=[{letters}])(?:{pattern})"
