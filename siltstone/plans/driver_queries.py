@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: Rows of keys that one task aggregates.
+KEYS = 1_000_000
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -383,10 +385,12 @@ select 'line_without_order' as kind, l_orderkey as key from lineitem where l_ord
 union select 'order_without_line', o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)
 """)
 def orphan_references(spark, sf_dir):
-    lines, orders = _t(spark, sf_dir, "lineitem").select("l_orderkey").distinct(), _t(spark, sf_dir, "orders").select("o_orderkey")
-    a = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_anti").select(F.lit("line_without_order").alias("kind"), F.col("l_orderkey").alias("key"))
-    b = orders.join(lines, lines.l_orderkey == orders.o_orderkey, "left_anti").select(F.lit("order_without_line").alias("kind"), F.col("o_orderkey").alias("key"))
-    return a.union(b).distinct()
+    """Keys of one table that the other lacks: one aggregation over the keys of both, dealt before it so that a task has about ``KEYS`` rows, however many there are."""
+    lines, orders = _t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "orders")
+    keys = lines.select(F.col("l_orderkey").alias("key"), F.lit(True).alias("line")).union(orders.select("o_orderkey", F.lit(False))).where("key IS NOT NULL")
+    n = 1 + (lines.count() + orders.count()) // KEYS  # from the files' footers
+    both = keys.repartition(n, "key").groupBy("key").agg(F.min("line").alias("all"), F.max("line").alias("some")).where("all = some")
+    return both.select(F.when(F.col("some"), "line_without_order").otherwise("order_without_line").alias("kind"), "key")
 
 
 @query("""
