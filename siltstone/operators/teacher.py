@@ -42,12 +42,16 @@ def claims_candidate_bug(answer: Node) -> Column:
     return ~denies & text.rlike(r"\b(candidate|dut)\b.{0,80}\b(bug|incorrect|wrong|fails|mismatch|broken|defect)\b")
 
 
-def answer_rules(answer: Node, task: Node, on: Column | None = None) -> list[Rule]:
-    """ANS-0: the rules of an answer beside its task. ``on``: rows where they are asked, which spares Python the others."""
+def answer_rules(answer: Node, task: Node, on: Column | None = None, text: Column | None = None) -> list[Rule]:
+    """ANS-0: the rules of an answer beside its task. ``on``: rows where they are asked, which spares Python the others.
+
+    ``text``: a column with the answer's JSON, where there is one; without it several rules write the answer out.
+    """
     from siltstone.operators.dataset_rules import tool_evidence
 
     evidence = {t: tool_evidence(task, t) for t in V.TOOLS}
     asked = F.lit(True) if on is None else on
+    text = answer.json() if text is None else text
     levels, r = answer["claim_levels"], []
 
     def add(rule, field, when, guard=None):
@@ -57,7 +61,7 @@ def answer_rules(answer: Node, task: Node, on: Column | None = None) -> list[Rul
         add("missing", f, answer[f].absent())
     add("schema", "schema_version", ~answer["schema_version"].isin(V.ANSWER_SCHEMA))
     add("other_task", "task_type", ~answer["task_type"].text().eqNullSafe(task["task_type"].text()))
-    add("task_copy", "", json_text.task_copy(F.when(asked, answer.json())))
+    add("task_copy", "", json_text.task_copy(F.when(asked, text)))
     add("no_list", "issue_summary", ~answer["issue_summary"].is_list())
     for f in ("time_reasoning", "space_reasoning", "safe_optimization"):
         add("no_object", f, answer[f].present() & ~answer[f].is_object())
@@ -70,10 +74,10 @@ def answer_rules(answer: Node, task: Node, on: Column | None = None) -> list[Rul
         if d in MEASURED:
             add("level_without_evidence", f"claim_levels.{d}", ~backed & ~levels[d].isin(["insufficient_evidence"]), levels.is_object())
         add("verified_without_evidence", f"claim_levels.{d}", ~backed & levels[d].isin(["verified"]), levels.is_object())
-    said = claims.tool_claims(answer.json(), evidence)
+    said = claims.tool_claims(text, evidence)
     r.append(Rule("unsupported_claim", "answer", "error", F.size(said) > 0, F.concat(F.lit("unsupported_claim: "), F.array_join(said, ", "))))
     add("reference_bug", "issue_summary", reference_only(task) & claims_candidate_bug(answer))
-    add("denies_candidate", "", has_candidate(task) & F.lower(answer.json()).contains("no candidate dut source is provided"))
+    add("denies_candidate", "", has_candidate(task) & F.lower(text).contains("no candidate dut source is provided"))
     return r
 
 
@@ -99,8 +103,8 @@ def validate_batch(tasks: DataFrame, answers: DataFrame, expected: list[str] | N
     out = out.union(issue(tagged.where("NOT kept"), "answer_duplicate"))
     kept = tagged.where("kept").drop("kept", "size")
     out = out.union(issue(kept.join(first.select("source_id"), "source_id", "left_anti"), "unknown_id"))
-    paired = kept.join(first, "source_id")
-    problems = paired.select("row_index", "source_id", F.explode(found(answer_rules(Node("answer"), Node("task")))).alias("p"))
+    paired = kept.join(first, "source_id").withColumn("text", Node("answer").json())
+    problems = paired.select("row_index", "source_id", F.explode(found(answer_rules(Node("answer"), Node("task"), text=F.col("text")))).alias("p"))
     out = out.union(problems.select("row_index", "source_id", "p.rule", "p.field"))
     if expected is not None:
         want = tasks.sparkSession.createDataFrame([(x,) for x in expected], "source_id string").distinct()

@@ -49,7 +49,7 @@ PLACES = 6
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
 
 
 def _named(spark, sf_dir) -> DataFrame:
@@ -393,22 +393,25 @@ def _row_text() -> str:
     })
 
 
-def _rows(spark, sf_dir) -> DataFrame:
-    """A dataset row ``v`` and a candidate ``answer`` for each document: the text's digits, words and length decide how good it is."""
+def _rows(spark, sf_dir, risk: Column | str = "x") -> DataFrame:
+    """A dataset row ``v`` and a candidate ``answer`` for each document: the text's digits, words and length decide how good it is.
+
+    ``risk``: the answer's functional risk, plain letters, which may ask for ``digits``.
+    """
     from siltstone import vocab as V
 
     en, said = F.col("lang") == "en", F.array_join(F.slice("w", 1, 1 + F.col("n") % 6), " ")
     levels = dict.fromkeys(V.CLAIM_DOMAINS, "insufficient_evidence")
     pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (1 + k % len(values)).cast("int"))
     parts = [
-        F.lit('{"schema_version":"rtl_answer_v0.1","task_type":"rtl_bug_review","source_id":"s","evidence_used":[],"limitations":[],"patch":{},"functional_risk":["x"],"safe_optimization":{"recommendation":"none","patch_style":"explanation_only","expected_effect":"none"},"claim_levels":' + json.dumps(levels) + ',"issue_summary":[{"issue":"'),
-        F.when(F.coalesce("text", F.lit("")).rlike("[0-9]"), "counter wraps").otherwise(""), F.lit('","severity":"'), pick(_SEVERITIES, F.length(F.coalesce("text", F.lit("")))), F.lit('","evidence":{"signal_names":["'), F.concat("n3", F.lit("_q")),
+        F.lit('{"schema_version":"rtl_answer_v0.1","task_type":"rtl_bug_review","source_id":"s","evidence_used":[],"limitations":[],"patch":{},"functional_risk":["'), F.lit(risk) if isinstance(risk, str) else risk, F.lit('"],"safe_optimization":{"recommendation":"none","patch_style":"explanation_only","expected_effect":"none"},"claim_levels":' + json.dumps(levels) + ',"issue_summary":[{"issue":"'),
+        F.when(F.col("digits"), "counter wraps").otherwise(""), F.lit('","severity":"'), pick(_SEVERITIES, F.length(F.coalesce("text", F.lit("")))), F.lit('","evidence":{"signal_names":["'), F.concat("n3", F.lit("_q")),
         F.lit('"],"code_location":{"module":"'), F.upper("n0"), F.lit('","block":"always","line_range":"2"},"reason":"'), said, F.lit('"}}],"time_reasoning":{"clock_cycle_behavior":"'), said,
         F.lit('","latency_or_state_risk":"none","reset_behavior_risk":"none"},"space_reasoning":{"hardware_resources_involved":["register"],"area_risk":"'), F.when(en, "synthesis evidence").otherwise("small"),
         F.lit('","activity_risk":"unknown"},"verification_plan":'), pick([json.dumps(p) for p in _PLANS], F.col("n")), F.lit("}"),
     ]
-    d = _named(spark, sf_dir)
-    return d.select("doc_id", "lang", "n", F.coalesce("text", F.lit("")).rlike("[0-9]").alias("digits"), F.parse_json(_filled(_row_text())).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
+    d = _named(spark, sf_dir).withColumn("digits", F.coalesce("text", F.lit("")).rlike("[0-9]"))
+    return d.select("doc_id", "lang", "n", "digits", F.parse_json(_filled(_row_text())).alias("v"), F.parse_json(F.concat(*parts)).alias("answer"))
 
 
 @query(NAMED + """
@@ -506,8 +509,7 @@ def teacher_answer_problems(spark, sf_dir):
     from siltstone.operators import teacher
     from siltstone.operators.rules import violations
 
-    d = _rows(spark, sf_dir)
+    d = _rows(spark, sf_dir, F.when(F.col("digits"), "lint clean").otherwise("x"))
     task = F.parse_json(F.when(F.col("n") % 2 == 0, '{"task_type":"rtl_area_activity_review"}').otherwise('{"task_type":"rtl_bug_review"}'))
-    said = F.parse_json(F.regexp_replace(F.to_json("answer"), r'"functional_risk":\["x"\]', F.when(F.col("digits"), '"functional_risk":["lint clean"]').otherwise('"functional_risk":["x"]')))
-    d = d.select("doc_id", said.alias("answer"), task.alias("task"))
-    return violations(d, teacher.answer_rules(Node("answer"), Node("task")), ["doc_id"]).select("doc_id", "rule")
+    d = d.select("doc_id", "answer", task.alias("task")).withColumn("text", Node("answer").json())
+    return violations(d, teacher.answer_rules(Node("answer"), Node("task"), text=F.col("text")), ["doc_id"]).select("doc_id", "rule")
